@@ -1,0 +1,22 @@
+"""Size checks for broadcast joins.
+
+A side is broadcast only when a bounded count proves it small; otherwise the join is left to the
+planner (sort-merge with AQE skew handling).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
