@@ -18,7 +18,7 @@ from quarry.functions.normalize import (
 )
 from quarry.functions.porter import porter_stem
 from quarry.operators import index as ix
-from quarry.operators import render, search
+from quarry.operators import cluster, render, search, tfidf
 from quarry.operators.positions import tokenize_docs, tokenize_pages
 from quarry.sources import tables
 
@@ -30,6 +30,8 @@ QUERY_SET = [
 # Whole ``benchmark`` passages are also asked as queries, with ids offset by this value.
 BENCHMARK_QUERY_OFFSET = 1000
 LOOKUP_TERM = "en"
+SQL_KMEANS_K = 10
+SQL_KMEANS_ITERATIONS = 2
 
 
 def positions_str(col: str = "positions"):
@@ -183,6 +185,63 @@ def q_session_text(spark, sf):
     return render.session_text(search.session_union(_search(spark, sf, True)[2]))
 
 
+# ---------------------------------------------------------------------------------------------
+# C
+
+def _weights(spark, sf):
+    idx = doc_index(spark, sf)
+    return idx, tfidf.tfidf(idx)
+
+
+def q_doc_term_matrix(spark, sf):
+    return tfidf.doc_term_matrix(doc_index(spark, sf))
+
+
+def q_tfidf(spark, sf):
+    _, w = _weights(spark, sf)
+    return w.select("doc_id", "term", F.round("w", 6).alias("w"))
+
+
+def _sql_kmeans(spark, sf):
+    idx, w = _weights(spark, sf)
+    return cluster.kmeans_sql(w, idx.docs, SQL_KMEANS_K, SQL_KMEANS_ITERATIONS)
+
+
+def q_kmeans_assign(spark, sf):
+    return _sql_kmeans(spark, sf)[0]
+
+
+def q_kmeans_centroids(spark, sf):
+    cents = _sql_kmeans(spark, sf)[1]
+    return cents.select("cluster", "term", F.round("w", 6).alias("w"))
+
+
+def q_cluster_members(spark, sf):
+    return cluster.members_lines(spark, _sql_kmeans(spark, sf)[0], SQL_KMEANS_K)
+
+
+def q_cluster_top_terms(spark, sf):
+    return cluster.top_terms_lines(_sql_kmeans(spark, sf)[1])
+
+
+def _ml(k):
+    def run(spark, sf):
+        idx, w = _weights(spark, sf)
+        return cluster.kmeans_ml(w, idx.docs, k)[0]
+    run.__name__ = f"q_kmeans_ml_k{k}"
+    return run
+
+
+def q_kmeans_guard(spark, sf):
+    idx = doc_index(spark, sf)
+    return cluster.guard_lines(spark, idx.docs, cluster.DEFAULT_KS)
+
+
+def q_cluster_report(spark, sf):
+    idx, w = _weights(spark, sf)
+    return cluster.cluster_report(spark, w, idx.docs, cluster.DEFAULT_KS)
+
+
 CATALOG = {
     "tokens": q_tokens,
     "tokens_paged": q_tokens_paged,
@@ -207,4 +266,15 @@ CATALOG = {
     "result_text": q_result_text,
     "session_union": q_session_union,
     "session_text": q_session_text,
+    "doc_term_matrix": q_doc_term_matrix,
+    "tfidf": q_tfidf,
+    "kmeans_assign": q_kmeans_assign,
+    "kmeans_centroids": q_kmeans_centroids,
+    "cluster_members": q_cluster_members,
+    "cluster_top_terms": q_cluster_top_terms,
+    "kmeans_ml_k2": _ml(2),
+    "kmeans_ml_k10": _ml(10),
+    "kmeans_ml_k20": _ml(20),
+    "kmeans_guard": q_kmeans_guard,
+    "cluster_report": q_cluster_report,
 }

@@ -11,7 +11,10 @@ from quarry.functions.porter import porter_sql
 from quarry.functions.stopwords import FIRST_STOP_WORDS, REST_STOP_WORDS
 from quarry.functions.tokenize import sql_token_pattern
 from quarry.functions.normalize import NUMBER_PATTERN
-from quarry.plans.catalog import BENCHMARK_QUERY_OFFSET, LOOKUP_TERM, QUERY_SET
+from quarry.plans.catalog import (
+    BENCHMARK_QUERY_OFFSET, LOOKUP_TERM, QUERY_SET, SQL_KMEANS_ITERATIONS, SQL_KMEANS_K,
+)
+from quarry.operators.cluster import SCORE_DIGITS, TOP_TERMS
 
 
 def _lit(s: str) -> str:
@@ -101,6 +104,52 @@ QUERY_BASE = ", ".join([
 ])
 
 
+TFIDF_BASE = ", ".join([
+    DOC_BASE, NONEMPTY,
+    "nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM ne)",
+    "idf AS (SELECT term, ln((1.0::DOUBLE + (SELECT n FROM nn)) / (1.0::DOUBLE + CAST(count(*) AS DOUBLE))) "
+    "+ 1.0::DOUBLE AS idf FROM post GROUP BY term)",
+    "raw AS (SELECT p.doc_id, p.term, CAST(p.tf AS DOUBLE) * idf.idf AS r FROM post p JOIN idf USING (term))",
+    "wt AS (SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw)",
+])
+
+
+def _kmeans_ctes(k: int, iterations: int) -> tuple[str, str, str]:
+    """CTEs of the deterministic k-means; returns (ctes, final labels name, final centroids name)."""
+    d = SCORE_DIGITS
+    ctes = [
+        f"seeds AS (SELECT doc_id, CAST(rn - 1 AS BIGINT) AS cluster FROM (SELECT doc_id, row_number() OVER "
+        f"(ORDER BY doc_id) AS rn FROM (SELECT DISTINCT doc_id FROM wt)) WHERE rn <= {k})",
+    ]
+
+    def centroids(name, labels):
+        return (f"{name} AS (SELECT l.cluster, x.term, sum(x.w) / (SELECT count(*) FROM {labels} z "
+                f"WHERE z.cluster = l.cluster) AS w FROM wt x JOIN {labels} l USING (doc_id) GROUP BY l.cluster, x.term)")
+
+    def assign(name, cents):
+        return (f"{name}_n2 AS (SELECT cluster, sum(w * w) AS n2 FROM {cents} GROUP BY cluster), "
+                f"{name}_be AS (SELECT cluster, round(n2, {d}) AS s FROM {name}_n2 ORDER BY round(n2, {d}), cluster "
+                f"LIMIT 1), "
+                f"{name}_sc AS (SELECT x.doc_id, c.cluster, round(n.n2 - 2.0::DOUBLE * sum(x.w * c.w), {d}) AS score "
+                f"FROM wt x JOIN {cents} c ON x.term = c.term JOIN {name}_n2 n ON n.cluster = c.cluster "
+                f"GROUP BY x.doc_id, c.cluster, n.n2), "
+                f"{name}_all AS (SELECT doc_id, cluster, score FROM {name}_sc UNION ALL "
+                f"SELECT ne.doc_id, be.cluster, be.s FROM ne, {name}_be be), "
+                f"{name} AS (SELECT doc_id, cluster FROM (SELECT doc_id, cluster, row_number() OVER "
+                f"(PARTITION BY doc_id ORDER BY score, cluster) AS rn FROM {name}_all) WHERE rn = 1)")
+
+    ctes.append(centroids("c0", "seeds"))
+    prev = "c0"
+    for i in range(1, iterations + 1):
+        ctes.append(assign(f"l{i}", prev))
+        ctes.append(centroids(f"cn{i}", f"l{i}"))
+        ctes.append(f"c{i} AS (SELECT * FROM cn{i} UNION ALL SELECT * FROM {prev} "
+                    f"WHERE cluster NOT IN (SELECT cluster FROM l{i}))")
+        prev = f"c{i}"
+    ctes.append(assign("lf", prev))
+    return ", ".join(ctes), "lf", prev
+
+
 def _with(base: str, select: str) -> str:
     return f"WITH {base} {select}"
 
@@ -165,4 +214,31 @@ def oracle_sql() -> dict[str, str]:
                               "ELSE 'Documents retrieved (' || count(*) || '): ' || string_agg(CAST(doc_id AS VARCHAR), "
                               "', ' ORDER BY doc_id) END AS line FROM (SELECT DISTINCT doc_id FROM hits)"),
     }
+    km, lab, cen = _kmeans_ctes(SQL_KMEANS_K, SQL_KMEANS_ITERATIONS)
+    km_base = ", ".join([TFIDF_BASE, km])
+    sq.update({
+        "doc_term_matrix": _with(", ".join([DOC_BASE, NONEMPTY]),
+                                 "SELECT doc_id, term, tf FROM post UNION ALL SELECT doc_id, CAST(NULL AS VARCHAR), "
+                                 "CAST(0 AS BIGINT) FROM ne WHERE doc_id NOT IN (SELECT doc_id FROM post)"),
+        "tfidf": _with(TFIDF_BASE, "SELECT doc_id, term, round(w, 6) AS w FROM wt"),
+        "kmeans_assign": _with(km_base, f"SELECT doc_id, cluster FROM {lab}"),
+        "kmeans_centroids": _with(km_base, f"SELECT cluster, term, round(w, 6) AS w FROM {cen}"),
+        "cluster_members": _with(km_base,
+                                 f"SELECT c.cluster, 'Cluster ' || c.cluster || ': ' || coalesce(m.ids, 'No documents') "
+                                 f"AS line FROM (SELECT CAST(range AS BIGINT) AS cluster FROM range({SQL_KMEANS_K})) c "
+                                 f"LEFT JOIN (SELECT cluster, string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) "
+                                 f"AS ids FROM {lab} GROUP BY cluster) m USING (cluster)"),
+        "cluster_top_terms": _with(km_base,
+                                   f"SELECT cluster, string_agg(printf('%s: %.4f', term, w), ', ' ORDER BY rn) AS line "
+                                   f"FROM (SELECT cluster, term, w, row_number() OVER (PARTITION BY cluster ORDER BY "
+                                   f"round(w, {SCORE_DIGITS}) DESC, term) AS rn FROM {cen} WHERE w > 0) "
+                                   f"WHERE rn <= {TOP_TERMS} GROUP BY cluster"),
+        "kmeans_guard": _with(NONEMPTY.replace("FROM docs", "FROM (SELECT doc_id, text FROM documents)"),
+                              "SELECT k, line FROM (SELECT CAST(k AS BIGINT) AS k, CASE WHEN n < k THEN "
+                              "'Error: Cannot perform k-means clustering when k > total documents collected. (k = ' "
+                              "|| k || '; Total Documents Collected = ' || n || ')' ELSE 'ok' END AS line, "
+                              "sum(CASE WHEN n < k THEN 1 ELSE 0 END) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED "
+                              "PRECEDING AND 1 PRECEDING) AS prior_fail FROM (VALUES (2), (10), (20)) v(k), "
+                              "(SELECT count(*) AS n FROM ne)) WHERE coalesce(prior_fail, 0) = 0"),
+    })
     return sq

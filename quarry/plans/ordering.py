@@ -1,9 +1,11 @@
 """Dense 1..n numbering in a global order without a single-partition window.
 
-Rows are range partitioned on the order key and sorted inside each partition; a first pass counts
-rows per partition (one number per partition reaches the driver), a second pass adds each
-partition's offset to the row's index inside its partition. Range partitioning and the sort are
-deterministic, so a recomputed partition gets the same numbers after an executor loss.
+Rows are range partitioned on the order key, sorted inside each partition and checkpointed to the
+shared checkpoint folder (range bounds are sampled, and the sample depends on row arrival order, so
+the partitioning must be fixed once). A first pass counts rows per partition (one number per
+partition reaches the driver), a second pass adds each partition's offset to the row's index inside
+its partition. Both passes read the same checkpoint, so the numbering is stable across passes and
+after an executor loss.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ def dense_index(df: DataFrame, order_cols: list[str], out_col: str = "rank",
     """Add ``out_col`` = 1-based index of each row in ``order_cols`` order (keys must be unique)."""
     spark = df.sparkSession
     n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint()
     tagged = ranged.select("*", F.spark_partition_id().alias("__pid"),
                            F.monotonically_increasing_id().alias("__mid"))
     counts = {r["__pid"]: r["count"] for r in tagged.groupBy("__pid").count().collect()}
