@@ -18,7 +18,12 @@ from quarry.functions.normalize import (
 )
 from quarry.functions.porter import porter_stem
 from quarry.operators import index as ix
-from quarry.operators import cluster, render, search, tfidf
+import uuid
+
+from quarry.operators import cluster, links, render, search, tfidf
+from quarry.session import shared_scratch_path
+from quarry.sources import textformats
+from quarry.streaming import ingest
 from quarry.operators.positions import tokenize_docs, tokenize_pages
 from quarry.sources import tables
 
@@ -30,6 +35,9 @@ QUERY_SET = [
 # Whole ``benchmark`` passages are also asked as queries, with ids offset by this value.
 BENCHMARK_QUERY_OFFSET = 1000
 LOOKUP_TERM = "en"
+LINK_DOMAIN = "example.com"
+DOC_LIMIT = 50
+VOCAB_CAPACITY = 1000
 SQL_KMEANS_K = 10
 SQL_KMEANS_ITERATIONS = 2
 
@@ -242,6 +250,91 @@ def q_cluster_report(spark, sf):
     return cluster.cluster_report(spark, w, idx.docs, cluster.DEFAULT_KS)
 
 
+# ---------------------------------------------------------------------------------------------
+# I, S, X9, X10
+
+def _links(spark, sf):
+    return links.extract_links(tables.web_pages(spark, sf))
+
+
+def q_links(spark, sf):
+    return _links(spark, sf)
+
+
+def q_link_domain(spark, sf):
+    lk = _links(spark, sf)
+    return lk.filter(links.in_domain(F.col("url"), LINK_DOMAIN)).select(
+        "page_id", "link_no", "url", links.host_of(F.col("url")).alias("host"))
+
+
+def q_link_class(spark, sf):
+    rule, cls = links.classify(F.col("url"))
+    return _links(spark, sf).select("page_id", "link_no", "url", rule.alias("rule"), cls.alias("class"))
+
+
+def q_url_dedupe(spark, sf):
+    return links.dedupe_urls(_links(spark, sf))
+
+
+def q_url_filename(spark, sf):
+    p = tables.web_pages(spark, sf)
+    return p.select("page_id", "url", links.file_name(F.col("page_id"), F.col("url")).alias("file_name"))
+
+
+def _nonempty_pages(spark, sf):
+    p = tables.web_pages(spark, sf)
+    ne = ix.nonempty_docs(p.select(F.col("page_id").alias("doc_id"), F.col("html").alias("text")))
+    return p.select(F.col("page_id").alias("doc_id"), "url").join(ne, "doc_id", "left_semi")
+
+
+def q_manifest_lines(spark, sf):
+    return textformats.manifest_lines(_nonempty_pages(spark, sf))
+
+
+def q_manifest_roundtrip(spark, sf):
+    path = shared_scratch_path(spark, f"manifest-{uuid.uuid4().hex}")
+    textformats.write_manifest(_nonempty_pages(spark, sf), path, append=True)
+    return textformats.read_manifest(spark, path)
+
+
+def q_token_log_lines(spark, sf):
+    return textformats.token_log_lines(raw_tokens(spark, sf))
+
+
+def q_token_log_roundtrip(spark, sf):
+    path = shared_scratch_path(spark, f"tokenlog-{uuid.uuid4().hex}")
+    textformats.write_token_log(raw_tokens(spark, sf), path)
+    return textformats.read_token_log(spark, path)
+
+
+def q_nonempty_docs(spark, sf):
+    return ix.nonempty_docs(docs(spark, sf))
+
+
+def q_doc_limit(spark, sf):
+    return ix.doc_limit(docs(spark, sf), DOC_LIMIT)
+
+
+def q_dense_ids(spark, sf):
+    return ix.dense_doc_ids(docs(spark, sf))
+
+
+def q_vocab_cap(spark, sf):
+    terms = ix.normalized_terms(raw_tokens(spark, sf))
+    return postings_out(ix.build_postings(ix.vocabulary_cap(terms, VOCAB_CAPACITY)))
+
+
+def q_rejects(spark, sf):
+    return ix.split_rejects(tables.read_table(spark, sf, "documents").select("doc_id", "text"))[1]
+
+
+def q_stream_ingest(spark, sf):
+    out = shared_scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    q = ingest.start_ingest(spark, ingest.file_glob(tables.table_path(sf, "documents")), f"{out}/index", f"{out}/checkpoint")
+    q.awaitTermination()
+    return postings_out(ingest.compacted_postings(spark, f"{out}/index"))
+
+
 CATALOG = {
     "tokens": q_tokens,
     "tokens_paged": q_tokens_paged,
@@ -277,4 +370,19 @@ CATALOG = {
     "kmeans_ml_k20": _ml(20),
     "kmeans_guard": q_kmeans_guard,
     "cluster_report": q_cluster_report,
+    "links": q_links,
+    "link_domain": q_link_domain,
+    "link_class": q_link_class,
+    "url_dedupe": q_url_dedupe,
+    "url_filename": q_url_filename,
+    "manifest_lines": q_manifest_lines,
+    "manifest_roundtrip": q_manifest_roundtrip,
+    "token_log_lines": q_token_log_lines,
+    "token_log_roundtrip": q_token_log_roundtrip,
+    "nonempty_docs": q_nonempty_docs,
+    "doc_limit": q_doc_limit,
+    "dense_ids": q_dense_ids,
+    "vocab_cap": q_vocab_cap,
+    "rejects": q_rejects,
+    "stream_ingest": q_stream_ingest,
 }

@@ -15,6 +15,10 @@ from quarry.plans.catalog import (
     BENCHMARK_QUERY_OFFSET, LOOKUP_TERM, QUERY_SET, SQL_KMEANS_ITERATIONS, SQL_KMEANS_K,
 )
 from quarry.operators.cluster import SCORE_DIGITS, TOP_TERMS
+from quarry.operators.links import (
+    DIR_PATTERN, HOST_PATTERN, HREF_PATTERN, LINK_RULES, ORIGIN_PATTERN, SCHEME_PATTERN,
+)
+from quarry.plans.catalog import DOC_LIMIT, LINK_DOMAIN, VOCAB_CAPACITY
 
 
 def _lit(s: str) -> str:
@@ -241,4 +245,52 @@ def oracle_sql() -> dict[str, str]:
                               "PRECEDING AND 1 PRECEDING) AS prior_fail FROM (VALUES (2), (10), (20)) v(k), "
                               "(SELECT count(*) AS n FROM ne)) WHERE coalesce(prior_fail, 0) = 0"),
     })
+    lk_base = (
+        "pg AS (SELECT CAST(page_id AS BIGINT) AS page_id, url AS base, html FROM pages), "
+        "hr AS (SELECT page_id, base, unnest(range(1, len(h) + 1)) AS link_no, unnest(h) AS href FROM "
+        f"(SELECT page_id, base, regexp_extract_all(html, {_lit(HREF_PATTERN)}, 1) AS h FROM pg)), "
+        f"lk AS (SELECT page_id, link_no, CASE WHEN regexp_matches(href, {_lit(SCHEME_PATTERN)}) THEN href "
+        "WHEN starts_with(href, '//') THEN regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href "
+        f"WHEN starts_with(href, '/') THEN regexp_extract(base, {_lit(ORIGIN_PATTERN)}, 0) || href "
+        f"ELSE regexp_extract(base, {_lit(DIR_PATTERN)}, 0) || href END AS url FROM hr)")
+    host = f"lower(regexp_extract(url, {_lit(HOST_PATTERN)}, 1))"
+    rule = "CASE " + " ".join(f"WHEN regexp_matches(url, {_lit(p)}) THEN {n}" for n, p, _ in LINK_RULES) + " ELSE 0 END"
+    cls = "CASE " + " ".join(f"WHEN regexp_matches(url, {_lit(p)}) THEN {_lit(c)}" for _, p, c in LINK_RULES) \
+        + " ELSE 'none' END"
+    ne_pages = (f"nep AS (SELECT CAST(page_id AS BIGINT) AS doc_id, url FROM pages "
+                f"WHERE regexp_matches(html, '{HAS_TOKEN}'))")
+    cap = (f"fo AS (SELECT term, doc_id AS fd, pos AS fp FROM (SELECT term, doc_id, pos, row_number() OVER "
+           f"(PARTITION BY term ORDER BY doc_id, pos) AS rn FROM d_terms) WHERE rn = 1), "
+           f"cut AS (SELECT fd, fp FROM (SELECT fd, fp, row_number() OVER (ORDER BY fd, fp) AS rk FROM fo) "
+           f"WHERE rk = {VOCAB_CAPACITY}), "
+           f"kept AS (SELECT t.doc_id, t.pos, t.term FROM d_terms t WHERE NOT EXISTS (SELECT 1 FROM cut) OR "
+           f"EXISTS (SELECT 1 FROM cut WHERE t.doc_id < cut.fd OR (t.doc_id = cut.fd AND t.pos <= cut.fp)))")
+    sq.update({
+        "links": _with(lk_base, "SELECT page_id, link_no, url FROM lk"),
+        "link_domain": _with(lk_base, f"SELECT page_id, link_no, url, {host} AS host FROM lk WHERE {host} = "
+                                      f"{_lit(LINK_DOMAIN)} OR suffix({host}, {_lit('.' + LINK_DOMAIN)})"),
+        "link_class": _with(lk_base, f"SELECT page_id, link_no, url, CAST({rule} AS BIGINT) AS rule, {cls} AS class "
+                                     f"FROM lk"),
+        "url_dedupe": _with(lk_base, "SELECT url, page_id, link_no FROM (SELECT url, page_id, link_no, row_number() "
+                                     "OVER (PARTITION BY url ORDER BY page_id, link_no) AS rn FROM lk) WHERE rn = 1"),
+        "url_filename": "SELECT CAST(page_id AS BIGINT) AS page_id, url, CAST(page_id AS VARCHAR) || '_' || "
+                        "string_split(url, '/')[-1] AS file_name FROM pages",
+        "manifest_lines": _with(ne_pages, "SELECT doc_id, doc_id || ') ' || url AS line FROM nep"),
+        "manifest_roundtrip": _with(ne_pages, "SELECT doc_id, url FROM nep"),
+        "token_log_lines": _with(", ".join([DOCS, tokens_cte("toks", "docs")]),
+                                 "SELECT doc_id, pos, token || ' / Doc ID: ' || doc_id || ' / Pos: ' || pos AS line "
+                                 "FROM toks"),
+        "token_log_roundtrip": _with(", ".join([DOCS, tokens_cte("toks", "docs")]),
+                                     "SELECT token, doc_id, pos FROM toks"),
+        "nonempty_docs": _with(", ".join([DOCS, NONEMPTY]), "SELECT doc_id FROM ne"),
+        "doc_limit": _with(", ".join([DOCS, NONEMPTY]), f"SELECT doc_id FROM ne ORDER BY doc_id LIMIT {DOC_LIMIT}"),
+        "dense_ids": _with(", ".join([DOCS, NONEMPTY]),
+                           "SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS dense_id FROM ne"),
+        "vocab_cap": _with(", ".join([DOCS, tokens_cte("toks", "docs"), norm_ctes("d", "toks"), cap,
+                                      postings_cte("cp", "kept")]),
+                           f"SELECT term, doc_id, tf, {_positions()} AS positions FROM cp"),
+        "rejects": "SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN doc_id IS NULL THEN 'null_id' ELSE 'null_text' "
+                   "END AS reason FROM documents WHERE doc_id IS NULL OR text IS NULL",
+        "stream_ingest": sq["postings"],
+    })
     return sq
