@@ -77,14 +77,33 @@ def _cond(name: str | None, stem: Column) -> Column:
     return stem.rlike(globals()[name])
 
 
-def _suffix_case(w: Column, rules) -> Column:
+def _suffix_index(w: Column, rules) -> Column:
+    """1-based index of the first rule whose suffix ends ``w`` (0 if none)."""
     expr = None
-    for _, suffix, repl, cond in rules:
-        stem = _stem(w, len(suffix))
-        out = F.concat(stem, F.lit(repl)) if repl else stem
-        value = F.when(_cond(cond, stem), out).otherwise(w) if cond else out
-        expr = F.when(w.endswith(suffix), value) if expr is None else expr.when(w.endswith(suffix), value)
-    return expr.otherwise(w)
+    for i, (_, suffix, _, _) in enumerate(rules, start=1):
+        expr = F.when(w.endswith(suffix), F.lit(i)) if expr is None else expr.when(w.endswith(suffix), F.lit(i))
+    return expr.otherwise(F.lit(0))
+
+
+def _suffix_apply(w: Column, idx: Column, rules) -> Column:
+    """Apply rule ``idx`` to ``w``: strip its suffix, and if the rule's condition holds on the stem,
+    append the replacement. Suffix lengths and replacements are looked up in literal arrays, so the
+    generated code does not repeat per rule (it stays small enough for the JIT)."""
+    safe = F.greatest(idx, F.lit(1))
+    k = F.element_at(F.array(*[F.lit(len(r[1])) for r in rules]), safe)
+    repl = F.element_at(F.array(*[F.lit(r[2]) for r in rules]), safe)
+    stem = F.left(w, F.length(w) - k)
+    conds = {r[3] for r in rules}
+    if conds == {None}:
+        ok = F.lit(True)
+    elif conds == {"M_GT0"}:
+        ok = stem.rlike(M_GT0)
+    elif conds == {"M_GT1", "M_GT1_ST"}:
+        ion = F.array(*[F.lit(r[3] == "M_GT1_ST") for r in rules])
+        ok = stem.rlike(M_GT1) & (~F.element_at(ion, safe) | stem.rlike(ENDS_ST))
+    else:
+        raise ValueError(f"unsupported rule conditions {conds}")
+    return F.when((idx > 0) & ok, F.concat(stem, repl)).otherwise(w)
 
 
 def porter_stem(df: DataFrame, in_col: str, out_col: str | None = None) -> DataFrame:
@@ -107,7 +126,13 @@ def porter_stem(df: DataFrame, in_col: str, out_col: str | None = None) -> DataF
         return cols
 
     W = F.col(w)
-    cur = cur.select(*proj(_suffix_case(W, rules["1a"])))
+    I = F.col("__pi")
+
+    def suffix_step(cur, step_rules):
+        cur = cur.select(*[F.col(c) for c in keep], W, _suffix_index(W, step_rules).alias("__pi"))
+        return cur.select(*proj(_suffix_apply(W, I, step_rules)))
+
+    cur = suffix_step(cur, rules["1a"])
     # Step 1b: eed (m>0) -> ee; ed / ing (stem has a vowel) -> stem, flagged for the fix-up step.
     s_eed, s_ed, s_ing = _stem(W, 3), _stem(W, 2), _stem(W, 3)
     w1b = (F.when(W.endswith("eed"), F.when(s_eed.rlike(M_GT0), F.concat(s_eed, F.lit("ee"))).otherwise(W))
@@ -128,7 +153,7 @@ def porter_stem(df: DataFrame, in_col: str, out_col: str | None = None) -> DataF
     cur = cur.select(*proj(F.when(W.endswith("y") & s_y.rlike(HAS_VOWEL), F.concat(s_y, F.lit("i")))
                            .otherwise(W)))
     for step in ("2", "3", "4"):
-        cur = cur.select(*proj(_suffix_case(W, rules[step])))
+        cur = suffix_step(cur, rules[step])
     # Step 5a: remove a final e if m>1, or m=1 and not *o.
     s_e = _stem(W, 1)
     cur = cur.select(*proj(F.when(W.endswith("e") & (s_e.rlike(M_GT1) | (s_e.rlike(M_EQ1) & ~s_e.rlike(CVC))),

@@ -62,8 +62,12 @@ def raw_tokens(spark, sf):
     return tokenize_docs(docs(spark, sf))
 
 
-def doc_index(spark, sf) -> ix.TextIndex:
-    return ix.build_index(docs(spark, sf))
+def doc_index(spark, sf, materialize: bool = False) -> ix.TextIndex:
+    """The index of ``documents``. ``materialize`` writes the postings once to the shared checkpoint
+    folder, for plans that read them in several branches (a deployment builds the index once and
+    queries the written table)."""
+    idx = ix.build_index(docs(spark, sf))
+    return ix.TextIndex(idx.postings.checkpoint(), idx.docs) if materialize else idx
 
 
 def query_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,7 +153,7 @@ def q_index_dump(spark, sf):
 # Q
 
 def _search(spark, sf, rarest_first: bool):
-    idx = doc_index(spark, sf)
+    idx = doc_index(spark, sf, materialize=True)
     queries = query_table(spark, sf)
     qterms = search.query_terms(queries)
     if rarest_first:
@@ -197,7 +201,7 @@ def q_session_text(spark, sf):
 # C
 
 def _weights(spark, sf):
-    idx = doc_index(spark, sf)
+    idx = doc_index(spark, sf, materialize=True)
     return idx, tfidf.tfidf(idx)
 
 

@@ -11,6 +11,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "quarry") -> SparkSession:
@@ -25,6 +27,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
+        # The fused token pipeline (tokenize, filters, Porter steps) compiles to one large method;
+        # HotSpot skips JIT for methods over 8000 bytes unless told otherwise.
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
