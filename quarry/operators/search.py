@@ -76,8 +76,15 @@ def and_rarest_first(qterms: DataFrame, postings: DataFrame, terms: DataFrame) -
     cand = (relevant.join(complete.select("query_id", F.col("pivot").alias("term"), "n_terms"), "term")
             .select("query_id", "doc_id", "n_terms"))
     probes = cand.join(qt, "query_id").filter(F.col("n_terms") > 1)
-    verified = (probes.join(relevant, ["term", "doc_id"], "left_semi")
-                .groupBy("query_id", "doc_id", "n_terms").agg(F.count(F.lit(1)).alias("n_match"))
+    # Candidates are bounded by each query's rarest list, so the probes are usually small: then
+    # they are broadcast and the query-term postings stream through a hash join without a shuffle.
+    # (Postings are unique per (term, doc_id), so the inner join is a semi-join of the probes.)
+    # Otherwise both sides shuffle on (term, doc_id) for a sort-merge semi-join.
+    if is_small(probes):
+        matched = relevant.join(F.broadcast(probes), ["term", "doc_id"])
+    else:
+        matched = probes.join(relevant, ["term", "doc_id"], "left_semi")
+    verified = (matched.groupBy("query_id", "doc_id", "n_terms").agg(F.count(F.lit(1)).alias("n_match"))
                 .filter(F.col("n_match") == F.col("n_terms")).select("query_id", "doc_id"))
     singles = cand.filter(F.col("n_terms") == 1).select("query_id", "doc_id")
     return verified.unionByName(singles)
