@@ -90,6 +90,27 @@ def and_rarest_first(qterms: DataFrame, postings: DataFrame, terms: DataFrame) -
     return verified.unionByName(singles)
 
 
+def and_chain(terms: Sequence[str], postings: DataFrame, term_table: DataFrame) -> DataFrame | None:
+    """Q3/Q5 for one query given as normalized terms: ``(doc_id)`` of documents holding all terms,
+    or ``None`` when a term is missing (as distinct from an empty result).
+
+    The terms' document frequencies (one row per query term) decide the order: the rarest list is
+    the start, and each further term is a ``left_semi`` join, so every step shrinks the candidates.
+    """
+    uniq = sorted(set(terms))
+    if not uniq:
+        return None
+    dfs = {r["term"]: r["df"] for r in
+           term_table.filter(F.col("term").isin(uniq)).select("term", "df").collect()}
+    if len(dfs) < len(uniq):
+        return None
+    order = sorted(uniq, key=lambda t: (dfs[t], t))
+    result = postings.filter(F.col("term") == F.lit(order[0])).select("doc_id")
+    for t in order[1:]:
+        result = result.join(postings.filter(F.col("term") == F.lit(t)).select("doc_id"), "doc_id", "left_semi")
+    return result
+
+
 def query_status(queries: DataFrame, qterms: DataFrame, hits: DataFrame, terms: DataFrame) -> DataFrame:
     """Q2/Q4: ``(query_id, status, n_terms, n_hits)`` for every query of the batch."""
     qt = _distinct_terms(qterms)

@@ -60,3 +60,32 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path).filter(F.col("value").rlike(MANIFEST_PATTERN))
     return raw.select(F.regexp_extract("value", MANIFEST_PATTERN, 1).cast("bigint").alias("doc_id"),
                       F.regexp_extract("value", MANIFEST_PATTERN, 2).alias("url"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Report sinks (S6-S10). Each writes one text line per row in the report's order; ordering uses a
+# range-partitioned sort, so the files are ordered across parts without a single-task sort.
+
+def write_index_dump(dump: DataFrame, path: str) -> None:
+    """``(term, df, line)`` from ``render.index_dump`` written in term order."""
+    dump.orderBy("term").select("line").write.mode("overwrite").text(path)
+
+
+def show_index_dump(dump: DataFrame, n: int = 20) -> None:
+    """Print the first ``n`` lines of the dump in term order."""
+    dump.orderBy("term").select("line").show(n, truncate=False)
+
+
+def write_session(session_line: DataFrame, path: str) -> None:
+    """The one-line session file."""
+    session_line.select("line").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_results(result_lines: DataFrame, path: str) -> None:
+    """``(query_id, line)`` in query order."""
+    result_lines.orderBy("query_id").select("line").write.mode("overwrite").text(path)
+
+
+def write_cluster_report(report: DataFrame, path: str) -> None:
+    """``(k, section, cluster, line)`` in report order."""
+    report.orderBy("k", "section", "cluster").select("line").write.mode("overwrite").text(path)

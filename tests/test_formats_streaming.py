@@ -35,3 +35,12 @@ def test_stream_equals_batch(spark):
     streamed = {(r.term, r.doc_id): list(r.positions) for r in ingest.compacted_postings(spark, f"{base}/out").collect()}
     batch = ix.build_index(df.select("doc_id", "text"))
     assert streamed == {(r.term, r.doc_id): list(r.positions) for r in batch.postings.collect()}
+
+
+def test_report_sinks(spark, docs_factory):
+    from quarry.operators.render import index_dump
+    idx = ix.build_index(docs_factory([(1, "zeta alpha"), (2, "alpha mid")]))
+    path = tempfile.mkdtemp(prefix="quarry-test-") + "/dump"
+    textformats.write_index_dump(index_dump(idx.postings), path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert lines == ["alpha (2) --> 1[2], 2[1]", "mid (1) --> 2[2]", "zeta (1) --> 1[1]"]

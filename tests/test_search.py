@@ -60,3 +60,13 @@ def test_query_postings_zero_based(spark):
     queries = spark.createDataFrame([(1, "the open and access")], "query_id BIGINT, query STRING")
     rows = search.query_postings(search.query_terms(queries)).orderBy("qpos").collect()
     assert [(r.term, r.qpos) for r in rows] == [("open", 0), ("access", 1)]
+
+
+def test_and_chain_matches_brute_force(spark, docs_factory):
+    docs = corpus(seed=11)
+    idx = ix.build_index(docs_factory(docs), NO_STEM_TECHNIQUES)
+    for q in (["open", "river"], ["stone"], ["cloud", "paper", "light"], ["open", "open"]):
+        got = sorted(r.doc_id for r in search.and_chain(q, idx.postings, idx.terms).collect())
+        assert got == brute(docs, q)
+    assert search.and_chain(["open", "zebra"], idx.postings, idx.terms) is None
+    assert search.and_chain([], idx.postings, idx.terms) is None
