@@ -21,7 +21,7 @@ from quarry.operators import index as ix
 import uuid
 
 from quarry.operators import cluster, links, render, search, tfidf
-from quarry.session import shared_scratch_path
+from quarry.session import reliable_checkpoint, shared_scratch_path
 from quarry.sources import textformats
 from quarry.streaming import ingest
 from quarry.operators.positions import tokenize_docs, tokenize_pages
@@ -67,7 +67,7 @@ def doc_index(spark, sf, materialize: bool = False) -> ix.TextIndex:
     folder, for plans that read them in several branches (a deployment builds the index once and
     queries the written table)."""
     idx = ix.build_index(docs(spark, sf))
-    return ix.TextIndex(idx.postings.checkpoint(), idx.docs) if materialize else idx
+    return ix.TextIndex(reliable_checkpoint(idx.postings), idx.docs) if materialize else idx
 
 
 def query_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,13 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import reliable_checkpoint
+
 
 def dense_index(df: DataFrame, order_cols: list[str], out_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based index of each row in ``order_cols`` order (keys must be unique)."""
     spark = df.sparkSession
     n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint()
+    ranged = reliable_checkpoint(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
     tagged = ranged.select("*", F.spark_partition_id().alias("__pid"),
                            F.monotonically_increasing_id().alias("__mid"))
     counts = {r["__pid"]: r["count"] for r in tagged.groupBy("__pid").count().collect()}

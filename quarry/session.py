@@ -63,3 +63,11 @@ def shared_scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` (eager, reliable) into the session's checkpoint folder, making sure the
+    SparkContext knows that folder first. Never a local checkpoint: the data must survive the loss
+    of the executor that computed it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
