@@ -53,11 +53,17 @@ def page_offsets(pages: DataFrame) -> DataFrame:
 
 def tokenize_pages(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_no",
                    text_col: str = "text") -> DataFrame:
-    """``(doc_id, pos, token)`` for multi-page documents with positions running across pages."""
+    """``(doc_id, pos, token)`` for multi-page documents with positions running across pages.
+
+    Offsets are joined to the *pages* before the tokens are exploded, so the join moves one row per
+    page (or nothing, when the offsets pass the broadcast size check), never one row per token.
+    """
+    from quarry.plans.sizing import bounded_broadcast
+
     p = pages.select(F.col(doc_col).cast("bigint").alias("doc_id"),
                      F.col(page_col).cast("bigint").alias("page_no"),
                      F.col(text_col).alias("text"))
-    offsets = page_offsets(p)
-    toks = p.select("doc_id", "page_no", F.posexplode(token_array("text")).alias("p0", "token"))
-    return (toks.join(offsets, ["doc_id", "page_no"])
-            .select("doc_id", (F.col("offset") + F.col("p0") + 1).cast("bigint").alias("pos"), "token"))
+    offsets = bounded_broadcast(page_offsets(p))
+    with_offset = p.join(offsets, ["doc_id", "page_no"])
+    toks = with_offset.select("doc_id", "offset", F.posexplode(token_array("text")).alias("p0", "token"))
+    return toks.select("doc_id", (F.col("offset") + F.col("p0") + 1).cast("bigint").alias("pos"), "token")
