@@ -43,6 +43,24 @@ class TextIndex:
         return self.docs.count()
 
 
+def write_index(index: TextIndex, path: str, sort_by_term: bool = True) -> None:
+    """Store the index as parquet: ``{path}/postings`` and ``{path}/docs``.
+
+    With ``sort_by_term`` the postings are range partitioned and sorted by (term, doc_id), so each
+    file and row group covers a narrow term range and parquet min/max statistics prune term lookups.
+    """
+    postings = index.postings
+    if sort_by_term:
+        postings = postings.repartitionByRange("term").sortWithinPartitions("term", "doc_id")
+    postings.write.mode("overwrite").parquet(f"{path}/postings")
+    index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+
+
+def read_index(spark, path: str) -> TextIndex:
+    """Read an index written by ``write_index`` (scans prune columns and push term filters)."""
+    return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/docs"))
+
+
 def nonempty_docs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Ids of documents (or pages) whose text yields at least one token."""
     return docs.filter(F.col(text_col).rlike(HAS_TOKEN_PATTERN)).select("doc_id").distinct()

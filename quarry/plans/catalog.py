@@ -21,7 +21,7 @@ from quarry.operators import index as ix
 import uuid
 
 from quarry.operators import cluster, links, render, search, tfidf
-from quarry.session import reliable_checkpoint, shared_scratch_path
+from quarry.session import shared_scratch_path
 from quarry.sources import textformats
 from quarry.streaming import ingest
 from quarry.operators.positions import tokenize_docs, tokenize_pages
@@ -63,11 +63,15 @@ def raw_tokens(spark, sf):
 
 
 def doc_index(spark, sf, materialize: bool = False) -> ix.TextIndex:
-    """The index of ``documents``. ``materialize`` writes the postings once to the shared checkpoint
-    folder, for plans that read them in several branches (a deployment builds the index once and
-    queries the written table)."""
+    """The index of ``documents``. ``materialize`` writes it once as a parquet table in the shared
+    checkpoint folder, for plans that read it in several branches (as a deployment builds the index
+    once and queries the stored table); scans of it prune the positions column when unused."""
     idx = ix.build_index(docs(spark, sf))
-    return ix.TextIndex(reliable_checkpoint(idx.postings), idx.docs) if materialize else idx
+    if not materialize:
+        return idx
+    path = shared_scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    ix.write_index(idx, path, sort_by_term=False)
+    return ix.read_index(spark, path)
 
 
 def query_table(spark: SparkSession, sf: str) -> DataFrame:

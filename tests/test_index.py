@@ -102,3 +102,13 @@ def test_rejects(spark):
     good, bad = ix.split_rejects(d)
     assert [r.doc_id for r in good.collect()] == [1]
     assert sorted((r.doc_id or -1, r.reason) for r in bad.collect()) == [(-1, "null_id"), (3, "null_text")]
+
+
+def test_write_read_index_prunes(spark, docs_factory, tmp_path):
+    idx = ix.build_index(docs_factory(DOCS_A + DOCS_B))
+    ix.write_index(idx, str(tmp_path / "idx"))
+    back = ix.read_index(spark, str(tmp_path / "idx"))
+    assert as_dict(back.postings) == as_dict(idx.postings)
+    plan = back.postings.filter("term = 'open'").select("doc_id", "tf")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(term), EqualTo(term,open)]" in plan
+    assert "ReadSchema: struct<term:string,doc_id:bigint,tf:bigint>" in plan
