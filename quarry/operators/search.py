@@ -54,25 +54,33 @@ def and_division(qterms: DataFrame, postings: DataFrame) -> DataFrame:
             .filter(F.col("n_match") == F.col("n_terms")).select("query_id", "doc_id"))
 
 
-def and_rarest_first(qterms: DataFrame, postings: DataFrame, terms: DataFrame) -> DataFrame:
+def query_word_postings(qterms: DataFrame, postings: DataFrame) -> DataFrame:
+    """``(term, doc_id)`` postings of the words used by the query batch. The distinct query words are
+    broadcast behind a size check, so the whole postings table is filtered without a shuffle."""
+    qwords = qterms.select("term").distinct()
+    qwords = bounded_broadcast(qwords)
+    return postings.select("term", "doc_id").join(qwords, "term", "left_semi")
+
+
+def and_rarest_first(qterms: DataFrame, postings: DataFrame) -> DataFrame:
     """Q3 with Q5's rarest-first order, for a batch of queries.
 
     Each query starts from the postings of its rarest term (smallest df, ties by term), which bounds
     the candidates; every candidate (query, doc) is then checked against the other terms with a
-    semi-join on (term, doc_id). The work follows the rarest list, not the longest.
+    semi-join on (term, doc_id). Document frequencies are counted only for the query words, and the
+    work follows the rarest list, not the longest.
     """
     qt0 = _distinct_terms(qterms)
     small = is_small(qt0)
     qt = F.broadcast(qt0) if small else qt0
-    stats = qt.join(terms.select("term", "df"), "term", "left")
+    relevant = query_word_postings(qterms, postings)
+    qdf = relevant.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    stats = qt.join(qdf, "term", "left")
     per_query = stats.groupBy("query_id").agg(
         F.count(F.lit(1)).alias("n_terms"),
         F.count("df").alias("n_known"),
         F.min_by("term", F.struct("df", "term")).alias("pivot"))
     complete = per_query.filter(F.col("n_terms") == F.col("n_known"))
-    qwords = qt0.select("term").distinct()
-    relevant = postings.select("term", "doc_id").join(F.broadcast(qwords) if small else qwords,
-                                                       "term", "left_semi")
     cand = (relevant.join(complete.select("query_id", F.col("pivot").alias("term"), "n_terms"), "term")
             .select("query_id", "doc_id", "n_terms"))
     probes = cand.join(qt, "query_id").filter(F.col("n_terms") > 1)
@@ -90,18 +98,20 @@ def and_rarest_first(qterms: DataFrame, postings: DataFrame, terms: DataFrame) -
     return verified.unionByName(singles)
 
 
-def and_chain(terms: Sequence[str], postings: DataFrame, term_table: DataFrame) -> DataFrame | None:
+def and_chain(terms: Sequence[str], postings: DataFrame) -> DataFrame | None:
     """Q3/Q5 for one query given as normalized terms: ``(doc_id)`` of documents holding all terms,
     or ``None`` when a term is missing (as distinct from an empty result).
 
-    The terms' document frequencies (one row per query term) decide the order: the rarest list is
-    the start, and each further term is a ``left_semi`` join, so every step shrinks the candidates.
+    The terms' document frequencies (one row per query term, counted from postings filtered to the
+    query terms, which a stored index prunes by parquet statistics) decide the order: the rarest
+    list is the start, and each further term is a ``left_semi`` join, so every step shrinks the
+    candidates.
     """
     uniq = sorted(set(terms))
     if not uniq:
         return None
     dfs = {r["term"]: r["df"] for r in
-           term_table.filter(F.col("term").isin(uniq)).select("term", "df").collect()}
+           postings.filter(F.col("term").isin(uniq)).groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}
     if len(dfs) < len(uniq):
         return None
     order = sorted(uniq, key=lambda t: (dfs[t], t))
@@ -111,10 +121,11 @@ def and_chain(terms: Sequence[str], postings: DataFrame, term_table: DataFrame)
     return result
 
 
-def query_status(queries: DataFrame, qterms: DataFrame, hits: DataFrame, terms: DataFrame) -> DataFrame:
+def query_status(queries: DataFrame, qterms: DataFrame, hits: DataFrame, postings: DataFrame) -> DataFrame:
     """Q2/Q4: ``(query_id, status, n_terms, n_hits)`` for every query of the batch."""
     qt = _distinct_terms(qterms)
-    known = (qt.join(terms.select("term"), "term", "left_semi").groupBy("query_id")
+    in_vocab = query_word_postings(qterms, postings).select("term").distinct()
+    known = (qt.join(in_vocab, "term", "left_semi").groupBy("query_id")
              .agg(F.count(F.lit(1)).alias("n_known")))
     nt = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
     nh = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_hits"))

@@ -161,7 +161,7 @@ def _search(spark, sf, rarest_first: bool):
     queries = query_table(spark, sf)
     qterms = search.query_terms(queries)
     if rarest_first:
-        hits = search.and_rarest_first(qterms, idx.postings, idx.terms)
+        hits = search.and_rarest_first(qterms, idx.postings)
     else:
         hits = search.and_division(qterms, idx.postings)
     return queries, qterms, hits, idx
@@ -185,12 +185,12 @@ def q_and_query_semijoin(spark, sf):
 
 def q_query_status(spark, sf):
     queries, qterms, hits, idx = _search(spark, sf, True)
-    return search.query_status(queries, qterms, hits, idx.terms)
+    return search.query_status(queries, qterms, hits, idx.postings)
 
 
 def q_result_text(spark, sf):
     queries, qterms, hits, idx = _search(spark, sf, True)
-    return render.result_text(search.query_status(queries, qterms, hits, idx.terms), hits)
+    return render.result_text(search.query_status(queries, qterms, hits, idx.postings), hits)
 
 
 def q_session_union(spark, sf):

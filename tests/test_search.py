@@ -26,7 +26,7 @@ def test_and_query_matches_brute_force(spark, docs_factory):
     queries = spark.createDataFrame(qs, "query_id BIGINT, query STRING")
     qterms = search.query_terms(queries, NO_STEM_TECHNIQUES)
     for hits in (search.and_division(qterms, idx.postings),
-                 search.and_rarest_first(qterms, idx.postings, idx.terms)):
+                 search.and_rarest_first(qterms, idx.postings)):
         got = {}
         for r in hits.collect():
             got.setdefault(r.query_id, []).append(r.doc_id)
@@ -40,11 +40,11 @@ def test_statuses(spark, docs_factory):
           (5, "open zebra"), (6, "the of"), (7, "Open OPEN open"), (8, "   ")]
     queries = spark.createDataFrame(qs, "query_id BIGINT, query STRING")
     qterms = search.query_terms(queries)
-    hits = search.and_rarest_first(qterms, idx.postings, idx.terms)
-    st = {r.query_id: (r.status, r.n_hits) for r in search.query_status(queries, qterms, hits, idx.terms).collect()}
+    hits = search.and_rarest_first(qterms, idx.postings)
+    st = {r.query_id: (r.status, r.n_hits) for r in search.query_status(queries, qterms, hits, idx.postings).collect()}
     assert st == {1: ("hits", 1), 2: ("hits", 1), 3: ("hits", 1), 4: ("empty", 0), 5: ("missing_term", 0),
                   6: ("invalid", 0), 7: ("hits", 1), 8: ("invalid", 0)}
-    lines = {r.query_id: r.line for r in result_text(search.query_status(queries, qterms, hits, idx.terms), hits).collect()}
+    lines = {r.query_id: r.line for r in result_text(search.query_status(queries, qterms, hits, idx.postings), hits).collect()}
     assert lines[3] == "Retrieved Document IDs (1): 50"
     assert lines[5] == "No documents returned."
     assert session_text(search.session_union(hits)).first().line == "Documents retrieved (2): 1, 50"
@@ -66,7 +66,7 @@ def test_and_chain_matches_brute_force(spark, docs_factory):
     docs = corpus(seed=11)
     idx = ix.build_index(docs_factory(docs), NO_STEM_TECHNIQUES)
     for q in (["open", "river"], ["stone"], ["cloud", "paper", "light"], ["open", "open"]):
-        got = sorted(r.doc_id for r in search.and_chain(q, idx.postings, idx.terms).collect())
+        got = sorted(r.doc_id for r in search.and_chain(q, idx.postings).collect())
         assert got == brute(docs, q)
-    assert search.and_chain(["open", "zebra"], idx.postings, idx.terms) is None
-    assert search.and_chain([], idx.postings, idx.terms) is None
+    assert search.and_chain(["open", "zebra"], idx.postings) is None
+    assert search.and_chain([], idx.postings) is None
