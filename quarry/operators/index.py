@@ -43,13 +43,15 @@ class TextIndex:
         return self.docs.count()
 
 
-def write_index(index: TextIndex, path: str, sort_by_term: bool = True) -> None:
+def write_index(index: TextIndex, path: str, sort_by_term: bool = True, positions: bool = True) -> None:
     """Store the index as parquet: ``{path}/postings`` and ``{path}/docs``.
 
     With ``sort_by_term`` the postings are range partitioned and sorted by (term, doc_id), so each
     file and row group covers a narrow term range and parquet min/max statistics prune term lookups.
+    Without ``positions`` only ``(term, doc_id, tf)`` is stored (all that TF-IDF, clustering and
+    AND search need); the build then skips collecting positions altogether (Catalyst prunes it).
     """
-    postings = index.postings
+    postings = index.postings if positions else index.postings.select("term", "doc_id", "tf")
     if sort_by_term:
         postings = postings.repartitionByRange("term").sortWithinPartitions("term", "doc_id")
     postings.write.mode("overwrite").parquet(f"{path}/postings")

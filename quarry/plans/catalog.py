@@ -63,14 +63,14 @@ def raw_tokens(spark, sf):
 
 
 def doc_index(spark, sf, materialize: bool = False) -> ix.TextIndex:
-    """The index of ``documents``. ``materialize`` writes it once as a parquet table in the shared
-    checkpoint folder, for plans that read it in several branches (as a deployment builds the index
-    once and queries the stored table); scans of it prune the positions column when unused."""
+    """The index of ``documents``. ``materialize`` writes ``(term, doc_id, tf)`` once as a parquet
+    table in the shared checkpoint folder, for plans that read it in several branches and need no
+    positions (search, TF-IDF, clustering), as a deployment builds once and queries the table."""
     idx = ix.build_index(docs(spark, sf))
     if not materialize:
         return idx
     path = shared_scratch_path(spark, f"index-{uuid.uuid4().hex}")
-    ix.write_index(idx, path, sort_by_term=False)
+    ix.write_index(idx, path, sort_by_term=False, positions=False)
     return ix.read_index(spark, path)
 
 
