@@ -21,7 +21,7 @@ from quarry.operators import index as ix
 import uuid
 
 from quarry.operators import cluster, links, render, search, tfidf
-from quarry.session import shared_scratch_path
+from quarry.session import reliable_checkpoint, shared_scratch_path
 from quarry.sources import textformats
 from quarry.streaming import ingest
 from quarry.operators.positions import tokenize_docs, tokenize_pages
@@ -159,7 +159,9 @@ def q_index_dump(spark, sf):
 def _search(spark, sf, rarest_first: bool):
     idx = doc_index(spark, sf, materialize=True)
     queries = query_table(spark, sf)
-    qterms = search.query_terms(queries)
+    # The batch's normalized terms (bounded by the batch) are read by every branch of the search
+    # and by each size check: compute them once.
+    qterms = reliable_checkpoint(search.query_terms(queries))
     if rarest_first:
         hits = search.and_rarest_first(qterms, idx.postings)
     else:
