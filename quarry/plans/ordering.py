@@ -19,6 +19,12 @@ from quarry.session import reliable_checkpoint
 def dense_index(df: DataFrame, order_cols: list[str], out_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based index of each row in ``order_cols`` order (keys must be unique)."""
+    return dense_index_with_total(df, order_cols, out_col, num_partitions)[0]
+
+
+def dense_index_with_total(df: DataFrame, order_cols: list[str], out_col: str = "rank",
+                           num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``dense_index`` plus the number of rows (known from the per-partition counts)."""
     spark = df.sparkSession
     n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = reliable_checkpoint(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
@@ -31,6 +37,7 @@ def dense_index(df: DataFrame, order_cols: list[str], out_col: str = "rank",
         running += counts.get(pid, 0)
     offset_arr = F.array(*[F.lit(o).cast("bigint") for o in offsets])
     local_index = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    return tagged.select(
+    out = tagged.select(
         *[F.col(c) for c in df.columns],
         (F.element_at(offset_arr, F.col("__pid") + 1) + local_index + 1).alias(out_col))
+    return out, running
