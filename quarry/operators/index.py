@@ -63,9 +63,12 @@ def read_index(spark, path: str) -> TextIndex:
     return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/docs"))
 
 
-def nonempty_docs(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Ids of documents (or pages) whose text yields at least one token."""
-    return docs.filter(F.col(text_col).rlike(HAS_TOKEN_PATTERN)).select("doc_id").distinct()
+def nonempty_docs(docs: DataFrame, text_col: str = "text", unique_ids: bool = False) -> DataFrame:
+    """Ids of documents (or pages) whose text yields at least one token. A table of pages needs
+    the ``distinct``; a table with one row per document (``unique_ids``) does not, and skips the
+    shuffle."""
+    ids = docs.filter(F.col(text_col).rlike(HAS_TOKEN_PATTERN)).select("doc_id")
+    return ids if unique_ids else ids.distinct()
 
 
 def normalized_terms(tokens: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> DataFrame:
@@ -83,7 +86,7 @@ def build_postings(terms: DataFrame) -> DataFrame:
 def build_index(docs: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> TextIndex:
     """Index one-page documents ``(doc_id, text)``."""
     terms = normalized_terms(tokenize_docs(docs), techniques)
-    return TextIndex(build_postings(terms), nonempty_docs(docs))
+    return TextIndex(build_postings(terms), nonempty_docs(docs, unique_ids=True))
 
 
 def build_paged_index(pages: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> TextIndex:

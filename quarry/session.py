@@ -43,7 +43,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a scratch folder created and set.
+    Only when the session has none and runs in local mode (tests) is a scratch folder created and
+    set; on a cluster an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -53,6 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors (e.g. on the "
+                           "cluster's distributed file system); a machine-local folder does not "
+                           "survive executor loss")
     local = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("QUARRY_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -72,3 +72,15 @@ def test_guard(spark, weights):
     assert [r.k for r in rows] == [2, 10]
     assert rows[1].line.startswith("Error: Cannot perform k-means clustering when k > total documents collected.")
     assert rows[1].line.endswith("(k = 10; Total Documents Collected = 8)")
+
+
+def test_cluster_report_layout(spark, weights):
+    idx, w = weights
+    rep = cluster.cluster_report(spark, w, idx.docs, (2, 10))
+    rows = sorted(rep.collect(), key=lambda r: (r.k, r.section, r.cluster))
+    assert rows[0].line == "k = 2"
+    members = [r.line for r in rows if r.k == 2 and r.section == 1]
+    assert len(members) == 2 and all(m.startswith(f"Cluster {i}: ") for i, m in enumerate(members))
+    assert rows[-1].k == 10 and rows[-1].line.startswith("Error: Cannot perform k-means clustering")
+    tops = [r.line for r in rows if r.k == 2 and r.section == 2]
+    assert tops[0].startswith("Cluster 0:\n")
