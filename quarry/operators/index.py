@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.normalize import ALL_TECHNIQUES, Technique, normalize
 from quarry.operators.positions import tokenize_docs, tokenize_pages
-from quarry.plans.ordering import dense_index
+from quarry.plans.ordering import dense_index, nth_smallest
 
 # Fixed value: a text yields at least one token iff it holds a character that is not white space
 # (every such character starts a token of the tokenizer pattern).
@@ -134,8 +134,9 @@ def doc_limit(docs: DataFrame, n: int) -> DataFrame:
     """The first ``n`` non-empty documents in id order (``docs``: ``(doc_id, text)``)."""
     if n < 1:
         raise ValueError("the document limit must be at least 1")
-    ranked = dense_index(nonempty_docs(docs), ["doc_id"], "rank")
-    return ranked.filter(F.col("rank") <= n).select("doc_id")
+    ne = nonempty_docs(docs)
+    cut = nth_smallest(ne, ["doc_id"], n)
+    return ne if cut is None else ne.filter(F.col("doc_id") <= cut[0])
 
 
 def dense_doc_ids(docs: DataFrame) -> DataFrame:
@@ -156,9 +157,7 @@ def vocabulary_cut(terms: DataFrame, capacity: int | None) -> tuple[int, int] |
         raise ValueError("capacity must be at least 1")
     firsts = terms.groupBy("term").agg(F.min(F.struct("doc_id", "pos")).alias("first")).select(
         "term", F.col("first.doc_id").alias("fd"), F.col("first.pos").alias("fp"))
-    ranked = dense_index(firsts, ["fd", "fp"], "rank")
-    cut = ranked.filter(F.col("rank") == capacity).select("fd", "fp").collect()
-    return (cut[0]["fd"], cut[0]["fp"]) if cut else None
+    return nth_smallest(firsts, ["fd", "fp"], capacity)
 
 
 def vocabulary_cap(terms: DataFrame, capacity: int | None) -> DataFrame:

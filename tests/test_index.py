@@ -112,3 +112,13 @@ def test_write_read_index_prunes(spark, docs_factory, tmp_path):
     plan = back.postings.filter("term = 'open'").select("doc_id", "tf")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(term), EqualTo(term,open)]" in plan
     assert "ReadSchema: struct<term:string,doc_id:bigint,tf:bigint>" in plan
+
+
+def test_nth_smallest_both_paths(spark, monkeypatch):
+    from quarry.plans import ordering
+    df = spark.range(1, 500).selectExpr("id * 3 AS a", "id % 7 AS b")
+    assert ordering.nth_smallest(df, ["a"], 10) == (30,)
+    assert ordering.nth_smallest(df, ["a"], 1000) is None
+    monkeypatch.setattr(ordering, "TOP_N_LIMIT", 5)
+    assert ordering.nth_smallest(df, ["a"], 10) == (30,)
+    assert ordering.nth_smallest(df, ["a"], 1000) is None
