@@ -7,7 +7,7 @@ arrays rendered as strings.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +17,12 @@ from quarry.functions.normalize import (
     normalize,
 )
 from quarry.functions.porter import porter_stem
-from quarry.operators import index as ix
-import uuid
-
 from quarry.operators import cluster, links, render, search, tfidf
+from quarry.operators import index as ix
+from quarry.operators.positions import tokenize_docs, tokenize_pages
 from quarry.session import reliable_checkpoint, shared_scratch_path
-from quarry.sources import textformats
+from quarry.sources import tables, textformats
 from quarry.streaming import ingest
-from quarry.operators.positions import tokenize_docs, tokenize_pages
-from quarry.sources import tables
 
 # The query batch run against ``documents`` (one per status the search can report).
 QUERY_SET = [

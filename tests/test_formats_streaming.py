@@ -1,7 +1,6 @@
 import tempfile
 
 from quarry.operators import index as ix
-from quarry.operators.positions import tokenize_docs
 from quarry.sources import textformats
 from quarry.streaming import ingest
 

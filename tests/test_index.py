@@ -1,10 +1,9 @@
-from collections import defaultdict
 
 from pyspark.sql import functions as F
 
 from quarry.functions.normalize import NO_STEM_TECHNIQUES
 from quarry.operators import index as ix
-from quarry.operators.positions import tokenize_pages
+from quarry.operators.positions import tokenize_docs, tokenize_pages
 from quarry.operators.render import index_dump
 
 DOCS_A = [(1, "Open access. Open Access is open!"), (2, "Access denied; the door is open")]
@@ -40,7 +39,7 @@ def test_merge_same_doc_concatenates(spark, docs_factory):
 def test_tf_sums_to_surviving_tokens(spark, docs_factory):
     d = docs_factory(DOCS_A + DOCS_B)
     idx = ix.build_index(d)
-    n = ix.normalized_terms(__import__("quarry.operators.positions", fromlist=["x"]).tokenize_docs(d)).count()
+    n = ix.normalized_terms(tokenize_docs(d)).count()
     assert idx.postings.agg(F.sum("tf")).first()[0] == n
 
 
@@ -89,7 +88,7 @@ def sequential_cap(terms_rows, capacity):
 
 def test_vocabulary_cap_matches_sequential(spark, docs_factory):
     d = docs_factory([(1, "alpha beta alpha gamma"), (2, "beta delta epsilon alpha"), (3, "zeta eta alpha")])
-    terms = ix.normalized_terms(__import__("quarry.operators.positions", fromlist=["x"]).tokenize_docs(d),
+    terms = ix.normalized_terms(tokenize_docs(d),
                                 NO_STEM_TECHNIQUES)
     rows = [(r.doc_id, r.pos, r.term) for r in terms.collect()]
     for cap in [1, 2, 3, 4, 5, 6, 7, 100]:
