@@ -183,3 +183,18 @@ def split_rejects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "doc_id", F.when(F.col("doc_id").isNull(), F.lit("null_id")).otherwise(F.lit("null_text"))
         .alias("reason"))
     return good, rejects
+
+
+def split_page_rejects(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """X10 for multi-page documents: a document is atomic, so one page with a null text (or a null
+    page number) rejects all of its pages. Pages with a null document id are rejected on their own.
+    Returns ``(good_pages, rejects)`` with rejects ``(doc_id, page_no, reason)``."""
+    bad_page = F.col("text").isNull() | F.col("page_no").isNull()
+    keyed = pages.filter(F.col("doc_id").isNotNull())
+    bad_docs = keyed.filter(bad_page).select("doc_id").distinct()
+    good = keyed.join(bad_docs, "doc_id", "left_anti")
+    in_bad_doc = keyed.join(bad_docs, "doc_id", "left_semi").select(
+        "doc_id", "page_no",
+        F.when(bad_page, F.lit("null_text")).otherwise(F.lit("document_rejected")).alias("reason"))
+    no_id = pages.filter(F.col("doc_id").isNull()).select("doc_id", "page_no", F.lit("null_id").alias("reason"))
+    return good, in_bad_doc.unionByName(no_id)

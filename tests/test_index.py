@@ -121,3 +121,13 @@ def test_nth_smallest_both_paths(spark, monkeypatch):
     monkeypatch.setattr(ordering, "TOP_N_LIMIT", 5)
     assert ordering.nth_smallest(df, ["a"], 10) == (30,)
     assert ordering.nth_smallest(df, ["a"], 1000) is None
+
+
+def test_page_rejects_are_atomic(spark):
+    pages = spark.createDataFrame(
+        [(1, 1, "a"), (1, 2, None), (1, 3, "c"), (2, 1, "ok"), (None, 1, "x")],
+        "doc_id BIGINT, page_no BIGINT, text STRING")
+    good, bad = ix.split_page_rejects(pages)
+    assert sorted((r.doc_id, r.page_no) for r in good.collect()) == [(2, 1)]
+    assert sorted((r.doc_id or -1, r.page_no, r.reason) for r in bad.collect()) == [
+        (-1, 1, "null_id"), (1, 1, "document_rejected"), (1, 2, "null_text"), (1, 3, "document_rejected")]
