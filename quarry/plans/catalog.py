@@ -335,6 +335,12 @@ def q_rejects(spark, sf):
     return ix.split_rejects(tables.read_table(spark, sf, "documents").select("doc_id", "text"))[1]
 
 
+def q_page_rejects(spark, sf):
+    pages = tables.read_table(spark, sf, "conversations").select(
+        F.col("conv_id").cast("bigint").alias("doc_id"), F.col("turn").cast("bigint").alias("page_no"), "text")
+    return ix.split_page_rejects(pages)[1]
+
+
 def q_stream_ingest(spark, sf):
     out = shared_scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     q = ingest.start_ingest(spark, ingest.file_glob(tables.table_path(sf, "documents")), f"{out}/index", f"{out}/checkpoint")
@@ -391,5 +397,6 @@ CATALOG = {
     "dense_ids": q_dense_ids,
     "vocab_cap": q_vocab_cap,
     "rejects": q_rejects,
+    "page_rejects": q_page_rejects,
     "stream_ingest": q_stream_ingest,
 }

@@ -291,6 +291,12 @@ def oracle_sql() -> dict[str, str]:
                            f"SELECT term, doc_id, tf, {_positions()} AS positions FROM cp"),
         "rejects": "SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN doc_id IS NULL THEN 'null_id' ELSE 'null_text' "
                    "END AS reason FROM documents WHERE doc_id IS NULL OR text IS NULL",
+        "page_rejects": "WITH cp AS (SELECT CAST(conv_id AS BIGINT) AS doc_id, CAST(turn AS BIGINT) AS page_no, text "
+                        "FROM conversations), bad AS (SELECT DISTINCT doc_id FROM cp WHERE doc_id IS NOT NULL AND "
+                        "(text IS NULL OR page_no IS NULL)) "
+                        "SELECT doc_id, page_no, CASE WHEN text IS NULL OR page_no IS NULL THEN 'null_text' "
+                        "ELSE 'document_rejected' END AS reason FROM cp WHERE doc_id IN (SELECT doc_id FROM bad) "
+                        "UNION ALL SELECT doc_id, page_no, 'null_id' FROM cp WHERE doc_id IS NULL",
         "stream_ingest": sq["postings"],
     })
     return sq
