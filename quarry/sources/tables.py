@@ -25,21 +25,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def _cores_and_splits(df: DataFrame) -> tuple[int, int]:
+    """(default parallelism, partitions of ``df``'s plan); falls back to the shuffle-partition
+    setting where the session exposes no SparkContext (Spark Connect)."""
+    spark = df.sparkSession
+    try:
+        return spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    except Exception:   # noqa: BLE001 - no RDD API on this session
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return n, n
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread ``df`` by ``key`` only when its scan has fewer partitions than cores."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+    cores, splits = _cores_and_splits(df)
+    return df.repartition(cores, key) if splits < cores else df
 
 
 def by_document(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """Hash-partition a one-row-per-document table by its (unique) id, keeping at least as many
     partitions as the scan has splits and as the cluster has cores."""
-    spark = df.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
-    return df.repartition(n, key)
+    return df.repartition(max(_cores_and_splits(df)), key)
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
