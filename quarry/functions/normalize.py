@@ -25,28 +25,54 @@ NUMBER_PATTERN = "^[0-9.,]+$"
 
 @dataclass(frozen=True)
 class Technique:
+    """A normalization step. ``apply(df, col, guard)`` returns ``df`` with ``col`` normalized; rows
+    where the boolean column ``guard`` is true pass through untouched (they carry markers, not
+    tokens). Frame-level techniques (the stemmer) must keep null values as null rows."""
     name: str
-    apply: Callable[[DataFrame, str], DataFrame]
+    apply_fn: Callable[[DataFrame, str, Column | None], DataFrame]
+
+    def apply(self, df: DataFrame, col: str, guard: Column | None = None) -> DataFrame:
+        return self.apply_fn(df, col, guard)
 
     @staticmethod
     def from_column(name: str, fn: Callable[[Column], Column]) -> "Technique":
-        def _apply(df: DataFrame, col: str) -> DataFrame:
-            return df.withColumn(col, fn(F.col(col))).filter(F.col(col).isNotNull())
+        """Map the token to ``fn(token)``; a null result drops the token."""
+        def _apply(df: DataFrame, col: str, guard: Column | None) -> DataFrame:
+            value = fn(F.col(col))
+            if guard is None:
+                return df.withColumn(col, value).filter(F.col(col).isNotNull())
+            return (df.withColumn(col, F.when(guard, F.col(col)).otherwise(value))
+                    .filter(F.col(col).isNotNull() | guard))
         return Technique(name, _apply)
 
     @staticmethod
     def keep_if(name: str, predicate: Callable[[Column], Column]) -> "Technique":
-        def _apply(df: DataFrame, col: str) -> DataFrame:
-            return df.filter(predicate(F.col(col)))
+        """Keep the tokens for which ``predicate`` holds."""
+        def _apply(df: DataFrame, col: str, guard: Column | None) -> DataFrame:
+            cond = predicate(F.col(col))
+            return df.filter(cond if guard is None else (cond | guard))
+        return Technique(name, _apply)
+
+    @staticmethod
+    def map_column(name: str, fn: Callable[[Column], Column]) -> "Technique":
+        """Replace the token by ``fn(token)`` (never drops)."""
+        def _apply(df: DataFrame, col: str, guard: Column | None) -> DataFrame:
+            value = fn(F.col(col))
+            return df.withColumn(col, value if guard is None else F.when(guard, F.col(col)).otherwise(value))
         return Technique(name, _apply)
 
+    @staticmethod
+    def frame(name: str, fn: Callable[[DataFrame, str], DataFrame]) -> "Technique":
+        """A technique over the whole frame (null values must stay null rows)."""
+        return Technique(name, lambda df, col, guard: fn(df, col))
+
 
-UNFILTERED = Technique("Unfiltered", lambda df, col: df)
+UNFILTERED = Technique.frame("Unfiltered", lambda df, col: df)
 REMOVE_NUMBERS = Technique.keep_if("RemoveNumbers", lambda c: ~c.rlike(NUMBER_PATTERN))
-CASEFOLDING = Technique("Casefolding", lambda df, col: df.withColumn(col, F.lower(F.col(col))))
+CASEFOLDING = Technique.map_column("Casefolding", F.lower)
 FIRST_STOP_WORDS_FILTER = Technique.keep_if("ThirtyStopWords", lambda c: ~c.isin(FIRST_STOP_WORDS))
 REST_STOP_WORDS_FILTER = Technique.keep_if("OneHundredFiftyStopWords", lambda c: ~c.isin(REST_STOP_WORDS))
-PORTER_STEMMING = Technique("PorterStemming", lambda df, col: porter_stem(df, col))
+PORTER_STEMMING = Technique.frame("PorterStemming", lambda df, col: porter_stem(df, col))
 
 ALL_TECHNIQUES: tuple[Technique, ...] = (
     UNFILTERED, REMOVE_NUMBERS, CASEFOLDING, FIRST_STOP_WORDS_FILTER, REST_STOP_WORDS_FILTER,
@@ -60,15 +86,18 @@ def technique_names(techniques: Sequence[Technique] = ALL_TECHNIQUES) -> list[st
 
 
 def normalize(df: DataFrame, col: str = "token", out: str = "term",
-              techniques: Sequence[Technique] | Technique = ALL_TECHNIQUES) -> DataFrame:
+              techniques: Sequence[Technique] | Technique = ALL_TECHNIQUES,
+              marker: str | None = None) -> DataFrame:
     """Normalize the tokens of ``df[col]`` into ``out``; rows whose token is dropped disappear.
 
     ``techniques`` is a sequence, or a single technique (wrapped into a one-element list).
+    ``marker`` names a boolean column; rows where it is true pass every technique untouched.
     """
     if isinstance(techniques, Technique):
         techniques = [techniques]
+    guard = F.col(marker) if marker else None
     cur = df.withColumn(out, F.col(col)) if out != col else df
-    cur = cur.filter(F.col(out).isNotNull())
+    cur = cur.filter(F.col(out).isNotNull() if guard is None else (F.col(out).isNotNull() | guard))
     for t in techniques:
-        cur = t.apply(cur, out)
+        cur = t.apply(cur, out, guard)
     return cur

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.normalize import ALL_TECHNIQUES, Technique, normalize
-from quarry.operators.positions import tokenize_docs, tokenize_pages
+from quarry.operators.positions import tokenize_docs, tokenize_docs_marked, tokenize_pages
 from quarry.plans.ordering import dense_index, nth_smallest
 
 # Fixed value: a text yields at least one token iff it holds a character that is not white space
@@ -34,6 +34,8 @@ HAS_TOKEN_PATTERN = r"[^\s\x0B\p{Z}]"
 class TextIndex:
     postings: DataFrame
     docs: DataFrame
+    # postings plus one null-term row per non-empty document, from a single pass over the text
+    combined: DataFrame | None = None
 
     @property
     def terms(self) -> DataFrame:
@@ -50,17 +52,33 @@ def write_index(index: TextIndex, path: str, sort_by_term: bool = True, position
     file and row group covers a narrow term range and parquet min/max statistics prune term lookups.
     Without ``positions`` only ``(term, doc_id, tf)`` is stored (all that TF-IDF, clustering and
     AND search need); the build then skips collecting positions altogether (Catalyst prunes it).
+    With a ``combined`` aggregate (one-page documents) the document list is stored as null-term
+    rows of the same table, so the text is read once.
     """
-    postings = index.postings if positions else index.postings.select("term", "doc_id", "tf")
+    cols = ["term", "doc_id", "tf"] + (["positions"] if positions else [])
+    table = (index.combined if index.combined is not None else index.postings).select(*cols)
     if sort_by_term:
-        postings = postings.repartitionByRange("term").sortWithinPartitions("term", "doc_id")
-    postings.write.mode("overwrite").parquet(f"{path}/postings")
-    index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+        table = table.repartitionByRange("term").sortWithinPartitions("term", "doc_id")
+    table.write.mode("overwrite").parquet(f"{path}/postings")
+    if index.combined is None:
+        index.docs.write.mode("overwrite").parquet(f"{path}/docs")
 
 
 def read_index(spark, path: str) -> TextIndex:
     """Read an index written by ``write_index`` (scans prune columns and push term filters)."""
-    return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/docs"))
+    table = spark.read.parquet(f"{path}/postings")
+    if _exists(spark, f"{path}/docs"):
+        return TextIndex(table, spark.read.parquet(f"{path}/docs"))
+    return TextIndex(table.filter(F.col("term").isNotNull()),
+                     table.filter(F.col("term").isNull()).select("doc_id"))
+
+
+def _exists(spark, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:   # noqa: BLE001 - missing path
+        return False
 
 
 def nonempty_docs(docs: DataFrame, text_col: str = "text", unique_ids: bool = False) -> DataFrame:
@@ -84,9 +102,16 @@ def build_postings(terms: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> TextIndex:
-    """Index one-page documents ``(doc_id, text)``."""
-    terms = normalized_terms(tokenize_docs(docs), techniques)
-    return TextIndex(build_postings(terms), nonempty_docs(docs, unique_ids=True))
+    """Index one-page documents ``(doc_id, text)``.
+
+    ``postings`` and ``docs`` are lazy and independent (``docs`` is a cheap check on the text).
+    ``combined`` yields both from one pass over the text: each non-empty document contributes a
+    marker that passes normalization untouched and aggregates to a null-term row; ``write_index``
+    stores it, so materializing an index reads the text once."""
+    rows = tokenize_docs_marked(docs)
+    terms = normalize(rows, "token", "term", techniques, marker="__m").select("doc_id", "pos", "term")
+    combined = build_postings(terms)
+    return TextIndex(combined.filter(F.col("term").isNotNull()), nonempty_docs(docs, unique_ids=True), combined)
 
 
 def build_paged_index(pages: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> TextIndex:

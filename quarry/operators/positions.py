@@ -23,6 +23,17 @@ def tokenize_docs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .select("doc_id", (F.col("p0") + 1).cast("bigint").alias("pos"), "token"))
 
 
+def tokenize_docs_marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``tokenize_docs`` plus one marker row per document with at least one token: position 0,
+    a null token (no real token is null) and ``__m`` true. The marker lets one pass over the text
+    yield both the postings and the list of non-empty documents."""
+    arr = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), token_array(text_col).alias("__t"))
+    marked = F.when(F.size("__t") > 0, F.concat(F.array(F.lit(None).cast("string")), F.col("__t")))
+    return (arr.select("doc_id", F.posexplode(marked).alias("p0", "token"))
+            .select("doc_id", F.col("p0").cast("bigint").alias("pos"), "token",
+                    (F.col("p0") == 0).alias("__m")))
+
+
 def page_token_counts(pages: DataFrame) -> DataFrame:
     """``(doc_id, page_no, n)`` tokens per page. Pages that are blank count 0."""
     n = F.size(token_array("text"))   # null text: null (ANSI) or -1 (legacy), both mean 0

@@ -131,3 +131,14 @@ def test_page_rejects_are_atomic(spark):
     assert sorted((r.doc_id, r.page_no) for r in good.collect()) == [(2, 1)]
     assert sorted((r.doc_id or -1, r.page_no, r.reason) for r in bad.collect()) == [
         (-1, 1, "null_id"), (1, 1, "document_rejected"), (1, 2, "null_text"), (1, 3, "document_rejected")]
+
+
+def test_written_index_keeps_documents_in_one_table(spark, docs_factory, tmp_path):
+    idx = ix.build_index(docs_factory(DOCS_A + DOCS_B + [(6, "the of and"), (7, None)]))
+    ix.write_index(idx, str(tmp_path / "one"), sort_by_term=False, positions=False)
+    assert not (tmp_path / "one" / "docs").exists()
+    back = ix.read_index(spark, str(tmp_path / "one"))
+    assert sorted(r.doc_id for r in back.docs.collect()) == [1, 2, 3, 4, 6]
+    assert sorted(r.doc_id for r in idx.docs.collect()) == [1, 2, 3, 4, 6]
+    assert back.postings.filter("term IS NULL").count() == 0
+    assert {(r.term, r.doc_id) for r in back.postings.collect()} == {(r.term, r.doc_id) for r in idx.postings.collect()}
