@@ -43,3 +43,13 @@ def test_report_sinks(spark, docs_factory):
     textformats.write_index_dump(index_dump(idx.postings), path)
     lines = [r.value for r in spark.read.text(path).collect()]
     assert lines == ["alpha (2) --> 1[2], 2[1]", "mid (1) --> 2[2]", "zeta (1) --> 1[1]"]
+
+
+def test_replayed_batch_is_idempotent(spark):
+    base = tempfile.mkdtemp(prefix="quarry-test-")
+    terms = spark.createDataFrame([(1, 1, "open"), (1, 2, "access"), (2, 1, "open")],
+                                  "doc_id BIGINT, pos BIGINT, term STRING")
+    ingest.commit_batch(terms, 0, base)
+    ingest.commit_batch(terms, 0, base)          # replay of batch 0 after a failure
+    got = sorted((r.term, r.doc_id, r.tf) for r in ingest.compacted_postings(spark, base).collect())
+    assert got == [("access", 1, 1), ("open", 1, 1), ("open", 2, 1)]

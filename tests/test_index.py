@@ -142,3 +142,11 @@ def test_written_index_keeps_documents_in_one_table(spark, docs_factory, tmp_pat
     assert sorted(r.doc_id for r in idx.docs.collect()) == [1, 2, 3, 4, 6]
     assert back.postings.filter("term IS NULL").count() == 0
     assert {(r.term, r.doc_id) for r in back.postings.collect()} == {(r.term, r.doc_id) for r in idx.postings.collect()}
+
+
+def test_ordered_concat_across_buckets(spark):
+    from quarry.operators.render import ordered_concat
+    ids = [9000, 3, 4097, 12289, 4096, 1]
+    df = spark.createDataFrame([(1, i, str(i)) for i in ids], "k BIGINT, o BIGINT, s STRING")
+    row = ordered_concat(df, ["k"], "o", "s", ", ", "line", count_col="n").first()
+    assert row.line == ", ".join(str(i) for i in sorted(ids)) and row.n == len(ids)

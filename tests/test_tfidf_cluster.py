@@ -84,3 +84,27 @@ def test_cluster_report_layout(spark, weights):
     assert rows[-1].k == 10 and rows[-1].line.startswith("Error: Cannot perform k-means clustering")
     tops = [r.line for r in rows if r.k == 2 and r.section == 2]
     assert tops[0].startswith("Cluster 0:\n")
+
+
+def sse(weights, labels, cents):
+    """Sum over documents of the squared distance to their centroid (zero rows included)."""
+    w = {}
+    for r in weights.collect():
+        w.setdefault(r.doc_id, {})[r.term] = r.w
+    c = {}
+    for r in cents.collect():
+        c.setdefault(r.cluster, {})[r.term] = r.w
+    total = 0.0
+    for r in labels.collect():
+        x, m = w.get(r.doc_id, {}), c.get(r.cluster, {})
+        total += sum((x.get(t, 0.0) - m.get(t, 0.0)) ** 2 for t in set(x) | set(m))
+    return total
+
+
+def test_kmeans_sql_cost_does_not_increase(spark, weights):
+    idx, w = weights
+    costs = []
+    for it in range(0, 4):
+        labels, cents = cluster.kmeans_sql(w, idx.docs, 3, it)
+        costs.append(sse(w, labels, cluster.centroids_of(w, labels)))
+    assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:])), costs
