@@ -48,18 +48,27 @@ def and_division(qterms: DataFrame, postings: DataFrame) -> DataFrame:
     """
     qt = bounded_broadcast(_distinct_terms(qterms))
     n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
-    matched = (postings.select("term", "doc_id").join(qt, "term")
+    matched = (query_word_postings(qterms, postings).join(qt, "term")
                .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("n_match")))
     return (matched.join(n_terms, "query_id")
             .filter(F.col("n_match") == F.col("n_terms")).select("query_id", "doc_id"))
 
 
+# A batch using at most this many distinct words filters the postings with a literal IN list, which
+# Spark pushes into the parquet scan of a stored index (row groups of a term-sorted index that hold
+# none of the words are skipped). Larger batches use a broadcast (or shuffled) semi-join.
+PUSHDOWN_MAX_WORDS = 10_000
+
+
 def query_word_postings(qterms: DataFrame, postings: DataFrame) -> DataFrame:
-    """``(term, doc_id)`` postings of the words used by the query batch. The distinct query words are
-    broadcast behind a size check, so the whole postings table is filtered without a shuffle."""
+    """``(term, doc_id)`` postings of the words used by the query batch, without a shuffle of the
+    postings: a pushed-down IN filter for a bounded word list, else a size-checked broadcast
+    semi-join, else a sort-merge semi-join."""
     qwords = qterms.select("term").distinct()
-    qwords = bounded_broadcast(qwords)
-    return postings.select("term", "doc_id").join(qwords, "term", "left_semi")
+    if is_small(qwords, PUSHDOWN_MAX_WORDS):
+        words = [r["term"] for r in qwords.collect()]
+        return postings.select("term", "doc_id").filter(F.col("term").isin(words))
+    return postings.select("term", "doc_id").join(bounded_broadcast(qwords), "term", "left_semi")
 
 
 def and_rarest_first(qterms: DataFrame, postings: DataFrame) -> DataFrame:

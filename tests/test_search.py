@@ -70,3 +70,18 @@ def test_and_chain_matches_brute_force(spark, docs_factory):
         assert got == brute(docs, q)
     assert search.and_chain(["open", "zebra"], idx.postings) is None
     assert search.and_chain([], idx.postings) is None
+
+
+def test_query_words_pushed_into_stored_index(spark, docs_factory, tmp_path):
+    docs = corpus(seed=5)
+    idx = ix.build_index(docs_factory(docs), NO_STEM_TECHNIQUES)
+    ix.write_index(idx, str(tmp_path / "idx"), sort_by_term=True, positions=False)
+    stored = ix.read_index(spark, str(tmp_path / "idx"))
+    queries = spark.createDataFrame([(1, "open river"), (2, "stone")], "query_id BIGINT, query STRING")
+    qterms = search.query_terms(queries, NO_STEM_TECHNIQUES)
+    rel = search.query_word_postings(qterms, stored.postings)
+    plan = rel._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "In(term" in plan
+    hits = {(r.query_id, r.doc_id) for r in search.and_division(qterms, stored.postings).collect()}
+    want = {(1, d) for d in brute(docs, ["open", "river"])} | {(2, d) for d in brute(docs, ["stone"])}
+    assert hits == want
