@@ -252,6 +252,11 @@ def q_kmeans_guard(spark, sf):
     return cluster.guard_lines(spark, idx.docs, cluster.DEFAULT_KS)
 
 
+def q_cluster_report_sql(spark, sf):
+    idx, w = _weights(spark, sf)
+    return cluster.cluster_report_sql(spark, w, idx.docs, cluster.DEFAULT_KS, SQL_KMEANS_ITERATIONS)
+
+
 def q_cluster_report(spark, sf):
     idx, w = _weights(spark, sf)
     return cluster.cluster_report(spark, w, idx.docs, cluster.DEFAULT_KS)
@@ -383,6 +388,7 @@ CATALOG = {
     "kmeans_ml_k20": _ml(20),
     "kmeans_guard": q_kmeans_guard,
     "cluster_report": q_cluster_report,
+    "cluster_report_sql": q_cluster_report_sql,
     "links": q_links,
     "link_domain": q_link_domain,
     "link_class": q_link_class,

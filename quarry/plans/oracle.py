@@ -14,7 +14,7 @@ from quarry.functions.normalize import NUMBER_PATTERN
 from quarry.plans.catalog import (
     BENCHMARK_QUERY_OFFSET, LOOKUP_TERM, QUERY_SET, SQL_KMEANS_ITERATIONS, SQL_KMEANS_K,
 )
-from quarry.operators.cluster import SCORE_DIGITS, TOP_TERMS
+from quarry.operators.cluster import DEFAULT_KS, SCORE_DIGITS, TOP_TERMS
 from quarry.operators.links import (
     DIR_PATTERN, HOST_PATTERN, HREF_PATTERN, LINK_RULES, ORIGIN_PATTERN, SCHEME_PATTERN,
 )
@@ -118,11 +118,12 @@ TFIDF_BASE = ", ".join([
 ])
 
 
-def _kmeans_ctes(k: int, iterations: int) -> tuple[str, str, str]:
-    """CTEs of the deterministic k-means; returns (ctes, final labels name, final centroids name)."""
+def _kmeans_ctes(k: int, iterations: int, p: str = "") -> tuple[str, str, str]:
+    """CTEs of the deterministic k-means (names prefixed with ``p``); returns (ctes, final labels
+    name, final centroids name)."""
     d = SCORE_DIGITS
     ctes = [
-        f"seeds AS (SELECT doc_id, CAST(rn - 1 AS BIGINT) AS cluster FROM (SELECT doc_id, row_number() OVER "
+        f"{p}seeds AS (SELECT doc_id, CAST(rn - 1 AS BIGINT) AS cluster FROM (SELECT doc_id, row_number() OVER "
         f"(ORDER BY doc_id) AS rn FROM (SELECT DISTINCT doc_id FROM wt)) WHERE rn <= {k})",
     ]
 
@@ -142,16 +143,45 @@ def _kmeans_ctes(k: int, iterations: int) -> tuple[str, str, str]:
                 f"{name} AS (SELECT doc_id, cluster FROM (SELECT doc_id, cluster, row_number() OVER "
                 f"(PARTITION BY doc_id ORDER BY score, cluster) AS rn FROM {name}_all) WHERE rn = 1)")
 
-    ctes.append(centroids("c0", "seeds"))
-    prev = "c0"
+    ctes.append(centroids(f"{p}c0", f"{p}seeds"))
+    prev = f"{p}c0"
     for i in range(1, iterations + 1):
-        ctes.append(assign(f"l{i}", prev))
-        ctes.append(centroids(f"cn{i}", f"l{i}"))
-        ctes.append(f"c{i} AS (SELECT * FROM cn{i} UNION ALL SELECT * FROM {prev} "
-                    f"WHERE cluster NOT IN (SELECT cluster FROM l{i}))")
-        prev = f"c{i}"
-    ctes.append(assign("lf", prev))
-    return ", ".join(ctes), "lf", prev
+        ctes.append(assign(f"{p}l{i}", prev))
+        ctes.append(centroids(f"{p}cn{i}", f"{p}l{i}"))
+        ctes.append(f"{p}c{i} AS (SELECT * FROM {p}cn{i} UNION ALL SELECT * FROM {prev} "
+                    f"WHERE cluster NOT IN (SELECT cluster FROM {p}l{i}))")
+        prev = f"{p}c{i}"
+    ctes.append(assign(f"{p}lf", prev))
+    return ", ".join(ctes), f"{p}lf", prev
+
+
+def _report_sql(ks, iterations: int) -> str:
+    """The cluster report of the deterministic k-means for each k (stops at the first k > n)."""
+    ctes, blocks, prev_k = [TFIDF_BASE, "nd AS (SELECT count(*) AS n FROM ne)"], [], 0
+    for k in ks:
+        km, lab, cen = _kmeans_ctes(k, iterations, f"k{k}_")
+        ctes.append(km)
+        ok = f"(SELECT n FROM nd) >= {k}"
+        blocks.append(
+            f"SELECT CAST({k} AS BIGINT) AS k, 0 AS section, CAST(-1 AS BIGINT) AS cluster, "
+            f"'Error: Cannot perform k-means clustering when k > total documents collected. (k = {k}; "
+            f"Total Documents Collected = ' || (SELECT n FROM nd) || ')' AS line "
+            f"WHERE (SELECT n FROM nd) < {k} AND (SELECT n FROM nd) >= {prev_k}")
+        blocks.append(f"SELECT CAST({k} AS BIGINT), 0, CAST(-1 AS BIGINT), 'k = {k}' WHERE {ok}")
+        blocks.append(
+            f"SELECT CAST({k} AS BIGINT), 1, c.cluster, 'Cluster ' || c.cluster || ': ' || "
+            f"coalesce(m.ids, 'No documents') FROM (SELECT CAST(range AS BIGINT) AS cluster FROM range({k})) c "
+            f"LEFT JOIN (SELECT cluster, string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) AS ids "
+            f"FROM {lab} GROUP BY cluster) m USING (cluster) WHERE {ok}")
+        blocks.append(
+            f"SELECT CAST({k} AS BIGINT), 2, c.cluster, 'Cluster ' || c.cluster || ':' || chr(10) || "
+            f"coalesce(t.line, '') FROM (SELECT CAST(range AS BIGINT) AS cluster FROM range({k})) c LEFT JOIN "
+            f"(SELECT cluster, string_agg(printf('%s: %.4f', term, w), ', ' ORDER BY rn) AS line FROM "
+            f"(SELECT cluster, term, w, row_number() OVER (PARTITION BY cluster ORDER BY round(w, {SCORE_DIGITS}) "
+            f"DESC, term) AS rn FROM {cen} WHERE w > 0) WHERE rn <= {TOP_TERMS} GROUP BY cluster) t USING (cluster) "
+            f"WHERE {ok}")
+        prev_k = k
+    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(blocks)
 
 
 def _with(base: str, select: str) -> str:
@@ -298,5 +328,6 @@ def oracle_sql() -> dict[str, str]:
                         "ELSE 'document_rejected' END AS reason FROM cp WHERE doc_id IN (SELECT doc_id FROM bad) "
                         "UNION ALL SELECT doc_id, page_no, 'null_id' FROM cp WHERE doc_id IS NULL",
         "stream_ingest": sq["postings"],
+        "cluster_report_sql": _report_sql(DEFAULT_KS, SQL_KMEANS_ITERATIONS),
     })
     return sq

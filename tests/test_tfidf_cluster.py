@@ -108,3 +108,12 @@ def test_kmeans_sql_cost_does_not_increase(spark, weights):
         labels, cents = cluster.kmeans_sql(w, idx.docs, 3, it)
         costs.append(sse(w, labels, cluster.centroids_of(w, labels)))
     assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:])), costs
+
+
+def test_cluster_report_sql_guard(spark, weights):
+    idx, w = weights
+    rows = sorted(cluster.cluster_report_sql(spark, w, idx.docs, (2, 10, 20)).collect(),
+                  key=lambda r: (r.k, r.section, r.cluster))
+    assert [r.k for r in rows].count(20) == 0
+    assert rows[-1].k == 10 and rows[-1].line.endswith("(k = 10; Total Documents Collected = 8)")
+    assert [r.line for r in rows if r.k == 2 and r.section == 0] == ["k = 2"]
