@@ -26,7 +26,7 @@ def token_log_lines(tokens: DataFrame) -> DataFrame:
 
 def write_token_log(tokens: DataFrame, path: str, per_document: bool = False) -> None:
     """Write the token log; lines of a document are in position order. ``per_document`` writes one
-    folder per document (the reference's file-per-document layout; only for modest collections)."""
+    folder per document (a file-per-document layout; only for modest collections)."""
     lines = token_log_lines(tokens)
     if per_document:
         (lines.repartition("doc_id").sortWithinPartitions("doc_id", "pos")

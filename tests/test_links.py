@@ -5,12 +5,12 @@ from quarry.operators import links
 # candidate links: one per rule, none, off-domain, subdomain, /2019.html vs /2021.html,
 # two URLs with one basename, one exact duplicate.
 URLS = [
-    "https://spectrum.example.org/id/eprint/1/1/Thesis_A.pdf",     # rule 1 (and 3): document
-    "https://spectrum.example.org/view/year/2021.html",            # rule 2
-    "https://spectrum.example.org/view/year/2019.html",            # none
-    "https://spectrum.example.org/id/eprint/987/",                 # rule 3
-    "https://spectrum.example.org/view/thesis_type/",              # rule 4
-    "https://spectrum.example.org/view/document_subtype/",         # rule 5
+    "https://repo.example.org/id/eprint/1/1/Thesis_A.pdf",     # rule 1 (and 3): document
+    "https://repo.example.org/view/year/2021.html",            # rule 2
+    "https://repo.example.org/view/year/2019.html",            # none
+    "https://repo.example.org/id/eprint/987/",                 # rule 3
+    "https://repo.example.org/view/thesis_type/",              # rule 4
+    "https://repo.example.org/view/document_subtype/",         # rule 5
     "https://www.example.org/about",                               # none
     "https://other.test/id/eprint/5/",                             # off-domain
     "https://example.org/x/report.pdf",                            # same basename as next
