@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 # Rule 1 marks a document to ingest; rules 2-5 mark pages whose links are followed.
 LINK_RULES = [
     (1, r"\.pdf", "document"),
-    (2, r"(/2\d2\d)\.(html)$", "follow"),
-    (3, r"id/eprint", "follow"),
-    (4, r"/thesis[^/]*/$", "follow"),
-    (5, r"/document_subtype/$", "follow"),
+    (2, r"(\/2\d2\d)\.(html)$", "follow"),
+    (3, r"id\/eprint", "follow"),
+    (4, r"\/thesis[^\/]*\/$", "follow"),
+    (5, r"\/document_subtype/$", "follow"),
 ]
 HREF_PATTERN = r'href="([^"]*)"'
 SCHEME_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*:"
