@@ -120,11 +120,14 @@ def build_paged_index(pages: DataFrame, techniques: Sequence[Technique] = ALL_TE
     return TextIndex(build_postings(terms), nonempty_docs(pages))
 
 
-def merge_postings(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Union two postings tables; a (term, doc) present in both gets the positions of both."""
+def merge_postings(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Union postings tables; a (term, doc) present in several gets the positions of all.
+    With one table this compacts it (e.g. the deltas of a stream)."""
     cols = ["term", "doc_id", "positions", "tf"]
-    return (a.select(*cols).unionByName(b.select(*cols))
-            .groupBy("term", "doc_id")
+    union = first.select(*cols)
+    for other in others:
+        union = union.unionByName(other.select(*cols))
+    return (union.groupBy("term", "doc_id")
             .agg(F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"),
                  F.sum("tf").cast("bigint").alias("tf")))
 
