@@ -150,3 +150,32 @@ def test_ordered_concat_across_buckets(spark):
     df = spark.createDataFrame([(1, i, str(i)) for i in ids], "k BIGINT, o BIGINT, s STRING")
     row = ordered_concat(df, ["k"], "o", "s", ", ", "line", count_col="n").first()
     assert row.line == ", ".join(str(i) for i in sorted(ids)) and row.n == len(ids)
+
+
+def _expected_positions(pages):
+    """Brute force: 1-based positions running over each document's pages in page order."""
+    import re as _re
+    out, by_doc = {}, {}
+    for d, p, t in pages:
+        by_doc.setdefault(d, []).append((p, t))
+    for d, ps in by_doc.items():
+        pos = 0
+        for _, t in sorted(ps):
+            for tok in _re.findall(r"\S+", t or ""):
+                pos += 1
+                out[(d, pos)] = tok
+    return out
+
+
+def test_paged_offsets_across_buckets(spark, monkeypatch):
+    from quarry.operators import positions
+    pages = [(1, 1, "a b"), (1, 4095, "c"), (1, 4096, "d e f"), (1, 4097, ""), (1, 9000, "g"),
+             (1, 12289, "h i"), (2, 5000, "x y"), (2, 3, "z")]
+    df = spark.createDataFrame(pages, "doc_id BIGINT, page_no BIGINT, text STRING")
+    got = {(r.doc_id, r.pos): r.token for r in positions.tokenize_pages(df).collect()}
+    assert got == _expected_positions(pages)
+    monkeypatch.setattr(positions, "PAGE_BUCKET", 2)
+    many = [(7, p, " ".join(f"w{p}x{j}" for j in range(p % 3))) for p in range(1, 40)]
+    df2 = spark.createDataFrame(many, "doc_id BIGINT, page_no BIGINT, text STRING")
+    got2 = {(r.doc_id, r.pos): r.token for r in positions.tokenize_pages(df2).collect()}
+    assert got2 == _expected_positions(many)
