@@ -85,3 +85,21 @@ def test_query_words_pushed_into_stored_index(spark, docs_factory, tmp_path):
     hits = {(r.query_id, r.doc_id) for r in search.and_division(qterms, stored.postings).collect()}
     want = {(1, d) for d in brute(docs, ["open", "river"])} | {(2, d) for d in brute(docs, ["stone"])}
     assert hits == want
+
+
+def test_large_batch_paths_match_brute_force(spark, docs_factory, monkeypatch):
+    """Force the paths taken when the batch is too large to broadcast or to list as literals."""
+    docs = corpus(seed=13)
+    idx = ix.build_index(docs_factory(docs), NO_STEM_TECHNIQUES)
+    rnd = random.Random(9)
+    qs = [(i, " ".join(rnd.sample(WORDS, rnd.randint(1, 3)))) for i in range(20)]
+    queries = spark.createDataFrame(qs, "query_id BIGINT, query STRING")
+    qterms = search.query_terms(queries, NO_STEM_TECHNIQUES)
+    monkeypatch.setattr(search, "PUSHDOWN_MAX_WORDS", 1)
+    monkeypatch.setattr(search, "is_small", lambda df, max_rows=0: False)
+    for hits in (search.and_division(qterms, idx.postings), search.and_rarest_first(qterms, idx.postings)):
+        got = {}
+        for r in hits.collect():
+            got.setdefault(r.query_id, []).append(r.doc_id)
+        for qid, q in qs:
+            assert sorted(got.get(qid, [])) == brute(docs, q.split()), q

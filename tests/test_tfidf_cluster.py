@@ -117,3 +117,17 @@ def test_cluster_report_sql_guard(spark, weights):
     assert [r.k for r in rows].count(20) == 0
     assert rows[-1].k == 10 and rows[-1].line.endswith("(k = 10; Total Documents Collected = 8)")
     assert [r.line for r in rows if r.k == 2 and r.section == 0] == ["k = 2"]
+
+
+def test_top_terms_two_level_matches_brute_force(spark):
+    import random as _r
+    rnd = _r.Random(4)
+    rows = [(c, f"t{i:03d}", float(rnd.choice([0.5, 0.25, 0.125, rnd.random()])))
+            for c in range(3) for i in range(120)]
+    cents = spark.createDataFrame(rows, "cluster BIGINT, term STRING, w DOUBLE")
+    got = {}
+    for r in cluster.top_terms(cents, n=7, salt=4).collect():
+        got.setdefault(r.cluster, []).append((r.rank, r.term))
+    for c in range(3):
+        want = sorted([(t, w) for cc, t, w in rows if cc == c and w > 0], key=lambda x: (-round(x[1], 9), x[0]))[:7]
+        assert [t for _, t in sorted(got[c])] == [t for t, _ in want]
