@@ -131,3 +131,18 @@ def test_top_terms_two_level_matches_brute_force(spark):
     for c in range(3):
         want = sorted([(t, w) for cc, t, w in rows if cc == c and w > 0], key=lambda x: (-round(x[1], 9), x[0]))[:7]
         assert [t for _, t in sorted(got[c])] == [t for t, _ in want]
+
+
+def test_shuffle_join_paths_equal_broadcast_paths(spark, weights, monkeypatch):
+    idx, w = weights
+    base_w = {(r.doc_id, r.term): r.w for r in w.collect()}
+    base_l, _ = cluster.kmeans_sql(w, idx.docs, 3, 2)
+    base_labels = {r.doc_id: r.cluster for r in base_l.collect()}
+    no_bc = lambda df, max_rows=0: df
+    monkeypatch.setattr(tfidf, "bounded_broadcast", no_bc)
+    monkeypatch.setattr(cluster, "bounded_broadcast", no_bc)
+    w2 = tfidf.tfidf(idx)
+    got = {(r.doc_id, r.term): r.w for r in w2.collect()}
+    assert set(got) == set(base_w) and all(abs(got[k] - base_w[k]) < 1e-12 for k in got)
+    l2, _ = cluster.kmeans_sql(w2, idx.docs, 3, 2)
+    assert {r.doc_id: r.cluster for r in l2.collect()} == base_labels
