@@ -53,3 +53,20 @@ def test_replayed_batch_is_idempotent(spark):
     ingest.commit_batch(terms, 0, base)          # replay of batch 0 after a failure
     got = sorted((r.term, r.doc_id, r.tf) for r in ingest.compacted_postings(spark, base).collect())
     assert got == [("access", 1, 1), ("open", 1, 1), ("open", 2, 1)]
+
+
+def test_per_document_token_log_and_sinks(spark):
+    toks = spark.createDataFrame([("b", 2, 1), ("a", 1, 1), ("c", 1, 2)], "token STRING, doc_id BIGINT, pos BIGINT")
+    path = tempfile.mkdtemp(prefix="quarry-test-") + "/bydoc"
+    textformats.write_token_log(toks, path, per_document=True)
+    back = sorted((r.token, r.doc_id, r.pos) for r in textformats.read_token_log(spark, path).collect())
+    assert back == [("a", 1, 1), ("b", 2, 1), ("c", 1, 2)]
+    res = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "query_id BIGINT, line STRING")
+    rpath = tempfile.mkdtemp(prefix="quarry-test-") + "/res"
+    textformats.write_results(res, rpath)
+    assert [r.value for r in spark.read.text(rpath).collect()] == ["a", "b", "c"]
+    rep = spark.createDataFrame([(10, 1, 0, "m10"), (2, 0, -1, "k = 2"), (2, 1, 1, "m1"), (2, 1, 0, "m0")],
+                                "k BIGINT, section INT, cluster BIGINT, line STRING")
+    cpath = tempfile.mkdtemp(prefix="quarry-test-") + "/rep"
+    textformats.write_cluster_report(rep, cpath)
+    assert [r.value for r in spark.read.text(cpath).collect()] == ["k = 2", "m0", "m1", "m10"]

@@ -179,3 +179,17 @@ def test_paged_offsets_across_buckets(spark, monkeypatch):
     df2 = spark.createDataFrame(many, "doc_id BIGINT, page_no BIGINT, text STRING")
     got2 = {(r.doc_id, r.pos): r.token for r in positions.tokenize_pages(df2).collect()}
     assert got2 == _expected_positions(many)
+
+
+def test_capped_docs_and_merge_indexes(spark, docs_factory):
+    d = docs_factory([(1, "alpha beta"), (2, "the of"), (3, "gamma delta"), (4, "epsilon")])
+    terms = ix.normalized_terms(tokenize_docs(d), NO_STEM_TECHNIQUES)
+    cut = ix.vocabulary_cut(terms, 3)
+    assert cut == (3, 1)                                   # "gamma" is the third term
+    assert sorted(r.doc_id for r in ix.capped_docs(d, cut).collect()) == [1, 2, 3]
+    assert ix.vocabulary_cut(terms, 100) is None
+    a = ix.build_index(docs_factory([(1, "alpha beta")]), NO_STEM_TECHNIQUES)
+    b = ix.build_index(docs_factory([(1, "beta"), (2, "gamma")]), NO_STEM_TECHNIQUES)
+    m = ix.merge_indexes(a, b)
+    assert as_dict(m.postings)[("beta", 1)] == [1, 2]
+    assert sorted(r.doc_id for r in m.docs.collect()) == [1, 2]
