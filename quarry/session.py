@@ -26,6 +26,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # remove checkpoint files of checkpointed data that is no longer referenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
         # The fused token pipeline (tokenize, filters, Porter steps) compiles to one large method;
         # HotSpot skips JIT for methods over 8000 bytes unless told otherwise.
