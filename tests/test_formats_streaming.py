@@ -70,3 +70,11 @@ def test_per_document_token_log_and_sinks(spark):
     cpath = tempfile.mkdtemp(prefix="quarry-test-") + "/rep"
     textformats.write_cluster_report(rep, cpath)
     assert [r.value for r in spark.read.text(cpath).collect()] == ["k = 2", "m0", "m1", "m10"]
+
+
+def test_file_glob_matches_only_that_file():
+    import fnmatch
+    g = ingest.file_glob("/data/sf/documents.parquet")
+    assert g == "/data/sf/[d]ocuments.parquet"
+    assert fnmatch.fnmatch("/data/sf/documents.parquet", g)
+    assert not fnmatch.fnmatch("/data/sf/pages.parquet", g)
