@@ -5,13 +5,19 @@ Each query is thin: it reads its table, applies the operator and derives the dig
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, pii, quality, secret_scan, sentencepiece, simhash
-from quarry.llm.common import table
+from quarry.llm import decontam, langid, licenses, pii, quality, secret_scan, sentencepiece, simhash, token_files, toxicity
+from quarry.llm.common import prepare, table
+from quarry.session import shared_scratch_path
+
+
+#: The id that ends a document in the token files.
+END_ID = 1
 
 
 def _id() -> dict[str, object]:
@@ -26,10 +32,25 @@ def _count(spans, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.round_trip(table(spark, sf_dir, "documents"), _id(), sentencepiece.default_model())
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = shared_scratch_path(spark, f"tokens-{uuid.uuid4().hex}")
+    token_files.write_shards(table(spark, sf_dir, "documents"), path, token_files.default_tokenizer(), END_ID)
+    return token_files.documents(token_files.read_shards(spark, path))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secrets(table(spark, sf_dir, "documents"), _id())
     s = F.col("spans")
@@ -45,6 +66,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "kept", "host_bad")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.licenses(table(spark, sf_dir, "documents"), licenses.template_table(spark), _id())
+    spans = F.array_join(F.transform("finds", lambda x: F.concat_ws(
+        ":", x["license"], x["start"].cast("string"), x["end"].cast("string"), F.format_string("%.4f", x["coverage"]))), ",")
+    return found.select("doc_id", F.size("finds").cast("long").alias("n_finds"),
+                        F.array_join(F.sort_array(F.array_distinct("finds.license")), ",").alias("licenses"), spans.alias("spans"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"), _id())
     base, terms = pii.joined(F.col("spans")), pii.joined(F.col("terms"), "term")
@@ -73,9 +102,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_language": op3_language,
+    "op4_token_files": op4_token_files,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
+    "op7_licenses": op7_licenses,
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
