@@ -82,7 +82,7 @@ def _scan(data: bytes, ids: dict[bytes, int], machine) -> tuple[int, set[int], s
     words = ascii_words(data)
     hit: set[int] = set()
     items: set[int] = set()
-    if words:
+    if words and ids:
         get = ids.get
         for end, (length, found) in machine.iter(tuple([get(w, 0) for w in words])):
             hit.update(range(end - length + 1, end + 1))

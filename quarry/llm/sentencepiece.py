@@ -2,8 +2,8 @@
 
 The model's pieces and scores are read from its file (a parameter). The best segmentation maximises the sum of the
 pieces' scores; on equal sums the longer last piece wins. A character that is no piece is encoded by its byte
-pieces (or the unknown piece). No useful piece spans a word mark or a line break, so a text is a
-sequence of marked words. Per slice of a task, the distinct marked words that are not known yet are sorted, which
+pieces (or the unknown piece). No piece has a mark after another character, nor a line break in it (both
+checked when the model is read), so a text is a sequence of marked words: a run of marks and what follows. Per slice of a task, the distinct marked words that are not known yet are sorted, which
 lays out their trie, and walked depth-first: the forward scores and live piece starts of the common prefix with the word
 before stay on the stack, only the rest is computed. Texts are then put together from the words' ids.
 
@@ -28,6 +28,8 @@ from quarry.llm.common import map_texts, prepare, unwrap, whole_row
 
 MARK = "▁"
 CACHE_WORDS = 300_000
+#: Characters up to which a common prefix of words is reused.
+SHARED = 64
 #: Fixed value of the format: an unknown character scores this much below the lowest piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -46,6 +48,7 @@ class Model:
         self.byte_ids: dict[int, int] = {}
         self.unknown = sp.unk_id()
         self.breaks = True  # a line break is in no longer piece, so words may be cut there
+        cuts = True  # nor is a mark after another character
         low = 0.0
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
@@ -61,7 +64,10 @@ class Model:
                 node[""] = (i, sp.get_score(i))
                 low = min(low, sp.get_score(i))
                 self.breaks &= not ("\n" in piece and len(piece) > 1)
+                cuts &= MARK not in piece.lstrip(MARK)
                 self.pieces.append(piece.replace(MARK, " ").encode())
+        if not cuts:
+            raise ValueError("the model has pieces that span words")
         self.unknown_score = low - UNKNOWN_PENALTY
         self.known: dict[str, bytes] = {}
 
@@ -81,6 +87,7 @@ class Model:
                 if a != b:
                     break
                 depth += 1
+            depth = min(depth, SHARED)
             del best[depth + 1:], back[depth + 1:], live[depth + 1:]
             for d in range(depth, len(word)):
                 c = word[d]
@@ -102,6 +109,8 @@ class Model:
                 score = best[d] + (found[1] if found is not None else self.unknown_score)
                 if top is None or score > top:
                     top, link = score, (d, found[0] if found is not None else None)
+                if d >= SHARED:
+                    live[d] = []  # so deep a prefix is not shared, and long words stay small
                 best.append(top)
                 back.append(link)
                 live.append(alive)
@@ -118,28 +127,41 @@ class Model:
             ids.reverse()
             known[word] = np.array(ids, np.int32).tobytes()
 
+    def words(self, text: str) -> list[str]:
+        """The marked words of a text: a run of marks with what follows it, and line breaks of their own."""
+        out: list[str] = []
+        if not text:
+            return out
+        whole = text.replace(MARK, " ")
+        for k, line in enumerate(whole.split("\n") if self.breaks else [whole]):
+            if k:
+                out.append("\n")
+            # the text starts with a mark, a later line does not
+            parts = line.split(" ")
+            if k and parts[0]:
+                out.append(parts[0])
+            rest = parts[1:] if k else parts
+            if all(rest):
+                out.extend([MARK + p for p in rest])
+                continue
+            marks = 0
+            for p in rest:
+                marks += 1
+                if p:
+                    out.append(MARK * marks + p)
+                    marks = 0
+            if marks:
+                out.append(MARK * marks)
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = []
         fresh: set[str] = set()
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
-        for text in texts:
-            # the first line starts with a mark; a space is a mark; a line break stays a word of its own
-            words = []
-            if text:
-                whole = text.replace(MARK, " ")
-                for k, line in enumerate(whole.split("\n") if self.breaks else [whole]):
-                    parts = line.split(" ")
-                    if k:
-                        words.append("\n")
-                        if parts[0]:
-                            words.append(parts[0])
-                    else:
-                        words.append(MARK + parts[0])
-                    words.extend([MARK + p for p in parts[1:]])
-            split.append(words)
+        split = [self.words(text) for text in texts]
+        for words in split:
             fresh.update(words)
         missing = sorted(w for w in fresh if w not in known)
         self.segment(missing)

@@ -37,7 +37,9 @@ from quarry.llm.common import crc_of_id, map_texts, prepare, slices, stored, tex
 MAX_TRAIN = 20_000
 VOTERS = 256
 FEATURES = 4096
-BEGINNINGS = (3, 4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7)
+#: Numbers of occurrences that make a feature of their own.
+OFTEN = (2, 3)
 EM_ROUNDS = 8
 ANNOTATOR = -1
 PREDICT_AT = 0.7
@@ -67,31 +69,48 @@ def pattern_features(text: str, words: list[str]) -> list[str]:
     return out
 
 
+def often(feature: str, n: int) -> list[str]:
+    """The feature, and a feature of its own for each number of occurrences that it reaches."""
+    return [feature] + [f"{feature}#{k}" for k in OFTEN if n >= k]
+
+
 def features(text: str) -> set[str]:
     """All features of a text, each once."""
     words = WORD.findall(text)
+    counts: Counter = Counter()
+    for w, n in Counter(w.lower() for w in words).items():
+        for f in word_features(w):
+            counts[f] += n
     out = set(pattern_features(text, words))
-    for w in {w.lower() for w in words}:
-        out.update(word_features(w))
+    for f, n in counts.items():
+        out.update(often(f, n))
     return out
 
 
-def known_features(text: str, vocabulary: dict[str, int], cache: dict[str, tuple]) -> set[int]:
-    """The features of a text that are in the vocabulary; words are looked up once per worker."""
+def known_features(text: str, vocabulary: dict[str, int], bases: set[str], cache: dict[str, tuple]) -> set[int]:
+    """The features of a text that are in the vocabulary; words are looked up once per worker. ``bases`` holds the
+    features without their numbers of occurrences."""
     words = WORD.findall(text)
     found = {vocabulary[p] for p in pattern_features(text, words) if p in vocabulary}
     if len(cache) > CACHE_WORDS:
         cache.clear()
     get = cache.get
-    for w in set(words):
+    counts: dict[str, int] = {}
+    for w, n in Counter(words).items():
         hit = get(w)
         if hit is None:
-            hit = cache[w] = tuple(vocabulary[f] for f in word_features(w.lower()) if f in vocabulary)
-        if hit:
-            found.update(hit)
+            hit = cache[w] = tuple(f for f in word_features(w.lower()) if f in bases)
+        for f in hit:
+            counts[f] = counts.get(f, 0) + n
+    for f, n in counts.items():
+        found.update(vocabulary[x] for x in often(f, n) if x in vocabulary)
     return found
 
 
+def bases_of(vocabulary: dict[str, int]) -> set[str]:
+    return {f.split("#")[0] for f in vocabulary}
+
+
 def _cache(key: str) -> dict:
     if key not in _CACHES:
         _CACHES.clear()
@@ -243,7 +262,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, max_train: int = MAX_TRAIN
 
     def found(texts: pa.Array) -> list[pa.Array]:
         cache: dict = {}
-        return [pa.array([sorted(known_features(t, vocabulary, cache)) for t in texts.to_pylist()], pa.list_(pa.int32()))]
+        bases = bases_of(vocabulary)
+        return [pa.array([sorted(known_features(t, vocabulary, bases, cache)) for t in texts.to_pylist()], pa.list_(pa.int32()))]
 
     seen = stored(map_texts(rows, found, [("ids", T.ArrayType(T.IntegerType()))], {"y": F.col("y")})
                   .withColumn("votes", F.filter("ids", lambda i: i < m)), "toxicity-votes")
@@ -258,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, max_train: int = MAX_TRAIN
         F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
         F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")))).alias("s")).select("names", "s.*")
     vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(chosen))], "names", "features")
-    learner = LogisticRegression(maxIter=60, regParam=1e-4, elasticNetParam=0.0, standardization=False, weightCol="weight")
+    learner = LogisticRegression(maxIter=100, regParam=1e-5, elasticNetParam=0.0, standardization=False, weightCol="weight")
     line = learner.fit(vectors.transform(both.filter("weight > 1e-6")).select("label", "weight", "features"))
     return vocabulary, line.coefficients.toArray(), float(line.intercept)
 
@@ -275,10 +295,10 @@ def score(docs: DataFrame, carry: dict[str, object], vocabulary: dict[str, int],
 
     def of(texts: pa.Array) -> list[pa.Array]:
         words, w, b = shared.value
-        cache = _cache(key)
+        cache, bases = _cache(key), bases_of(words)
         out = []
         for text in texts.to_pylist():
-            z = b + sum(w[i] for i in sorted(known_features(text, words, cache)))
+            z = b + sum(w[i] for i in sorted(known_features(text, words, bases, cache)))
             out.append(1 / (1 + math.exp(-min(60.0, max(-60.0, z)))))
         return [pa.array(out, pa.float64())]
 
