@@ -80,12 +80,17 @@ def encoder(path: str) -> Encoder:
 def pack(ids: np.ndarray) -> bytes:
     """The wavelet matrix of an array of ids, as bytes."""
     n = len(ids)
-    there = np.zeros(int(ids.max()) + 1 if n else 0, bool)
-    there[ids] = True
-    alphabet = np.flatnonzero(there).astype("<u4")
+    top = int(ids.max()) + 1 if n else 0
+    if top <= 1 << 22:  # number the ids by a table; larger ones by sorting
+        there = np.zeros(top, bool)
+        there[ids] = True
+        alphabet, number = np.flatnonzero(there), (np.cumsum(there) - 1)
+        seq = number.astype(np.uint32)[ids]
+    else:
+        alphabet, seq = np.unique(ids, return_inverse=True)
+    alphabet = alphabet.astype("<u4")
     planes = max(1, int(len(alphabet) - 1).bit_length()) if n else 0
-    number = (np.cumsum(there) - 1).astype(np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
-    seq = number[ids]
+    seq = seq.astype(np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
     out = [MAGIC, struct.pack("<QII", n, len(alphabet), planes), alphabet.tobytes()]
     for p in range(planes - 1, -1, -1):
         bits = (seq >> p & 1).astype(bool)
