@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontam, langid, licenses, pii, quality, secret_scan, sentencepiece, simhash, token_files, toxicity
 from quarry.llm.common import prepare, table
+from quarry.llm.sql import SQL  # noqa: F401  (registered beside the queries)
 from quarry.session import shared_scratch_path
 
 
@@ -114,5 +115,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "pipeline": pipeline,
 }
-
-SQL: dict[str, str] = {}
