@@ -34,47 +34,32 @@ def tokenize_docs_marked(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     (F.col("p0") == 0).alias("__m")))
 
 
-def page_token_counts(pages: DataFrame) -> DataFrame:
-    """``(doc_id, page_no, n)`` tokens per page. Pages that are blank count 0."""
-    n = F.size(token_array("text"))   # null text: null (ANSI) or -1 (legacy), both mean 0
-    return pages.select("doc_id", "page_no",
-                        F.when(n > 0, n).otherwise(F.lit(0)).cast("bigint").alias("n"))
-
-
-def page_offsets(pages: DataFrame) -> DataFrame:
-    """``(doc_id, page_no, offset)``: raw tokens on earlier pages of the same document.
-
-    Two-level prefix sum so that a document with a huge number of pages is never one window group:
-    per-bucket totals are summed over buckets, and within a bucket over at most ``PAGE_BUCKET`` pages.
-    """
-    counts = page_token_counts(pages).withColumn(
-        "bucket", F.floor(F.col("page_no") / F.lit(PAGE_BUCKET)))
-    bucket_totals = counts.groupBy("doc_id", "bucket").agg(F.sum("n").alias("bn"))
-    before_bucket = bucket_totals.select(
-        "doc_id", "bucket",
-        F.coalesce(F.sum("bn").over(Window.partitionBy("doc_id").orderBy("bucket")
-                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    within = counts.select(
-        "doc_id", "page_no", "bucket",
-        F.coalesce(F.sum("n").over(Window.partitionBy("doc_id", "bucket").orderBy("page_no")
-                                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("inner"))
-    return (within.join(before_bucket, ["doc_id", "bucket"])
-            .select("doc_id", "page_no", (F.col("base") + F.col("inner")).cast("bigint").alias("offset")))
-
-
 def tokenize_pages(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_no",
                    text_col: str = "text") -> DataFrame:
     """``(doc_id, pos, token)`` for multi-page documents with positions running across pages.
 
-    Offsets are joined to the *pages* before the tokens are exploded, so the join moves one row per
-    page (or nothing, when the offsets pass the broadcast size check), never one row per token.
+    The offset is a running sum on the page rows themselves, so pages that repeat a number (ordered by
+    their text) or have none (first) keep their own tokens and positions. Two levels, so that a document
+    with very many pages is never one window group: totals of ``PAGE_BUCKET``-page buckets (one row per
+    bucket) are summed over the document, and within a bucket a window runs over its pages. A bucket
+    that only repeats one page number can be larger; it holds the copies of that page.
     """
-    from quarry.plans.sizing import bounded_broadcast
-
     p = pages.select(F.col(doc_col).cast("bigint").alias("doc_id"),
                      F.col(page_col).cast("bigint").alias("page_no"),
                      F.col(text_col).alias("text"))
-    offsets = bounded_broadcast(page_offsets(p))
-    with_offset = p.join(offsets, ["doc_id", "page_no"])
-    toks = with_offset.select("doc_id", "offset", F.posexplode(token_array("text")).alias("p0", "token"))
+    bucket = F.floor(F.col("page_no") / F.lit(PAGE_BUCKET))
+    sized = (p.withColumn("toks", F.coalesce(token_array("text"), F.array().cast("array<string>")))
+             .withColumn("bucket", bucket).withColumn("n", F.size("toks").cast("bigint")))
+    totals = sized.groupBy("doc_id", "bucket").agg(F.sum("n").alias("bn"))
+    before = totals.select(
+        F.col("doc_id").alias("d"), F.col("bucket").alias("b"),
+        F.coalesce(F.sum("bn").over(Window.partitionBy("doc_id").orderBy("bucket")
+                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    order = Window.partitionBy("doc_id", "bucket").orderBy("page_no", "text").rowsBetween(
+        Window.unboundedPreceding, -1)
+    within = sized.withColumn("inner", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    placed = within.filter("n > 0").join(
+        before, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("bucket").eqNullSafe(F.col("b"))).select(
+        "doc_id", (F.col("base") + F.col("inner")).alias("offset"), "toks")
+    toks = placed.select("doc_id", "offset", F.posexplode("toks").alias("p0", "token"))
     return toks.select("doc_id", (F.col("offset") + F.col("p0") + 1).cast("bigint").alias("pos"), "token")

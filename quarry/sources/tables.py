@@ -2,13 +2,9 @@
 
 Tables are read with only the columns used (the scan's ``ReadSchema`` is pruned).
 
-One-row-per-document tables are hash-partitioned by document id (``by_document``). Each document's
-tokens then stay in one partition, and Spark sees that grouping by (term, doc_id) needs no further
-exchange: the index build moves the raw text once (about one byte per byte of text) instead of the
-postings (about three bytes per byte of text: term, id, 8-byte positions, row overhead). Ids are
-unique, so no key can be hot. Multi-page tables are only spread when their scan has fewer partitions
-than cores: one document may hold a third of all pages, so their index build shuffles on
-(term, doc_id) instead.
+A table is read as the scan splits it; only a scan with fewer splits than cores (one small file) is
+hash-spread over its key. The index build aggregates within each split first, so what it shuffles is
+one row per (term, document), on that composite key: no document and no frequent term is one group.
 """
 
 from __future__ import annotations
@@ -36,37 +32,25 @@ def _cores_and_splits(df: DataFrame) -> tuple[int, int]:
         return n, n
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread ``df`` by ``key`` only when its scan has fewer partitions than cores."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread ``df`` by ``keys`` only when its scan has fewer partitions than cores."""
     cores, splits = _cores_and_splits(df)
-    return df.repartition(cores, key) if splits < cores else df
-
-
-def by_document(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Hash-partition a one-row-per-document table by its (unique) id, keeping at least as many
-    partitions as the scan has splits and as the cluster has cores."""
-    return df.repartition(max(_cores_and_splits(df)), key)
+    return df.repartition(cores, *keys) if splits < cores else df
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    """``(doc_id BIGINT, text STRING)``: one page per document, partitioned by ``doc_id``."""
+    """``(doc_id BIGINT, text STRING)``: one page per document."""
     df = read_table(spark, sf_dir, table).select(F.col("doc_id").cast("bigint"), "text")
-    return by_document(df, "doc_id")
-
-
-def benchmark_documents(spark: SparkSession, sf_dir: str, id_offset: int = 0) -> DataFrame:
-    """The ``benchmark`` corpus as documents; ids offset so they can be merged with another index."""
-    df = read_table(spark, sf_dir, "benchmark").select(
-        (F.col("item_id") + F.lit(id_offset)).cast("bigint").alias("doc_id"), "text")
-    return by_document(df, "doc_id")
+    return spread(df, "doc_id")
 
 
 def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, page_no, text)``: each conversation is a document, each turn a page."""
+    """``(doc_id, page_no, text)``: each conversation is a document, each turn a page. Spread by page,
+    as one document may hold a third of all pages."""
     df = read_table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("bigint").alias("doc_id"),
         F.col("turn").cast("bigint").alias("page_no"), "text")
-    return spread(df, "doc_id")
+    return spread(df, "doc_id", "page_no")
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
