@@ -52,35 +52,32 @@ def write_index(index: TextIndex, path: str, sort_by_term: bool = True, position
     file and row group covers a narrow term range and parquet min/max statistics prune term lookups.
     Without ``positions`` only ``(term, doc_id, tf)`` is stored (all that TF-IDF, clustering and
     AND search need); the build then skips collecting positions altogether (Catalyst prunes it).
-    With a ``combined`` aggregate (one-page documents) the document list is stored as null-term
-    rows of the same table, so the text is read once.
+    There is one layout: the document list is stored as null-term rows of the postings table. With a
+    ``combined`` aggregate (one-page documents) these come from the same pass, so the text is read once.
     """
     cols = ["term", "doc_id", "tf"] + (["positions"] if positions else [])
-    table = (index.combined if index.combined is not None else index.postings).select(*cols)
+    table = combined_rows(index).select(*cols)
     if sort_by_term:
-        table = table.repartitionByRange("term").sortWithinPartitions("term", "doc_id")
+        table = table.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
     table.write.mode("overwrite").parquet(f"{path}/postings")
-    if index.combined is None:
-        index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+
+
+def combined_rows(index: TextIndex) -> DataFrame:
+    """Postings plus one null-term row per document of the list."""
+    if index.combined is not None:
+        return index.combined
+    marks = index.docs.select(F.lit(None).cast("string").alias("term"), "doc_id",
+                              F.array(F.lit(0).cast("bigint")).alias("positions"), F.lit(1).cast("bigint").alias("tf"))
+    return index.postings.select("term", "doc_id", "positions", F.col("tf").cast("bigint").alias("tf")).unionByName(marks)
 
 
 def read_index(spark, path: str) -> TextIndex:
     """Read an index written by ``write_index`` (scans prune columns and push term filters)."""
     table = spark.read.parquet(f"{path}/postings")
-    if _exists(spark, f"{path}/docs"):
-        return TextIndex(table, spark.read.parquet(f"{path}/docs"))
     return TextIndex(table.filter(F.col("term").isNotNull()),
                      table.filter(F.col("term").isNull()).select("doc_id"))
 
 
-def _exists(spark, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:   # noqa: BLE001 - missing path
-        return False
-
-
 def nonempty_docs(docs: DataFrame, text_col: str = "text", unique_ids: bool = False) -> DataFrame:
     """Ids of documents (or pages) whose text yields at least one token. A table of pages needs
     the ``distinct``; a table with one row per document (``unique_ids``) does not, and skips the
@@ -102,20 +99,26 @@ def build_postings(terms: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> TextIndex:
-    """Index one-page documents ``(doc_id, text)``.
+    """Index one-page documents ``(doc_id, text)``; rows with a null id or text are left out
+    (``split_rejects`` lists them).
 
     ``postings`` and ``docs`` are lazy and independent (``docs`` is a cheap check on the text).
     ``combined`` yields both from one pass over the text: each non-empty document contributes a
     marker that passes normalization untouched and aggregates to a null-term row; ``write_index``
     stores it, so materializing an index reads the text once."""
+    docs = split_rejects(docs)[0]
     rows = tokenize_docs_marked(docs)
     terms = normalize(rows, "token", "term", techniques, marker="__m").select("doc_id", "pos", "term")
     combined = build_postings(terms)
     return TextIndex(combined.filter(F.col("term").isNotNull()), nonempty_docs(docs, unique_ids=True), combined)
 
 
-def build_paged_index(pages: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> TextIndex:
-    """Index multi-page documents ``(doc_id, page_no, text)``; positions run across pages."""
+def build_paged_index(pages: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES,
+                      quarantine: bool = False) -> TextIndex:
+    """Index multi-page documents ``(doc_id, page_no, text)``; positions run across pages. With
+    ``quarantine`` a document with a bad page is left out whole (``split_page_rejects`` lists it);
+    without, a null text is a blank page. A page without a document id is always left out."""
+    pages = split_page_rejects(pages)[0] if quarantine else pages.filter(F.col("doc_id").isNotNull())
     terms = normalized_terms(tokenize_pages(pages), techniques)
     return TextIndex(build_postings(terms), nonempty_docs(pages))
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 # The line formats and their parsing patterns.
 TOKEN_LOG_FORMAT = "%s / Doc ID: %d / Pos: %d"
-TOKEN_LOG_PATTERN = r"^(.*) / Doc ID: (\d+) / Pos: (\d+)$"
+TOKEN_LOG_PATTERN = r"(?s)^(.*) / Doc ID: (\d+) / Pos: (\d+)$"
 MANIFEST_FORMAT = "%d) %s"
-MANIFEST_PATTERN = r"^(\d+)\) (.*)$"
+MANIFEST_PATTERN = r"(?s)^(\d+)\) (.*)$"
 
 
 def token_log_lines(tokens: DataFrame) -> DataFrame:
@@ -37,8 +37,8 @@ def write_token_log(tokens: DataFrame, path: str, per_document: bool = False) ->
 
 
 def read_token_log(spark: SparkSession, path: str) -> DataFrame:
-    """S3: ``(token, doc_id, pos)`` parsed from token-log text files (lines that do not parse are
-    dropped)."""
+    """S3: ``(token, doc_id, pos)`` parsed from token-log text files. Lines that do not parse are
+    listed by ``read_rejected_lines``."""
     raw = spark.read.text(path).select(F.col("value"))
     ok = raw.filter(F.col("value").rlike(TOKEN_LOG_PATTERN))
     return ok.select(F.regexp_extract("value", TOKEN_LOG_PATTERN, 1).alias("token"),
@@ -46,6 +46,12 @@ def read_token_log(spark: SparkSession, path: str) -> DataFrame:
                      F.regexp_extract("value", TOKEN_LOG_PATTERN, 3).cast("bigint").alias("pos"))
 
 
+def read_rejected_lines(spark: SparkSession, path: str, pattern: str = TOKEN_LOG_PATTERN) -> DataFrame:
+    """``(file, line)``: the lines of a token log (or, with its pattern, a manifest) that do not parse."""
+    raw = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+    return raw.filter(~F.col("line").rlike(pattern))
+
+
 def manifest_lines(docs: DataFrame) -> DataFrame:
     """``(doc_id, line)`` for ``(doc_id, url)`` rows."""
     return docs.select("doc_id", F.format_string(MANIFEST_FORMAT, F.col("doc_id"), F.col("url")).alias("line"))

@@ -47,14 +47,36 @@ def test_report_sinks(spark, docs_factory):
 
 def test_replayed_batch_is_idempotent(spark):
     base = tempfile.mkdtemp(prefix="quarry-test-")
-    terms = spark.createDataFrame([(1, 1, "open"), (1, 2, "access"), (2, 1, "open")],
-                                  "doc_id BIGINT, pos BIGINT, term STRING")
-    ingest.commit_batch(terms, 0, base)
-    ingest.commit_batch(terms, 0, base)          # replay of batch 0 after a failure
+    docs = spark.createDataFrame([(1, "open access"), (2, "open")], "doc_id BIGINT, text STRING")
+    ingest.commit_batch(docs, 0, base)
+    ingest.commit_batch(docs, 0, base)          # replay of batch 0 after a failure
     got = sorted((r.term, r.doc_id, r.tf) for r in ingest.compacted_postings(spark, base).collect())
     assert got == [("access", 1, 1), ("open", 1, 1), ("open", 2, 1)]
 
 
+def test_redelivered_documents_and_rejects(spark):
+    base = tempfile.mkdtemp(prefix="quarry-test-")
+    schema = "doc_id BIGINT, text STRING"
+    ingest.commit_batch(spark.createDataFrame([(1, "open river"), (1, "open river"), (2, "stone"), (None, "x"), (None, "x"), (3, None)], schema), 0, base)
+    ingest.commit_batch(spark.createDataFrame([(1, "open river"), (2, ""), (4, "cloud cloud")], schema), 1, base)
+    index = ingest.compacted_index(spark, base)
+    assert sorted((r.term, r.doc_id, list(r.positions)) for r in index.postings.collect()) == [
+        ("cloud", 4, [1, 2]), ("open", 1, [1]), ("river", 1, [2])]
+    assert sorted(r.doc_id for r in index.docs.collect()) == [1, 4]      # document 2 was delivered empty
+    assert sorted((r.reason, r.doc_id or 0) for r in ingest.rejected(spark, base).collect()) == [
+        ("null_id", 0), ("null_id", 0), ("null_text", 3)]
+
+
+def test_token_log_keeps_odd_characters_and_lists_rejects(spark):
+    toks = spark.createDataFrame([("a\u0085b", 1, 1), ("\u2028", 1, 2), ("c", 1, 3)], "token STRING, doc_id BIGINT, pos BIGINT")
+    path = tempfile.mkdtemp(prefix="quarry-test-") + "/log"
+    textformats.write_token_log(toks, path)
+    spark.createDataFrame([("no log line",)], "value STRING").write.mode("append").text(path)
+    back = sorted((r.pos, r.token) for r in textformats.read_token_log(spark, path).collect())
+    assert back == [(1, "a\u0085b"), (2, "\u2028"), (3, "c")]
+    assert [r.line for r in textformats.read_rejected_lines(spark, path).collect()] == ["no log line"]
+
+
 def test_per_document_token_log_and_sinks(spark):
     toks = spark.createDataFrame([("b", 2, 1), ("a", 1, 1), ("c", 1, 2)], "token STRING, doc_id BIGINT, pos BIGINT")
     path = tempfile.mkdtemp(prefix="quarry-test-") + "/bydoc"

@@ -113,14 +113,12 @@ def test_write_read_index_prunes(spark, docs_factory, tmp_path):
     assert "ReadSchema: struct<term:string,doc_id:bigint,tf:bigint>" in plan
 
 
-def test_nth_smallest_both_paths(spark, monkeypatch):
+def test_nth_smallest(spark):
     from quarry.plans import ordering
     df = spark.range(1, 500).selectExpr("id * 3 AS a", "id % 7 AS b")
     assert ordering.nth_smallest(df, ["a"], 10) == (30,)
     assert ordering.nth_smallest(df, ["a"], 1000) is None
-    monkeypatch.setattr(ordering, "TOP_N_LIMIT", 5)
-    assert ordering.nth_smallest(df, ["a"], 10) == (30,)
-    assert ordering.nth_smallest(df, ["a"], 1000) is None
+    assert ordering.nth_smallest(df, ["b", "a"], 499) == (6, 1490 - 2)
 
 
 def test_page_rejects_are_atomic(spark):
@@ -193,3 +191,37 @@ def test_capped_docs_and_merge_indexes(spark, docs_factory):
     m = ix.merge_indexes(a, b)
     assert as_dict(m.postings)[("beta", 1)] == [1, 2]
     assert sorted(r.doc_id for r in m.docs.collect()) == [1, 2]
+
+
+def test_repeated_and_unnumbered_pages_keep_their_tokens(spark):
+    pages = spark.createDataFrame([(1, 1, "a b"), (1, 1, "c"), (2, None, "y z"), (2, 1, "x"), (None, 3, "n")],
+                                  "doc_id BIGINT, page_no BIGINT, text STRING")
+    got = sorted(((r.doc_id or 0, r.pos, r.token) for r in tokenize_pages(pages).collect()))
+    assert got == [(0, 1, "n"), (1, 1, "a"), (1, 2, "b"), (1, 3, "c"), (2, 1, "y"), (2, 2, "z"), (2, 3, "x")]
+    assert sorted(r.doc_id for r in ix.build_paged_index(pages, quarantine=True).docs.collect()) == [1]
+
+
+def test_index_written_over_another_holds_only_the_new_one(spark, docs_factory, tmp_path):
+    path = str(tmp_path / "idx")
+    merged = ix.merge_indexes(ix.build_index(docs_factory(DOCS_A)), ix.build_index(docs_factory(DOCS_B)))
+    ix.write_index(merged, path)
+    back = ix.read_index(spark, path)
+    assert sorted(r.doc_id for r in back.docs.collect()) == [1, 2, 3, 4]
+    assert as_dict(back.postings) == as_dict(merged.postings)
+    ix.write_index(ix.build_index(docs_factory([(9, "open river")])), path)
+    back = ix.read_index(spark, path)
+    assert [r.doc_id for r in back.docs.collect()] == [9]
+    assert as_dict(back.postings) == {("open", 9): [1], ("river", 9): [2]}
+
+
+def test_bad_documents_stay_out_of_the_index(spark):
+    d = spark.createDataFrame([(1, "open"), (None, "river"), (None, "river"), (3, None)], "doc_id BIGINT, text STRING")
+    idx = ix.build_index(d)
+    assert as_dict(idx.postings) == {("open", 1): [1]} and [r.doc_id for r in idx.docs.collect()] == [1]
+
+
+def test_bounded_lines_cut_long_lists(spark, monkeypatch):
+    from quarry.operators import render
+    df = spark.createDataFrame([(1, i, str(i)) for i in (0, 5, 9, 10, 31)], "k BIGINT, o BIGINT, s STRING")
+    got = sorted(tuple(r) for r in render.bounded_lines(df, ["k"], "o", "s", ",", bucket_width=10).collect())
+    assert got == [(1, 0, 3, "0,5,9"), (1, 1, 1, "10"), (1, 3, 1, "31")]
