@@ -58,3 +58,29 @@ def test_extract_and_resolve(spark):
     got = [r.url for r in links.extract_links(pages).orderBy("link_no").collect()]
     assert got == ["https://a.example.org/abs", "https://a.example.org/dir/rel.html",
                    "https://cdn.example.org/z", "http://b.test/q"]
+
+
+def test_links_as_pages_write_them(spark):
+    html = ("<A HREF='/x.pdf'>1</A> <a class=q href=/y.pdf>2</a> <area href=\"../up.pdf\"> <a href=\"?p=2&amp;q=1\">4</a>"
+            "<link href=\"/s.css\"> <a href=\"mailto:a@b.c\">6</a> <a href=\"#top\">7</a> <a data-href=\"/no\">8</a>"
+            "<a href=\" z.html#part \">9</a> <a href=\"./a/./../b/\">10</a> <a href=\"../../../..\">11</a><abbr href=\"/n\">")
+    pages = spark.createDataFrame([(1, "https://a.example.org/d/e/page?x=1#f", html), (2, "https://a.example.org", '<a href="q">')],
+                                  "page_id BIGINT, url STRING, html STRING")
+    got = [(r.page_id, r.url) for r in links.extract_links(pages).orderBy("page_id", "link_no").collect()]
+    base = "https://a.example.org"
+    assert got == [(1, base + x) for x in ("/x.pdf", "/y.pdf", "/d/up.pdf", "/d/e/page?p=2&q=1", "/d/e/z.html", "/d/e/b/", "/")] + [
+        (2, base + "/q")]
+
+
+def test_denied_extensions_stop_all_but_the_first_rule(spark):
+    urls = ["https://r.example.org/id/eprint/7/pic.jpg", "https://r.example.org/id/eprint/7/PIC.JPG?size=2",
+            "https://r.example.org/id/eprint/7/paper.pdf", "https://r.example.org/id/eprint/7/page?f=a.jpg"]
+    rule, _ = links.classify(F.col("url"))
+    got = {r.url: r.rule for r in spark.createDataFrame([(u,) for u in urls], "url STRING").select("url", rule.alias("rule")).collect()}
+    assert [got[u] for u in urls] == [0, 0, 1, 3]
+
+
+def test_selection_chain(spark):
+    got = links.select_links(link_df(spark), "example.org", 4).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.url, r["class"]) for r in got] == [
+        (1, URLS[0], "document"), (2, URLS[1], "follow"), (3, URLS[3], "follow"), (4, URLS[4], "follow")]
