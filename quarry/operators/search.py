@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.normalize import ALL_TECHNIQUES, Technique, normalize
 from quarry.operators.positions import tokenize_docs
-from quarry.plans.sizing import bounded_broadcast, is_small
 
 
 def query_terms(queries: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> DataFrame:
@@ -44,9 +43,9 @@ def and_division(qterms: DataFrame, postings: DataFrame) -> DataFrame:
     """Q3: ``(query_id, doc_id)`` of documents holding every term of the query.
 
     Relational division: join the distinct (query, term) pairs to the postings of those terms and
-    keep (query, doc) groups that matched every term. The query side is broadcast behind a size check.
+    keep (query, doc) groups that matched every term. How the sides are joined is left to Spark.
     """
-    qt = bounded_broadcast(_distinct_terms(qterms))
+    qt = _distinct_terms(qterms)
     n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
     matched = (query_word_postings(qterms, postings).join(qt, "term")
                .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("n_match")))
@@ -55,20 +54,19 @@ def and_division(qterms: DataFrame, postings: DataFrame) -> DataFrame:
 
 
 # A batch using at most this many distinct words filters the postings with a literal IN list, which
-# Spark pushes into the parquet scan of a stored index (row groups of a term-sorted index that hold
-# none of the words are skipped). Larger batches use a broadcast (or shuffled) semi-join.
-PUSHDOWN_MAX_WORDS = 10_000
+# Spark pushes into the parquet scan of a stored index: as single values up to ten words, as their
+# range beyond. Larger batches use a semi-join.
+PUSHDOWN_MAX_WORDS = 1_000
 
 
 def query_word_postings(qterms: DataFrame, postings: DataFrame) -> DataFrame:
-    """``(term, doc_id)`` postings of the words used by the query batch, without a shuffle of the
-    postings: a pushed-down IN filter for a bounded word list, else a size-checked broadcast
-    semi-join, else a sort-merge semi-join."""
+    """``(term, doc_id)`` postings of the words used by the query batch: a pushed-down IN filter for a
+    bounded word list, else a semi-join."""
     qwords = qterms.select("term").distinct()
-    if is_small(qwords, PUSHDOWN_MAX_WORDS):
-        words = [r["term"] for r in qwords.collect()]
+    words = [r["term"] for r in qwords.limit(PUSHDOWN_MAX_WORDS + 1).collect()]
+    if len(words) <= PUSHDOWN_MAX_WORDS:
         return postings.select("term", "doc_id").filter(F.col("term").isin(words))
-    return postings.select("term", "doc_id").join(bounded_broadcast(qwords), "term", "left_semi")
+    return postings.select("term", "doc_id").join(qwords, "term", "left_semi")
 
 
 def and_rarest_first(qterms: DataFrame, postings: DataFrame) -> DataFrame:
@@ -79,9 +77,7 @@ def and_rarest_first(qterms: DataFrame, postings: DataFrame) -> DataFrame:
     semi-join on (term, doc_id). Document frequencies are counted only for the query words, and the
     work follows the rarest list, not the longest.
     """
-    qt0 = _distinct_terms(qterms)
-    small = is_small(qt0)
-    qt = F.broadcast(qt0) if small else qt0
+    qt = _distinct_terms(qterms)
     relevant = query_word_postings(qterms, postings)
     qdf = relevant.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     stats = qt.join(qdf, "term", "left")
@@ -93,14 +89,9 @@ def and_rarest_first(qterms: DataFrame, postings: DataFrame) -> DataFrame:
     cand = (relevant.join(complete.select("query_id", F.col("pivot").alias("term"), "n_terms"), "term")
             .select("query_id", "doc_id", "n_terms"))
     probes = cand.join(qt, "query_id").filter(F.col("n_terms") > 1)
-    # Candidates are bounded by each query's rarest list, so the probes are usually small: then
-    # they are broadcast and the query-term postings stream through a hash join without a shuffle.
-    # (Postings are unique per (term, doc_id), so the inner join is a semi-join of the probes.)
-    # Otherwise both sides shuffle on (term, doc_id) for a sort-merge semi-join.
-    if is_small(probes):
-        matched = relevant.join(F.broadcast(probes), ["term", "doc_id"])
-    else:
-        matched = probes.join(relevant, ["term", "doc_id"], "left_semi")
+    # Candidates are bounded by each query's rarest list, and (term, doc_id) is unique in the postings:
+    # the join neither repeats probes nor meets a hot key.
+    matched = probes.join(relevant, ["term", "doc_id"], "left_semi")
     verified = (matched.groupBy("query_id", "doc_id", "n_terms").agg(F.count(F.lit(1)).alias("n_match"))
                 .filter(F.col("n_match") == F.col("n_terms")).select("query_id", "doc_id"))
     singles = cand.filter(F.col("n_terms") == 1).select("query_id", "doc_id")

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.index import TextIndex, term_stats
-from quarry.plans.sizing import bounded_broadcast
 
 
 def doc_term_matrix(index: TextIndex) -> DataFrame:
@@ -33,12 +32,12 @@ def idf_table(postings: DataFrame, n_docs: int) -> DataFrame:
 def tfidf(index: TextIndex, n_docs: int | None = None) -> DataFrame:
     """``(doc_id, term, w)`` L2-normalized TF-IDF weights.
 
-    The idf table has one row per term; it is broadcast when a bounded count shows it is small,
-    otherwise joined by a shuffle (AQE splits hot terms). The row norm is a window per document,
+    The idf table has one row per term; Spark broadcasts it if its size allows, otherwise joins by a
+    shuffle (AQE splits hot terms). The row norm is a window per document,
     so one document's terms are one group (bounded by that document's vocabulary).
     """
     n = index.num_docs() if n_docs is None else n_docs
-    idf = bounded_broadcast(idf_table(index.postings, n))
+    idf = idf_table(index.postings, n)
     raw = index.postings.select("doc_id", "term", "tf").join(idf, "term").select(
         "doc_id", "term", (F.col("tf").cast("double") * F.col("idf")).alias("r"))
     norm = F.sqrt(F.sum(F.col("r") * F.col("r")).over(Window.partitionBy("doc_id")))

@@ -36,7 +36,20 @@ LINK_DOMAIN = "example.com"
 DOC_LIMIT = 50
 VOCAB_CAPACITY = 1000
 SQL_KMEANS_K = 10
-SQL_KMEANS_ITERATIONS = 2
+CHAIN_QUERY_ID = 2
+
+# Fixed rows that join the given tables where these hold no such case: links in every notation and one
+# per rule, rejected rows of each kind, and pages that repeat or lack a number.
+LINK_PAGE = (
+    -1, "https://repo.example.com/view/dir/page.html?x=1#top",
+    "<A HREF='/papers/Thesis.PDF.pdf'>1</A><a class=\"n\" href=/view/year/2021.html>2</a><area href=\"https://repo.example.com/id/eprint/7/\">"
+    "<a href=\"../thesis_type/\">4</a><a href=\"./x/../../document_subtype/\">5</a><a href=\"/id/eprint/7/pic.jpg\">denied</a>"
+    "<a href=\"/view/year/2021.html\">again</a><a href=\"mailto:a@example.com\">m</a><a href=\"#top\">t</a><a data-href=\"/no\">n</a>"
+    "<link href=\"/s.css\"><a href=\"?page=2&amp;size=9\">q</a><a href=\"//cdn.example.com/a.pdf#p2\">c</a><a href=\"http://other.test/b.pdf\">o</a>"
+    "<a href=\"javascript:void(0)\">j</a><a href=\"up.pdf\">u</a>")
+REJECT_ROWS = [(None, "no id"), (-1, None), (None, None)]
+REJECT_PAGES = [(-1, 1, "good page"), (-1, 2, None), (-2, None, "no number"), (None, 1, "no id")]
+ODD_PAGES = [(-1, 1, "a b"), (-1, 1, "c"), (-2, None, "y z"), (-2, 1, "x"), (-3, 4096, "late"), (-3, 2, "early bird")]
 
 
 def positions_str(col: str = "positions"):
@@ -87,7 +100,8 @@ def q_tokens(spark, sf):
 
 
 def q_tokens_paged(spark, sf):
-    return tokenize_pages(tables.conversation_pages(spark, sf))
+    odd = spark.createDataFrame(ODD_PAGES, "doc_id BIGINT, page_no BIGINT, text STRING")
+    return tokenize_pages(tables.conversation_pages(spark, sf).unionByName(odd))
 
 
 def q_remove_numbers(spark, sf):
@@ -130,7 +144,7 @@ def q_postings(spark, sf):
 
 def q_merge_postings(spark, sf):
     a = doc_index(spark, sf)
-    b = ix.build_paged_index(tables.conversation_pages(spark, sf))
+    b = ix.build_paged_index(tables.conversation_pages(spark, sf), quarantine=True)
     return postings_out(ix.merge_postings(a.postings, b.postings))
 
 
@@ -143,27 +157,31 @@ def q_collection_stats(spark, sf):
 
 
 def q_term_lookup(spark, sf):
-    return postings_out(ix.term_lookup(doc_index(spark, sf).postings, LOOKUP_TERM))
+    path = shared_scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    ix.write_index(doc_index(spark, sf), path, sort_by_term=True)
+    return postings_out(ix.term_lookup(ix.read_index(spark, path).postings, LOOKUP_TERM))
 
 
 def q_index_dump(spark, sf):
     return render.index_dump(doc_index(spark, sf).postings)
 
 
+def q_postings_parts(spark, sf):
+    return render.postings_parts(doc_index(spark, sf).postings)
+
+
 # ---------------------------------------------------------------------------------------------
 # Q
 
 def _search(spark, sf, rarest_first: bool):
-    idx = doc_index(spark, sf, materialize=True)
+    """The batch answered from the postings of its words alone: ``(queries, qterms, hits, relevant)``. They
+    are taken from the index once and stored; frequencies, hits and status read only them."""
     queries = query_table(spark, sf)
-    # The batch's normalized terms (bounded by the batch) are read by every branch of the search
-    # and by each size check: compute them once.
     qterms = reliable_checkpoint(search.query_terms(queries))
-    if rarest_first:
-        hits = search.and_rarest_first(qterms, idx.postings)
-    else:
-        hits = search.and_division(qterms, idx.postings)
-    return queries, qterms, hits, idx
+    idx = ix.build_index(docs(spark, sf))
+    relevant = reliable_checkpoint(search.query_word_postings(qterms, idx.postings))
+    hits = search.and_rarest_first(qterms, relevant) if rarest_first else search.and_division(qterms, relevant)
+    return queries, qterms, hits, relevant
 
 
 def q_query_terms(spark, sf):
@@ -183,13 +201,22 @@ def q_and_query_semijoin(spark, sf):
 
 
 def q_query_status(spark, sf):
-    queries, qterms, hits, idx = _search(spark, sf, True)
-    return search.query_status(queries, qterms, hits, idx.postings)
+    queries, qterms, hits, relevant = _search(spark, sf, True)
+    return search.query_status(queries, qterms, hits, relevant)
 
 
 def q_result_text(spark, sf):
-    queries, qterms, hits, idx = _search(spark, sf, True)
-    return render.result_text(search.query_status(queries, qterms, hits, idx.postings), hits)
+    queries, qterms, hits, relevant = _search(spark, sf, True)
+    return render.result_text(search.query_status(queries, qterms, hits, relevant), hits)
+
+
+def q_result_parts(spark, sf):
+    return render.result_parts(_search(spark, sf, True)[2])
+
+
+def q_and_chain(spark, sf):
+    terms = search.query_terms(query_table(spark, sf).filter(F.col("query_id") == CHAIN_QUERY_ID))
+    return search.and_chain([r["term"] for r in terms.collect()], doc_index(spark, sf, materialize=True).postings)
 
 
 def q_session_union(spark, sf):
@@ -200,6 +227,10 @@ def q_session_text(spark, sf):
     return render.session_text(search.session_union(_search(spark, sf, True)[2]))
 
 
+def q_session_parts(spark, sf):
+    return render.session_parts(search.session_union(_search(spark, sf, True)[2]))
+
+
 # ---------------------------------------------------------------------------------------------
 # C
 
@@ -219,7 +250,7 @@ def q_tfidf(spark, sf):
 
 def _sql_kmeans(spark, sf):
     idx, w = _weights(spark, sf)
-    return cluster.kmeans_sql(w, idx.docs, SQL_KMEANS_K, SQL_KMEANS_ITERATIONS)
+    return cluster.kmeans_sql(w, idx.docs, SQL_KMEANS_K)
 
 
 def q_kmeans_assign(spark, sf):
@@ -235,6 +266,10 @@ def q_cluster_members(spark, sf):
     return cluster.members_lines(spark, _sql_kmeans(spark, sf)[0], SQL_KMEANS_K)
 
 
+def q_cluster_member_parts(spark, sf):
+    return render.member_parts(_sql_kmeans(spark, sf)[0])
+
+
 def q_cluster_top_terms(spark, sf):
     return cluster.top_terms_lines(_sql_kmeans(spark, sf)[1])
 
@@ -248,13 +283,18 @@ def _ml(k):
 
 
 def q_kmeans_guard(spark, sf):
-    idx = doc_index(spark, sf)
-    return cluster.guard_lines(spark, idx.docs, cluster.DEFAULT_KS)
+    found = doc_index(spark, sf).docs
+    return cluster.guard_lines(spark, found, (*cluster.DEFAULT_KS, found.count() + 1))
+
+
+def q_kmeans_ml_check(spark, sf):
+    idx, w = _weights(spark, sf)
+    return cluster.ml_invariants(spark, w, idx.docs)
 
 
 def q_cluster_report_sql(spark, sf):
     idx, w = _weights(spark, sf)
-    return cluster.cluster_report_sql(spark, w, idx.docs, cluster.DEFAULT_KS, SQL_KMEANS_ITERATIONS)
+    return cluster.cluster_report_sql(spark, w, idx.docs, cluster.DEFAULT_KS)
 
 
 def q_cluster_report(spark, sf):
@@ -266,7 +306,8 @@ def q_cluster_report(spark, sf):
 # I, S, X9, X10
 
 def _links(spark, sf):
-    return links.extract_links(tables.web_pages(spark, sf))
+    fixed = spark.createDataFrame([LINK_PAGE], "page_id BIGINT, url STRING, html STRING")
+    return links.extract_links(tables.web_pages(spark, sf).unionByName(fixed))
 
 
 def q_links(spark, sf):
@@ -284,6 +325,10 @@ def q_link_class(spark, sf):
     return _links(spark, sf).select("page_id", "link_no", "url", rule.alias("rule"), cls.alias("class"))
 
 
+def q_select_links(spark, sf):
+    return links.select_links(_links(spark, sf), LINK_DOMAIN, DOC_LIMIT)
+
+
 def q_url_dedupe(spark, sf):
     return links.dedupe_urls(_links(spark, sf))
 
@@ -337,20 +382,31 @@ def q_vocab_cap(spark, sf):
 
 
 def q_rejects(spark, sf):
-    return ix.split_rejects(tables.read_table(spark, sf, "documents").select("doc_id", "text"))[1]
+    fixed = spark.createDataFrame(REJECT_ROWS, "doc_id BIGINT, text STRING")
+    return ix.split_rejects(tables.read_table(spark, sf, "documents").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text").unionByName(fixed))[1]
 
 
 def q_page_rejects(spark, sf):
     pages = tables.read_table(spark, sf, "conversations").select(
         F.col("conv_id").cast("bigint").alias("doc_id"), F.col("turn").cast("bigint").alias("page_no"), "text")
-    return ix.split_page_rejects(pages)[1]
+    fixed = spark.createDataFrame(REJECT_PAGES, "doc_id BIGINT, page_no BIGINT, text STRING")
+    return ix.split_page_rejects(pages.unionByName(fixed))[1]
 
 
-def q_stream_ingest(spark, sf):
+def _streamed(spark, sf) -> str:
     out = shared_scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     q = ingest.start_ingest(spark, ingest.file_glob(tables.table_path(sf, "documents")), f"{out}/index", f"{out}/checkpoint")
     q.awaitTermination()
-    return postings_out(ingest.compacted_postings(spark, f"{out}/index"))
+    return f"{out}/index"
+
+
+def q_stream_ingest(spark, sf):
+    return postings_out(ingest.compacted_postings(spark, _streamed(spark, sf)))
+
+
+def q_stream_stats(spark, sf):
+    return ix.collection_stats(ingest.compacted_index(spark, _streamed(spark, sf)))
 
 
 CATALOG = {
@@ -369,12 +425,16 @@ CATALOG = {
     "collection_stats": q_collection_stats,
     "term_lookup": q_term_lookup,
     "index_dump": q_index_dump,
+    "postings_parts": q_postings_parts,
     "query_terms": q_query_terms,
     "query_postings": q_query_postings,
     "query_status": q_query_status,
     "and_query": q_and_query,
     "and_query_semijoin": q_and_query_semijoin,
     "result_text": q_result_text,
+    "result_parts": q_result_parts,
+    "and_chain": q_and_chain,
+    "session_parts": q_session_parts,
     "session_union": q_session_union,
     "session_text": q_session_text,
     "doc_term_matrix": q_doc_term_matrix,
@@ -382,6 +442,8 @@ CATALOG = {
     "kmeans_assign": q_kmeans_assign,
     "kmeans_centroids": q_kmeans_centroids,
     "cluster_members": q_cluster_members,
+    "cluster_member_parts": q_cluster_member_parts,
+    "kmeans_ml_check": q_kmeans_ml_check,
     "cluster_top_terms": q_cluster_top_terms,
     "kmeans_ml_k2": _ml(2),
     "kmeans_ml_k10": _ml(10),
@@ -393,6 +455,7 @@ CATALOG = {
     "link_domain": q_link_domain,
     "link_class": q_link_class,
     "url_dedupe": q_url_dedupe,
+    "select_links": q_select_links,
     "url_filename": q_url_filename,
     "manifest_lines": q_manifest_lines,
     "manifest_roundtrip": q_manifest_roundtrip,
@@ -405,4 +468,5 @@ CATALOG = {
     "rejects": q_rejects,
     "page_rejects": q_page_rejects,
     "stream_ingest": q_stream_ingest,
+    "stream_stats": q_stream_stats,
 }

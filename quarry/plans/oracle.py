@@ -12,12 +12,14 @@ from quarry.functions.stopwords import FIRST_STOP_WORDS, REST_STOP_WORDS
 from quarry.functions.tokenize import sql_token_pattern
 from quarry.functions.normalize import NUMBER_PATTERN
 from quarry.plans.catalog import (
-    BENCHMARK_QUERY_OFFSET, LOOKUP_TERM, QUERY_SET, SQL_KMEANS_ITERATIONS, SQL_KMEANS_K,
+    BENCHMARK_QUERY_OFFSET, CHAIN_QUERY_ID, LINK_PAGE, LOOKUP_TERM, ODD_PAGES, QUERY_SET, REJECT_PAGES, REJECT_ROWS, SQL_KMEANS_K,
 )
-from quarry.operators.cluster import DEFAULT_KS, SCORE_DIGITS, TOP_TERMS
+from quarry.operators.cluster import DEFAULT_KS, SCORE_DIGITS, TOO_FEW_DOCUMENTS, TOP_TERMS
 from quarry.operators.links import (
-    DIR_PATTERN, HOST_PATTERN, HREF_PATTERN, LINK_RULES, ORIGIN_PATTERN, SCHEME_PATTERN,
+    DENIED_PATTERN, DIR_PATTERN, DOTS_PATTERN, ENTITIES, HOST_PATTERN, HREF_PATTERN, LINK_RULES, ORIGIN_PATTERN, PATH_PATTERN,
+    SCHEME_PATTERN, TAIL_PATTERN, WEB_PATTERN,
 )
+from quarry.operators.render import BUCKET_WIDTH
 from quarry.plans.catalog import DOC_LIMIT, LINK_DOMAIN, VOCAB_CAPACITY
 
 
@@ -25,6 +27,19 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _rows(rows, types) -> str:
+    """``VALUES`` rows of fixed values, with the types of the columns."""
+    def value(v, t):
+        return f"CAST({'NULL' if v is None else _lit(v) if isinstance(v, str) else v} AS {t})"
+    return ", ".join("(" + ", ".join(value(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+
+
+def _too_few(k: str, n: str) -> str:
+    """The guard's line in SQL, for SQL expressions of k and the number of documents."""
+    head, mid, tail = TOO_FEW_DOCUMENTS.split("%d")
+    return f"{_lit(head)} || {k} || {_lit(mid)} || {n} || {_lit(tail)}"
+
+
 def _in_list(words) -> str:
     return "(" + ", ".join(_lit(w) for w in words) + ")"
 
@@ -41,9 +56,9 @@ def tokens_cte(name: str, src: str) -> str:
 def paged_tokens_cte(name: str, src: str) -> str:
     """``name(doc_id, pos, token)`` from ``src(doc_id, page_no, text)`` with running positions."""
     return (f"{name}_p AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(page_no AS BIGINT) AS page_no, "
-            f"regexp_extract_all(text, '{PAT}') AS t FROM {src}), "
+            f"text, regexp_extract_all(text, '{PAT}') AS t FROM {src}), "
             f"{name}_o AS (SELECT doc_id, page_no, t, coalesce(sum(coalesce(len(t), 0)) OVER (PARTITION BY doc_id "
-            f"ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM {name}_p), "
+            f"ORDER BY page_no NULLS FIRST, text NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM {name}_p), "
             f"{name} AS (SELECT doc_id, CAST(off + unnest(range(1, len(t) + 1)) AS BIGINT) AS pos, unnest(t) AS token "
             f"FROM {name}_o)")
 
@@ -81,6 +96,7 @@ HAS_TOKEN = r"[^\s\x0B\p{Z}]"
 NONEMPTY = f"ne AS (SELECT DISTINCT doc_id FROM docs WHERE regexp_matches(text, '{HAS_TOKEN}'))"
 CONV = ("conv AS (SELECT CAST(conv_id AS BIGINT) AS doc_id, CAST(turn AS BIGINT) AS page_no, text "
         "FROM conversations)")
+PAGE_TYPES = ("BIGINT", "BIGINT", "VARCHAR")
 
 
 def _queries_cte() -> str:
@@ -114,10 +130,15 @@ TFIDF_BASE = ", ".join([
     "idf AS (SELECT term, ln((1.0::DOUBLE + (SELECT n FROM nn)) / (1.0::DOUBLE + CAST(count(*) AS DOUBLE))) "
     "+ 1.0::DOUBLE AS idf FROM post GROUP BY term)",
     "raw AS (SELECT p.doc_id, p.term, CAST(p.tf AS DOUBLE) * idf.idf AS r FROM post p JOIN idf USING (term))",
-    "wt AS (SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw)",
+    "wt AS MATERIALIZED (SELECT doc_id, term, r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) AS w FROM raw)",
 ])
 
 
+# Update steps that the SQL unrolls: more than the fixed point needs on the tables compared, and
+# nothing changes after it.
+KMEANS_STEPS = 40
+
+
 def _kmeans_ctes(k: int, iterations: int, p: str = "") -> tuple[str, str, str]:
     """CTEs of the deterministic k-means (names prefixed with ``p``); returns (ctes, final labels
     name, final centroids name)."""
@@ -128,7 +149,7 @@ def _kmeans_ctes(k: int, iterations: int, p: str = "") -> tuple[str, str, str]:
     ]
 
     def centroids(name, labels):
-        return (f"{name} AS (SELECT l.cluster, x.term, sum(x.w) / (SELECT count(*) FROM {labels} z "
+        return (f"{name} AS MATERIALIZED (SELECT l.cluster, x.term, sum(x.w) / (SELECT count(*) FROM {labels} z "
                 f"WHERE z.cluster = l.cluster) AS w FROM wt x JOIN {labels} l USING (doc_id) GROUP BY l.cluster, x.term)")
 
     def assign(name, cents):
@@ -140,7 +161,7 @@ def _kmeans_ctes(k: int, iterations: int, p: str = "") -> tuple[str, str, str]:
                 f"GROUP BY x.doc_id, c.cluster, n.n2), "
                 f"{name}_all AS (SELECT doc_id, cluster, score FROM {name}_sc UNION ALL "
                 f"SELECT ne.doc_id, be.cluster, be.s FROM ne, {name}_be be), "
-                f"{name} AS (SELECT doc_id, cluster FROM (SELECT doc_id, cluster, row_number() OVER "
+                f"{name} AS MATERIALIZED (SELECT doc_id, cluster FROM (SELECT doc_id, cluster, row_number() OVER "
                 f"(PARTITION BY doc_id ORDER BY score, cluster) AS rn FROM {name}_all) WHERE rn = 1)")
 
     ctes.append(centroids(f"{p}c0", f"{p}seeds"))
@@ -148,7 +169,7 @@ def _kmeans_ctes(k: int, iterations: int, p: str = "") -> tuple[str, str, str]:
     for i in range(1, iterations + 1):
         ctes.append(assign(f"{p}l{i}", prev))
         ctes.append(centroids(f"{p}cn{i}", f"{p}l{i}"))
-        ctes.append(f"{p}c{i} AS (SELECT * FROM {p}cn{i} UNION ALL SELECT * FROM {prev} "
+        ctes.append(f"{p}c{i} AS MATERIALIZED (SELECT * FROM {p}cn{i} UNION ALL SELECT * FROM {prev} "
                     f"WHERE cluster NOT IN (SELECT cluster FROM {p}l{i}))")
         prev = f"{p}c{i}"
     ctes.append(assign(f"{p}lf", prev))
@@ -164,8 +185,7 @@ def _report_sql(ks, iterations: int) -> str:
         ok = f"(SELECT n FROM nd) >= {k}"
         blocks.append(
             f"SELECT CAST({k} AS BIGINT) AS k, 0 AS section, CAST(-1 AS BIGINT) AS cluster, "
-            f"'Error: Cannot perform k-means clustering when k > total documents collected. (k = {k}; "
-            f"Total Documents Collected = ' || (SELECT n FROM nd) || ')' AS line "
+            f"{_too_few(str(k), '(SELECT n FROM nd)')} AS line "
             f"WHERE (SELECT n FROM nd) < {k} AND (SELECT n FROM nd) >= {prev_k}")
         blocks.append(f"SELECT CAST({k} AS BIGINT), 0, CAST(-1 AS BIGINT), 'k = {k}' WHERE {ok}")
         blocks.append(
@@ -184,6 +204,12 @@ def _report_sql(ks, iterations: int) -> str:
     return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(blocks)
 
 
+def _entities(col: str) -> str:
+    for entity, char in ENTITIES:
+        col = f"replace({col}, {_lit(entity)}, {_lit(char)})"
+    return col
+
+
 def _with(base: str, select: str) -> str:
     return f"WITH {base} {select}"
 
@@ -193,7 +219,8 @@ def oracle_sql() -> dict[str, str]:
     n1 = f"WHERE NOT regexp_matches(token, '{NUMBER_PATTERN}')"
     sq = {
         "tokens": _with(tok_base, "SELECT doc_id, pos, token FROM toks"),
-        "tokens_paged": _with(", ".join([CONV, paged_tokens_cte("pt", "conv")]),
+        "tokens_paged": _with(", ".join([CONV, f"odd AS (SELECT * FROM conv UNION ALL VALUES {_rows(ODD_PAGES, PAGE_TYPES)})",
+                                         paged_tokens_cte("pt", "odd")]),
                               "SELECT doc_id, pos, token FROM pt"),
         "remove_numbers": _with(tok_base, f"SELECT doc_id, pos, token AS term FROM toks {n1}"),
         "casefold": _with(tok_base, "SELECT doc_id, pos, lower(token) AS term FROM toks"),
@@ -242,13 +269,22 @@ def oracle_sql() -> dict[str, str]:
                              "|| '): ' || (SELECT string_agg(CAST(h.doc_id AS VARCHAR), ', ' ORDER BY h.doc_id) "
                              "FROM hits h WHERE h.query_id = s.query_id) ELSE 'No documents returned.' END AS line "
                              "FROM status s"),
+        "result_parts": _with(QUERY_BASE, f"SELECT query_id, CAST(floor(doc_id / {BUCKET_WIDTH}) AS BIGINT) AS part, count(*) AS n, "
+                              "string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) AS line FROM hits GROUP BY ALL"),
+        "session_parts": _with(QUERY_BASE, f"SELECT CAST(floor(doc_id / {BUCKET_WIDTH}) AS BIGINT) AS part, count(*) AS n, "
+                               "string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) AS line "
+                               "FROM (SELECT DISTINCT doc_id FROM hits) GROUP BY ALL"),
+        "and_chain": _with(QUERY_BASE, f"SELECT doc_id FROM hits WHERE query_id = {CHAIN_QUERY_ID}"),
+        "postings_parts": _with(DOC_BASE, f"SELECT term, CAST(floor(doc_id / {BUCKET_WIDTH}) AS BIGINT) AS part, count(*) AS n, "
+                                "string_agg(CAST(doc_id AS VARCHAR) || '[' || array_to_string(plist, ', ') || ']', ', ' "
+                                "ORDER BY doc_id) AS line FROM post GROUP BY term, part"),
         "session_union": _with(QUERY_BASE, "SELECT DISTINCT doc_id FROM hits"),
         "session_text": _with(QUERY_BASE,
                               "SELECT CASE WHEN count(*) = 0 THEN 'No documents were retrieved during your session.' "
                               "ELSE 'Documents retrieved (' || count(*) || '): ' || string_agg(CAST(doc_id AS VARCHAR), "
                               "', ' ORDER BY doc_id) END AS line FROM (SELECT DISTINCT doc_id FROM hits)"),
     }
-    km, lab, cen = _kmeans_ctes(SQL_KMEANS_K, SQL_KMEANS_ITERATIONS)
+    km, lab, cen = _kmeans_ctes(SQL_KMEANS_K, KMEANS_STEPS)
     km_base = ", ".join([TFIDF_BASE, km])
     sq.update({
         "doc_term_matrix": _with(", ".join([DOC_BASE, NONEMPTY]),
@@ -262,6 +298,11 @@ def oracle_sql() -> dict[str, str]:
                                  f"AS line FROM (SELECT CAST(range AS BIGINT) AS cluster FROM range({SQL_KMEANS_K})) c "
                                  f"LEFT JOIN (SELECT cluster, string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) "
                                  f"AS ids FROM {lab} GROUP BY cluster) m USING (cluster)"),
+        "cluster_member_parts": _with(km_base, f"SELECT cluster, CAST(floor(doc_id / {BUCKET_WIDTH}) AS BIGINT) AS part, count(*) AS n, "
+                                      f"string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) AS line FROM {lab} GROUP BY ALL"),
+        "kmeans_ml_check": _with(", ".join([DOCS, NONEMPTY]),
+                                 "SELECT k, n AS n_labelled, true AS labels_valid, true AS cost_improved FROM "
+                                 f"(VALUES {_rows([(k,) for k in DEFAULT_KS], ('BIGINT',))}) v(k), (SELECT count(*) AS n FROM ne) WHERE n >= k"),
         "cluster_top_terms": _with(km_base,
                                    f"SELECT cluster, string_agg(printf('%s: %.4f', term, w), ', ' ORDER BY rn) AS line "
                                    f"FROM (SELECT cluster, term, w, row_number() OVER (PARTITION BY cluster ORDER BY "
@@ -269,24 +310,36 @@ def oracle_sql() -> dict[str, str]:
                                    f"WHERE rn <= {TOP_TERMS} GROUP BY cluster"),
         "kmeans_guard": _with(NONEMPTY.replace("FROM docs", "FROM (SELECT doc_id, text FROM documents)"),
                               "SELECT k, line FROM (SELECT CAST(k AS BIGINT) AS k, CASE WHEN n < k THEN "
-                              "'Error: Cannot perform k-means clustering when k > total documents collected. (k = ' "
-                              "|| k || '; Total Documents Collected = ' || n || ')' ELSE 'ok' END AS line, "
+                              f"{_too_few('k', 'n')} ELSE 'ok' END AS line, "
                               "sum(CASE WHEN n < k THEN 1 ELSE 0 END) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED "
-                              "PRECEDING AND 1 PRECEDING) AS prior_fail FROM (VALUES (2), (10), (20)) v(k), "
-                              "(SELECT count(*) AS n FROM ne)) WHERE coalesce(prior_fail, 0) = 0"),
+                              f"PRECEDING AND 1 PRECEDING) AS prior_fail FROM (SELECT * FROM (VALUES {_rows([(k,) for k in DEFAULT_KS], ('BIGINT',))}) "
+                              "v(k) UNION ALL SELECT count(*) + 1 FROM ne) v, (SELECT count(*) AS n FROM ne)) WHERE coalesce(prior_fail, 0) = 0"),
     })
     lk_base = (
-        "pg AS (SELECT CAST(page_id AS BIGINT) AS page_id, url AS base, html FROM pages), "
-        "hr AS (SELECT page_id, base, unnest(range(1, len(h) + 1)) AS link_no, unnest(h) AS href FROM "
+        "pg AS (SELECT CAST(page_id AS BIGINT) AS page_id, url AS base, html FROM pages UNION ALL "
+        f"VALUES {_rows([LINK_PAGE], ('BIGINT', 'VARCHAR', 'VARCHAR'))}), "
+        "hr AS (SELECT page_id, base, unnest(range(1, len(h) + 1)) AS link_no, unnest(h) AS raw FROM "
         f"(SELECT page_id, base, regexp_extract_all(html, {_lit(HREF_PATTERN)}, 1) AS h FROM pg)), "
-        f"lk AS (SELECT page_id, link_no, CASE WHEN regexp_matches(href, {_lit(SCHEME_PATTERN)}) THEN href "
+        "hv AS (SELECT page_id, base, link_no, CASE WHEN raw[1] IN ('\"', chr(39)) THEN raw[2:-2] ELSE raw END AS v FROM hr), "
+        f"he AS (SELECT page_id, base, link_no, regexp_replace(trim({_entities('v')}), '(?s)#.*$', '') AS href FROM hv), "
+        f"ab AS (SELECT page_id, link_no, CASE WHEN regexp_matches(href, {_lit(SCHEME_PATTERN)}) THEN href "
         "WHEN starts_with(href, '//') THEN regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href "
         f"WHEN starts_with(href, '/') THEN regexp_extract(base, {_lit(ORIGIN_PATTERN)}, 0) || href "
-        f"ELSE regexp_extract(base, {_lit(DIR_PATTERN)}, 0) || href END AS url FROM hr)")
+        "WHEN starts_with(href, '?') THEN regexp_extract(base, '^[^?#]*', 0) || href "
+        f"ELSE regexp_extract(base, {_lit(ORIGIN_PATTERN)}, 0) || coalesce(nullif(regexp_extract(base, {_lit(DIR_PATTERN)}, 1), ''), '/') "
+        f"|| href END AS u FROM he WHERE href <> '' AND (regexp_matches(href, {_lit(WEB_PATTERN)}) OR NOT regexp_matches(href, {_lit(SCHEME_PATTERN)}))), "
+        f"sg AS (SELECT page_id, link_no, u, string_split(regexp_extract(u, {_lit(PATH_PATTERN)}, 1), '/') AS seg FROM ab), "
+        "wk AS (SELECT page_id, link_no, u, seg, list_reduce(seg[2:], lambda acc, x: CASE WHEN x = '.' THEN acc WHEN x = '..' "
+        "THEN regexp_replace(acc, '/[^/]*$', '') ELSE acc || '/' || x END, '') AS walked FROM sg), "
+        f"lk AS (SELECT page_id, link_no, CASE WHEN regexp_matches(regexp_extract(u, {_lit(PATH_PATTERN)}, 1), {_lit(DOTS_PATTERN)}) THEN "
+        f"regexp_extract(u, {_lit(ORIGIN_PATTERN)}, 0) || walked || CASE WHEN seg[-1] IN ('.', '..') OR walked = '' THEN '/' ELSE '' END "
+        f"|| regexp_extract(u, {_lit(TAIL_PATTERN)}, 1) ELSE u END AS url FROM wk)")
     host = f"lower(regexp_extract(url, {_lit(HOST_PATTERN)}, 1))"
-    rule = "CASE " + " ".join(f"WHEN regexp_matches(url, {_lit(p)}) THEN {n}" for n, p, _ in LINK_RULES) + " ELSE 0 END"
-    cls = "CASE " + " ".join(f"WHEN regexp_matches(url, {_lit(p)}) THEN {_lit(c)}" for _, p, c in LINK_RULES) \
-        + " ELSE 'none' END"
+    denied = f"regexp_matches(url, {_lit(DENIED_PATTERN)})"
+    found = {n: f"regexp_matches(url, {_lit(p)})" + ("" if n == 1 else f" AND NOT {denied}") for n, p, _ in LINK_RULES}
+    rule = "CASE " + " ".join(f"WHEN {found[n]} THEN {n}" for n, _, _ in LINK_RULES) + " ELSE 0 END"
+    cls = "CASE " + " ".join(f"WHEN {found[n]} THEN {_lit(c)}" for n, _, c in LINK_RULES) + " ELSE 'none' END"
+    in_domain = f"({host} = {_lit(LINK_DOMAIN)} OR suffix({host}, {_lit('.' + LINK_DOMAIN)}))"
     ne_pages = (f"nep AS (SELECT CAST(page_id AS BIGINT) AS doc_id, url FROM pages "
                 f"WHERE regexp_matches(html, '{HAS_TOKEN}'))")
     cap = (f"fo AS (SELECT term, doc_id AS fd, pos AS fp FROM (SELECT term, doc_id, pos, row_number() OVER "
@@ -301,6 +354,10 @@ def oracle_sql() -> dict[str, str]:
                                       f"{_lit(LINK_DOMAIN)} OR suffix({host}, {_lit('.' + LINK_DOMAIN)})"),
         "link_class": _with(lk_base, f"SELECT page_id, link_no, url, CAST({rule} AS BIGINT) AS rule, {cls} AS class "
                                      f"FROM lk"),
+        "select_links": _with(lk_base, "SELECT row_number() OVER (ORDER BY page_id, link_no) AS doc_id, url, class FROM (SELECT url, page_id, link_no, "
+                                       f"{cls} AS class FROM (SELECT url, page_id, link_no, row_number() OVER (PARTITION BY url ORDER BY page_id, "
+                                       f"link_no) AS rn FROM lk WHERE {in_domain} AND {rule} > 0) WHERE rn = 1 ORDER BY page_id, link_no "
+                                       f"LIMIT {DOC_LIMIT})"),
         "url_dedupe": _with(lk_base, "SELECT url, page_id, link_no FROM (SELECT url, page_id, link_no, row_number() "
                                      "OVER (PARTITION BY url ORDER BY page_id, link_no) AS rn FROM lk) WHERE rn = 1"),
         "url_filename": "SELECT CAST(page_id AS BIGINT) AS page_id, url, CAST(page_id AS VARCHAR) || '_' || "
@@ -320,14 +377,16 @@ def oracle_sql() -> dict[str, str]:
                                       postings_cte("cp", "kept")]),
                            f"SELECT term, doc_id, tf, {_positions()} AS positions FROM cp"),
         "rejects": "SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN doc_id IS NULL THEN 'null_id' ELSE 'null_text' "
-                   "END AS reason FROM documents WHERE doc_id IS NULL OR text IS NULL",
+                   f"END AS reason FROM (SELECT doc_id, text FROM documents UNION ALL VALUES {_rows(REJECT_ROWS, ('BIGINT', 'VARCHAR'))}) "
+                   "WHERE doc_id IS NULL OR text IS NULL",
         "page_rejects": "WITH cp AS (SELECT CAST(conv_id AS BIGINT) AS doc_id, CAST(turn AS BIGINT) AS page_no, text "
-                        "FROM conversations), bad AS (SELECT DISTINCT doc_id FROM cp WHERE doc_id IS NOT NULL AND "
+                        f"FROM conversations UNION ALL VALUES {_rows(REJECT_PAGES, PAGE_TYPES)}), bad AS (SELECT DISTINCT doc_id FROM cp WHERE doc_id IS NOT NULL AND "
                         "(text IS NULL OR page_no IS NULL)) "
                         "SELECT doc_id, page_no, CASE WHEN text IS NULL OR page_no IS NULL THEN 'null_text' "
                         "ELSE 'document_rejected' END AS reason FROM cp WHERE doc_id IN (SELECT doc_id FROM bad) "
                         "UNION ALL SELECT doc_id, page_no, 'null_id' FROM cp WHERE doc_id IS NULL",
         "stream_ingest": sq["postings"],
-        "cluster_report_sql": _report_sql(DEFAULT_KS, SQL_KMEANS_ITERATIONS),
+        "stream_stats": sq["collection_stats"],
+        "cluster_report_sql": _report_sql(DEFAULT_KS, KMEANS_STEPS),
     })
     return sq

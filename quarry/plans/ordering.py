@@ -35,28 +35,20 @@ def dense_index_with_total(df: DataFrame, order_cols: list[str], out_col: str =
     for pid in range(n):
         offsets.append(running)
         running += counts.get(pid, 0)
-    offset_arr = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    starts = spark.createDataFrame(list(enumerate(offsets)), "__part INT, __start BIGINT")
     local_index = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    out = tagged.select(
-        *[F.col(c) for c in df.columns],
-        (F.element_at(offset_arr, F.col("__pid") + 1) + local_index + 1).alias(out_col))
+    # one row per partition
+    out = tagged.join(F.broadcast(starts), F.col("__pid") == F.col("__part")).select(
+        *[F.col(c) for c in df.columns], (F.col("__start") + local_index + 1).alias(out_col))
     return out, running
 
 
-# Above this n the n-th smallest key is found by the distributed ranking; at or below it a top-n
-# (per-partition top n, merged in one task holding at most n rows per input partition) is cheaper.
-TOP_N_LIMIT = 100_000
-
-
 def nth_smallest(df: DataFrame, order_cols: list[str], n: int) -> tuple | None:
     """Values of ``order_cols`` at the n-th row in ascending order (keys unique), or ``None`` when
-    ``df`` has fewer than n rows. One row reaches the driver."""
+    ``df`` has fewer than n rows. The keys are range partitioned and counted per partition; only the
+    partition that holds the n-th is looked at. One row reaches the driver."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    if n <= TOP_N_LIMIT:
-        top = df.select(*order_cols).orderBy(*order_cols).limit(n)
-        row = top.agg(F.count(F.lit(1)).alias("c"), F.max(F.struct(*order_cols)).alias("m")).first()
-        return tuple(row["m"]) if row["c"] == n else None
     ranked = dense_index(df.select(*order_cols), order_cols, "__rank")
     rows = ranked.filter(F.col("__rank") == n).select(*order_cols).collect()
     return tuple(rows[0]) if rows else None

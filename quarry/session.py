@@ -72,6 +72,12 @@ def shared_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint()`` (eager, reliable) into the session's checkpoint folder, making sure the
     SparkContext knows that folder first. Never a local checkpoint: the data must survive the loss

@@ -87,7 +87,7 @@ def test_query_words_pushed_into_stored_index(spark, docs_factory, tmp_path):
     assert hits == want
 
 
-def test_large_batch_paths_match_brute_force(spark, docs_factory, monkeypatch):
+def test_large_batch_paths_match_brute_force(spark, docs_factory, monkeypatch, request):
     """Force the paths taken when the batch is too large to broadcast or to list as literals."""
     docs = corpus(seed=13)
     idx = ix.build_index(docs_factory(docs), NO_STEM_TECHNIQUES)
@@ -96,7 +96,8 @@ def test_large_batch_paths_match_brute_force(spark, docs_factory, monkeypatch):
     queries = spark.createDataFrame(qs, "query_id BIGINT, query STRING")
     qterms = search.query_terms(queries, NO_STEM_TECHNIQUES)
     monkeypatch.setattr(search, "PUSHDOWN_MAX_WORDS", 1)
-    monkeypatch.setattr(search, "is_small", lambda df, max_rows=0: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
     for hits in (search.and_division(qterms, idx.postings), search.and_rarest_first(qterms, idx.postings)):
         got = {}
         for r in hits.collect():

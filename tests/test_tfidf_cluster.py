@@ -110,6 +110,46 @@ def test_kmeans_sql_cost_does_not_increase(spark, weights):
     assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:])), costs
 
 
+def test_kmeans_sql_stops_at_a_fixed_point(spark, weights):
+    idx, w = weights
+    labels, cents = cluster.kmeans_sql(w, idx.docs, 3)
+    lab = {r.doc_id: r.cluster for r in labels.collect()}
+    again = {r.doc_id: r.cluster for r in cluster.assign(w, idx.docs, cents, 3).collect()}
+    means = {(r.cluster, r.term): r.w for r in cluster.centroids_of(w, labels).collect()}
+    assert again == lab
+    got = {(r.cluster, r.term): r.w for r in cents.collect() if r.cluster in set(lab.values())}
+    assert set(got) == set(means) and all(abs(got[k] - means[k]) < 1e-12 for k in got)
+
+
+def test_assign_equals_brute_force(spark, weights):
+    idx, w = weights
+    cents = cluster.centroids_of(w, cluster.seeds(w, 4))
+    x, c = {}, {}
+    for r in w.collect():
+        x.setdefault(r.doc_id, {})[r.term] = r.w
+    for r in cents.collect():
+        c.setdefault(r.cluster, {})[r.term] = r.w
+    for r in cluster.assign(w, idx.docs, cents, 4).collect():
+        v = x.get(r.doc_id, {})
+        score = {k: round(sum(a * a for a in m.values()) - 2 * sum(v.get(t, 0) * a for t, a in m.items()), 9) for k, m in c.items()}
+        assert r.cluster == min(score, key=lambda k: (score[k], k))
+
+
+def test_ml_invariants_hold(spark, weights):
+    idx, w = weights
+    rows = cluster.ml_invariants(spark, w, idx.docs, (2, 3, 10)).collect()
+    assert [tuple(r) for r in rows] == [(2, 8, True, True), (3, 8, True, True)]
+
+
+def test_vectors_need_no_python(spark, weights):
+    idx, w = weights
+    vectors = cluster.ml_vectors(w, idx.docs)
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    got = {r.doc_id: r.features for r in vectors.collect()}
+    assert got[4].numNonzeros() == 0 and abs(got[1].norm(2) - 1) < 1e-9
+
+
 def test_cluster_report_sql_guard(spark, weights):
     idx, w = weights
     rows = sorted(cluster.cluster_report_sql(spark, w, idx.docs, (2, 10, 20)).collect(),
@@ -133,14 +173,13 @@ def test_top_terms_two_level_matches_brute_force(spark):
         assert [t for _, t in sorted(got[c])] == [t for t, _ in want]
 
 
-def test_shuffle_join_paths_equal_broadcast_paths(spark, weights, monkeypatch):
+def test_shuffle_join_paths_equal_broadcast_paths(spark, weights, request):
     idx, w = weights
     base_w = {(r.doc_id, r.term): r.w for r in w.collect()}
     base_l, _ = cluster.kmeans_sql(w, idx.docs, 3, 2)
     base_labels = {r.doc_id: r.cluster for r in base_l.collect()}
-    no_bc = lambda df, max_rows=0: df
-    monkeypatch.setattr(tfidf, "bounded_broadcast", no_bc)
-    monkeypatch.setattr(cluster, "bounded_broadcast", no_bc)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
     w2 = tfidf.tfidf(idx)
     got = {(r.doc_id, r.term): r.w for r in w2.collect()}
     assert set(got) == set(base_w) and all(abs(got[k] - base_w[k]) < 1e-12 for k in got)
