@@ -66,6 +66,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def tune_codegen(spark: SparkSession) -> None:
+    """Sessions whose JVMs lack ``JIT_OPTIONS`` compile operators separately where the fused token pipeline
+    would be too large a method for the JIT."""
+    conf = spark.sparkContext.getConf()
+    options = conf.get("spark.executor.extraJavaOptions", "") + conf.get("spark.driver.extraJavaOptions", "")
+    if JIT_OPTIONS not in options:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def shared_scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
