@@ -18,6 +18,7 @@ matched words stays (ties: more coverage, then name). Repeated rows are reported
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import defaultdict
 
 import pyarrow as pa
@@ -157,9 +158,10 @@ class Index:
                     out.append((t, *hit))
         kept: list[tuple[int, int, int, int]] = []
         for t, a, b, m in sorted(out, key=lambda h: (-h[3], -h[3] / len(self.bodies[h[0]]), self.names[h[0]], h[1])):
-            if not any(a < y and x < b for _, x, y, _ in kept):
-                kept.append((t, a, b, m))
-        return sorted(kept, key=lambda h: h[1])
+            k = bisect(kept, a, key=lambda h: h[1])  # the finds kept so far do not overlap, so two neighbours tell
+            if (k == 0 or kept[k - 1][2] <= a) and (k == len(kept) or b <= kept[k][1]):
+                kept.insert(k, (t, a, b, m))
+        return kept
 
 
 def align(body: list[int], seq: list[int], low: int, high: int) -> tuple[int, int, int] | None:
