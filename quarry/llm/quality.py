@@ -93,8 +93,8 @@ def host_rates(judged: DataFrame, host: str) -> DataFrame:
     usable = (F.col("n") > 1) & (F.col("v") > 0) & (F.col("v") < spread)
     prior = prior.select(F.when(usable, F.col("m")).otherwise(F.col("p")).alias("m"),
                          F.when(usable, spread / F.col("v") - 1).otherwise(F.lit(PRIOR_WEIGHT)).alias("s"))
-    # one row of prior beside each host
-    return hosts.join(F.broadcast(prior), F.lit(True)).select(
+    # the one row of the prior, joined on a constant key
+    return hosts.withColumn("one", F.lit(1)).join(F.broadcast(prior.withColumn("one", F.lit(1))), "one").select(
         "host", "n_docs", "n_failed", ((F.col("n_failed") + F.col("m") * F.col("s")) / (F.col("n_docs") + F.col("s"))).alias("rate"))
 
 
