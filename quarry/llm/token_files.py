@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 from quarry.llm.common import prepare, slices, text_hash
 
 SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 BLOCK = 512
 MAGIC = b"WVM1"
 
@@ -46,29 +46,76 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit integers, by way of their distinct words."""
+    """Ids of texts as little-endian 32-bit integers, by way of their distinct words.
+
+    A word of letters, maybe followed by points or commas, is encoded as its lower-case letters (if they are
+    ASCII; the tokenizer lower-cases them anyway) and its tail. Distinct letter words are encoded many at a time in
+    one text: each is one unit of the tokenizer, and the last id of a unit carries the end-of-word mark. If the
+    marks do not add up to the words, the words are encoded one by one.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+
+    def one_by_one(self, words: list[str]) -> None:
+        for word, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            self.known[word] = np.array(e.ids, "<u4").tobytes()
+
+    def letters(self, words: list[str]) -> None:
+        """Encode distinct words of letters only."""
+        for lo in range(0, len(words), 4096):
+            part = words[lo:lo + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part) or (len(ends) and ends[-1] != len(ids)):
+                self.one_by_one(part)
+                continue
+            data, at = ids.tobytes(), 0
+            for word, end in zip(part, (ends * 4).tolist()):
+                self.known[word] = data[at:end]
+                at = end
+
+    def learn(self, words: set[str]) -> None:
+        """Add the ids of new words to ``known``."""
+        known = self.known
+        bodies, tails, other, made = set(), set(), [], []
+        for word in words:
+            body = word.rstrip(".,")
+            if not body.isalpha() or not body.lower().isalpha():  # a letter may lower to a letter and a mark
+                other.append(word)
+                continue
+            tail = word[len(body):]
+            if body.isascii():
+                body = body.lower()
+            if body not in known:
+                bodies.add(body)
+            if tail and tail not in known:
+                tails.add(tail)
+            made.append((word, body, tail))
+        self.letters(sorted(bodies))
+        self.one_by_one(other + sorted(tails))
+        for word, body, tail in made:
+            known[word] = known[body] + known[tail] if tail else known[body]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh: set[str] = set()
-        for words in split:
-            fresh.update(words)
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+            self.known = {"": b""}
+        get = self.known.get
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        found = [[get(w) for w in words] for words in split]
+        self.learn({w for words, ids in zip(split, found) if None in ids for w, x in zip(words, ids) if x is None})
         known = self.known
-        missing = [w for w in fresh if w not in known]
-        for lo in range(0, len(missing), 4096):
-            part = missing[lo:lo + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        for words, ids in zip(split, found):
+            if None in ids:
+                ids[:] = [known[w] if x is None else x for w, x in zip(words, ids)]
+        return [b"".join(ids) for ids in found]
 
 
 def encoder(path: str) -> Encoder:

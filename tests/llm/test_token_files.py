@@ -44,7 +44,8 @@ def reference(text):
 
 def test_words_encode_like_whole_texts():
     texts = ["", "Hello  world\nthis's  it\t\tx", "Ünïcode ťext — 漢字 \U0001F600", "á ́b c d\x1ce", "x<|endoftext|>y <|startoftext|>",
-             "ΑΣ ΣΑΣ. I'LL we're 3.14", prose(random.Random(1), 200)]
+             "ΑΣ ΣΑΣ. I'LL we're 3.14", "Word, word. WORD.. word., a,b,c. (x). \u212a\u0130. e\u0301, \u0fb2\u0f71. ªº¹ a's 's. don't, ﬁ. ǅ,",
+             "<|endoftext|>. <|ENDOFTEXT|>, x.<|endoftext|>", " ".join(map(chr, range(0x21, 0x3000))), prose(random.Random(1), 200)]
     got = tf.Encoder(PATH).encode(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [reference(t) for t in texts]
 
