@@ -12,7 +12,7 @@ PMI >= GENERALISE * IC on: it is cut to its first ``PREFIX`` characters; from PM
 short, it is removed. These are spans of kind ``term``, beside the base ones, at the places where term and entity meet.
 
 Scale: contexts grow with the entities found; document frequencies are counted per slice before they are
-shuffled, and only for terms that are candidates; texts are never shuffled by detection. Pairs of an entity and
+shuffled, and, but for the misses of a bitmap of fixed size, only for candidates; texts are never shuffled by detection. Pairs of an entity and
 a term are aggregated before any shuffle, so an entity in a third of all rows costs one row per task.
 
 Defined results: null or empty text has no spans. Repeated rows get the same spans each. Overlapping spans of
@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,8 @@ REMOVE = 0.9
 PREFIX = 3
 #: Distinct terms that a task counts before it hands them on.
 COUNTER_TERMS = 200_000
+#: Bits of the map (4 MB) that tells which terms cannot be candidates.
+FILTER_BITS = 1 << 25
 
 #: The word class of ``common.ascii_words``, for terms with their places.
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -140,14 +144,32 @@ def _find(texts: pa.Array) -> list[pa.Array]:
     return [pa.array(spans, _PA_SPANS), pa.array(pairs, _PA_PAIRS)]
 
 
+def candidate_bits(candidates: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER_BITS`` bits, one set per checksum of a candidate. Its size does not depend on their number."""
+    bit = F.pmod(F.crc32("term"), F.lit(FILTER_BITS))
+    words = (candidates.select((bit / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, int(crc32(term) % {FILTER_BITS} % 32))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")))
+    out = np.zeros(FILTER_BITS // 32, "<u4")
+    for batch in words.toArrow().to_batches():
+        out[batch.column("w").to_numpy()] = batch.column("b").to_numpy()
+    return out
+
+
 def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``(term, n)``: documents with each candidate term, over all texts."""
+    """``(term, n)``: documents with each candidate term, over all texts. A bitmap keeps most other terms out of the
+    shuffle; the join is exact."""
+    shared = docs.sparkSession.sparkContext.broadcast(candidate_bits(candidates))
+
     def run(batches):
+        bits = shared.value
         counts: Counter = Counter()
 
         def flush():
+            terms = list(counts)
+            at = np.fromiter((zlib.crc32(w) % FILTER_BITS for w in terms), np.int64, len(terms))
+            may = np.flatnonzero(bits[at >> 5] >> (at & 31).astype(np.uint32) & 1)
             out = pa.RecordBatch.from_arrays(
-                [pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+                [pa.array([terms[i].decode() for i in may], pa.string()), pa.array([counts[terms[i]] for i in may], pa.int64())], names=["term", "n"])
             counts.clear()
             return out
 
@@ -179,10 +201,10 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
                  .filter(F.col("n_texts") >= MIN_TEXTS), "pii-pairs")
     entities = (found.select("__id", "__th", F.explode(F.array_distinct(F.col("pairs.entity"))).alias("entity"))
                 .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
-    # one row with the corpus size beside each pair
-    total = found.agg(F.count(F.lit(1)).alias("n_all"))
-    scored = (met.join(entities, "entity").join(term_counts(docs, met.select("term").distinct()), "term")
-              .join(F.broadcast(total), F.lit(True)))
+    # the one row with the corpus size, joined on a constant key
+    total = found.agg(F.count(F.lit(1)).alias("n_all")).withColumn("one", F.lit(1))
+    scored = (met.join(entities, "entity").join(term_counts(docs, stored(met.select("term").distinct(), "pii-candidates")), "term")
+              .withColumn("one", F.lit(1)).join(F.broadcast(total), "one"))
     pmi = F.log2(F.col("n_both") * F.col("n_all") / (F.col("n_entity") * F.greatest("n", "n_both")))
     ic = F.log2(F.col("n_all") / F.col("n_entity"))
     return scored.filter((ic > 0) & (pmi >= GENERALISE * ic)).select(
