@@ -41,7 +41,8 @@ BEGINNINGS = (3, 4, 5, 6, 7)
 #: Numbers of occurrences that make a feature of their own.
 OFTEN = (2, 3)
 EM_ROUNDS = 8
-ANNOTATOR = -1
+#: Tasks over the vote patterns, of which there are at most as many as training documents.
+PATTERN_TASKS = 4
 PREDICT_AT = 0.7
 #: Distinct features that a task counts, and words whose features a worker keeps, before it starts anew.
 COUNTER_KEYS = 300_000
@@ -201,18 +202,20 @@ def fit_label_model(votes: DataFrame, m: int, n_pos: int, n: int) -> LabelModel:
     def totals(expect) -> dict[str, np.ndarray]:
         """Sums over the patterns of what ``expect`` makes of them, by name."""
         def run(batches):
+            sums: dict[str, np.ndarray] = {}
             for batch in batches:
-                fired = _votes(batch, m)
-                for name, values in expect(fired, batch.column("n").to_numpy().astype(float)).items():
+                for name, values in expect(_votes(batch, m), batch.column("n").to_numpy().astype(float)).items():
                     flat = np.asarray(values, float).ravel()
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(flat)), pa.array(np.arange(len(flat))), pa.array(flat)], names=["name", "i", "x"])
-
-        rows = votes.mapInArrow(run, "name string, i long, x double").groupBy("name", "i").agg(F.sum("x").alias("x")).collect()
-        out: dict[str, np.ndarray] = {}
-        for name in {r["name"] for r in rows}:
-            pairs = [(r["i"], r["x"]) for r in rows if r["name"] == name]
-            out[name] = np.zeros(len(pairs))
-            out[name][[i for i, _ in pairs]] = [x for _, x in pairs]
+                    sums[name] = sums[name] + flat if name in sums else flat
+            for name, flat in sums.items():  # only what is not zero
+                at = np.flatnonzero(flat)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(flat[at])], names=["name", "i", "x"])
+
+        rows = (votes.coalesce(PATTERN_TASKS).mapInArrow(run, "name string, i long, x double")
+                .groupBy("name", "i").agg(F.sum("x").alias("x")).collect())
+        out = {"n": np.zeros(2), "f1": np.zeros(m + 1), "f0": np.zeros(m + 1), "c1": np.zeros((m + 1) ** 2), "c0": np.zeros((m + 1) ** 2)}
+        for r in rows:
+            out[r["name"]][r["i"]] = r["x"]
         return out
 
     def rates(t: dict[str, np.ndarray]) -> tuple[float, np.ndarray]:
@@ -278,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, max_train: int = MAX_TRAIN
         F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
         F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")))).alias("s")).select("names", "s.*")
     vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(chosen))], "names", "features")
-    learner = LogisticRegression(maxIter=100, regParam=1e-5, elasticNetParam=0.0, standardization=False, weightCol="weight")
+    learner = LogisticRegression(maxIter=100, regParam=1e-6, elasticNetParam=0.0, standardization=False, weightCol="weight")
     line = learner.fit(vectors.transform(both.filter("weight > 1e-6")).select("label", "weight", "features"))
     return vocabulary, line.coefficients.toArray(), float(line.intercept)
 
