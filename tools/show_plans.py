@@ -65,7 +65,7 @@ def main():
     spark = get_session("local[8]", 8)
     print(f"# Physical plans (final adaptive plans, {sf}, local[8])\n")
     print("Generated by `tools/show_plans.py`. Operators only; expressions omitted. Steps a query runs")
-    print("before its final job (materializing the index, size checks) are separate plans not shown.\n")
+    print("before its final job (materializing the index or the postings of a batch) are separate plans not shown.\n")
     for name in HEADLINE:
         df = catalog.CATALOG[name](spark, sf)
         df.collect()
