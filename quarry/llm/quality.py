@@ -102,7 +102,8 @@ def verdicts(docs: DataFrame, carry: dict[str, object], host: str = "source") ->
     """``carry`` columns, the measures, base_failed, host_rate, host_bad and kept, per document."""
     prepare(docs.sparkSession)
     judged = stored(rules(measures(docs, carry | {"__host": F.col(host)})), "quality")
-    rates = host_rates(judged, "__host").select("host", F.col("rate").alias("host_rate"))
+    # stored, so that the planner knows its size before it would shuffle the documents by host
+    rates = stored(host_rates(judged, "__host").select("host", F.col("rate").alias("host_rate")), "quality-hosts")
     out = judged.join(rates, F.col("__host").eqNullSafe(F.col("host")))
     bad = F.col("host_rate") > HOST_LIMIT
     return out.select(*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
