@@ -98,7 +98,8 @@ class Encoder:
                 bodies.add(body)
             if tail and tail not in known:
                 tails.add(tail)
-            made.append((word, body, tail))
+            if body != word:
+                made.append((word, body, tail))
         self.letters(sorted(bodies))
         self.one_by_one(other + sorted(tails))
         for word, body, tail in made:
