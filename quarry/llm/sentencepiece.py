@@ -109,7 +109,7 @@ class Model:
                 score = best[d] + (found[1] if found is not None else self.unknown_score)
                 if top is None or score > top:
                     top, link = score, (d, found[0] if found is not None else None)
-                if d >= SHARED:
+                if d > SHARED:
                     live[d] = []  # so deep a prefix is not shared, and long words stay small
                 best.append(top)
                 back.append(link)

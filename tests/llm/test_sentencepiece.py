@@ -85,6 +85,19 @@ def test_cache_limit_changes_nothing(monkeypatch):
     assert [small.encode([t])[0] for t in texts()] == want
 
 
+def test_words_that_share_a_long_prefix_encode_the_same_together_and_apart():
+    start = "https://www.example.com/archive/documents/internationalisation/"
+    cases = ["=" * n for n in range(60, 72)] + ["-" * 65, "-" * 130, "-" * 64, "-" * 200]
+    cases += [start + tail for tail in ("configuration", "configurations", "conference", "international", "internationally")]
+    cases += ["a" * n + "thing" for n in range(58, 68)] + ["a" * n + "ther" for n in range(58, 68)]
+    m = sp.Model(PATH)
+    for text, together in zip(cases, m.encode(cases)):
+        want = plain_viterbi(m, text)
+        assert np.frombuffer(together, np.int32).tolist() == want, text
+        m.known.clear()
+        assert np.frombuffer(m.encode([text])[0], np.int32).tolist() == want, text
+
+
 def test_round_trip_on_awkward_rows(spark):
     docs = awkward() + [(50 + i, t) for i, t in enumerate(texts())] + [(90, "mark ▁ inside")]
     got = sp.round_trip(docs_of(spark, docs), {"doc_id": F.col("doc_id")}, PATH).collect()
