@@ -1,19 +1,22 @@
 """Operator 8, personal data: patterns, then information-theoretic sanitisation of what surrounds them.
 
 Base spans: e-mail, IP address, card and phone numbers by fixed patterns. Each distinct value found is a protected
-entity. A term (word of three or more characters with a letter) within ``REACH`` words of an entity is a context
-of it. From the whole corpus,
+entity. Every term (word with a letter or digit) of a document that holds an entity is a context of it. From the whole corpus,
 
     PMI(entity; term) = log2( n(entity, term) * N / (n(entity) * n(term)) )   and   IC(entity) = log2( N / n(entity) )
 
-with n counting documents. PMI equals IC when the term occurs only beside the entity, so that it tells
-which one it is. A term seen with the entity in ``MIN_TEXTS`` different texts or more is disclosed from
+with n counting documents (rows). PMI equals IC when the term occurs only in documents of the entity, so that it tells
+which one it is. A term seen with the entity in ``MIN_TEXTS`` different texts is disclosed from
 PMI >= GENERALISE * IC on: it is cut to its first ``PREFIX`` characters; from PMI >= REMOVE * IC on, or if it is that
-short, it is removed. These are spans of kind ``term``, beside the base ones, at the places where term and entity meet.
+short, it is removed. These are spans of kind ``term``, beside the base ones: every place of the term outside them, in every
+document that holds the entity.
 
-Scale: contexts grow with the entities found; document frequencies are counted per slice before they are
-shuffled, and, but for the misses of a bitmap of fixed size, only for candidates; texts are never shuffled by detection. Pairs of an entity and
-a term are aggregated before any shuffle, so an entity in a third of all rows costs one row per task.
+Scale: entities of a single text can disclose nothing and are left out first, by a bitmap of fixed size. Pairs of the others
+and the terms of their documents are aggregated before any shuffle, so an entity in a third of all rows costs one row per
+task and term. Document frequencies are counted per slice before they are shuffled, and, but for the misses of a bitmap,
+only for candidates. Places are read from the texts in a last pass, for disclosed pairs (a bitmap, then an exact join), so no
+entity's terms are multiplied with its documents. Texts are never shuffled by detection. A document with e repeated entities
+and t terms has e * t pairs, which are handed on a bounded number at a time.
 
 Defined results: null or empty text has no spans. Repeated rows get the same spans each. Overlapping spans of
 different kinds are all reported; sanitising masks their union, each run by the first kind in it.
@@ -24,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -43,15 +47,16 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 KINDS = ("email", "ip", "card", "phone", "term")
 
-REACH = 8
-REACH_CHARS = 200
+#: Different texts that make evidence; told by the least and the greatest text hash.
 MIN_TEXTS = 2
 GENERALISE = 0.75
 REMOVE = 0.9
 PREFIX = 3
-#: Distinct terms that a task counts before it hands them on.
+#: Stands for all entities (their hashes are not negative).
+ANY = -1
+#: Distinct terms, or pairs, that a task counts before it hands them on.
 COUNTER_TERMS = 200_000
-#: Bits of the map (4 MB) that tells which terms cannot be candidates.
+#: Bits of a map (4 MB) that tells which entities, terms or pairs cannot be candidates; a power of two.
 FILTER_BITS = 1 << 25
 
 #: The word class of ``common.ascii_words``, for terms with their places.
@@ -104,57 +109,122 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return out
 
 
-def _words_near(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
-    return [(m.start(), m.end()) for m in TERM.finditer(text, lo, hi)]
+def entities_of(spans: list[tuple[str, int, int, str]]) -> list[int]:
+    """A 63-bit hash of each distinct value."""
+    return sorted({int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "big") >> 1
+                   for kind, _, _, value in spans})
+
+
+def terms_of(text: str) -> dict[str, list[int]]:
+    """The places of each term of a text."""
+    out: dict[str, list[int]] = {}
+    for m in TERM.finditer(text):
+        out.setdefault(m[0].translate(_LOWER), []).append(m.start())
+    return {w: at for w, at in out.items() if any(c.isalnum() for c in w)}
 
 
 def contexts(text: str, spans: list[tuple[str, int, int, str]]) -> list[tuple[int, str, int, int]]:
-    """``(entity, term, start, end)`` for the terms near each span; the entity is a 63-bit hash."""
-    taken = sorted((a, b) for _, a, b, _ in spans)
+    """``(entity, term, start, end)`` for all terms of a text with these spans; the entity is a 63-bit hash."""
+    terms = terms_of(text) if spans else {}
+    return [(x, w, a, a + len(w)) for x in entities_of(spans) for w, at in terms.items() for a in at]
+
+
+def outside(places: list[int], size: int, taken: list[tuple[int, int]]) -> list[int]:
+    """The places whose ``size`` characters touch none of the disjoint sorted ``taken``."""
     out = []
-    for kind, a, b, value in spans:
-        entity = int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "big") >> 1
-        lo, hi = max(0, a - REACH_CHARS), min(len(text), b + REACH_CHARS)
-        left, right = _words_near(text, lo, a), _words_near(text, b, hi)
-        if left and lo and left[0][0] == lo:
-            left = left[1:]  # it may be cut
-        if right and hi < len(text) and right[-1][1] == hi:
-            right = right[:-1]
-        for s, e in left[-REACH:] + right[:REACH]:
-            word = text[s:e].translate(_LOWER)
-            if len(word) >= 3 and any(c.isalpha() for c in word) and not any(x < e and s < y for x, y in taken):
-                out.append((entity, word, s, e))
+    for a in places:
+        k = bisect_left(taken, a + size, key=lambda t: t[0])
+        if not k or taken[k - 1][1] <= a:
+            out.append(a)
+    return out
+
+
+def merged(spans: list[tuple[str, int, int, str]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for _, a, b, _ in spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
     return out
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
                                    T.StructField("end", T.LongType())]))
-_PAIRS = T.ArrayType(T.StructType([T.StructField("entity", T.LongType()), T.StructField("term", T.StringType()),
-                                   T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 _PA_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_PA_PAIRS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _find(texts: pa.Array) -> list[pa.Array]:
-    spans, pairs = [], []
+    spans, entities = [], []
     for text in texts.to_pylist():
         base = base_spans(text)
         spans.append([{"kind": k, "start": a, "end": b} for k, a, b, _ in base])
-        pairs.append([{"entity": x, "term": w, "start": a, "end": b} for x, w, a, b in contexts(text, base)] if base else [])
-    return [pa.array(spans, _PA_SPANS), pa.array(pairs, _PA_PAIRS)]
+        entities.append(entities_of(base))
+    return [pa.array(spans, _PA_SPANS), pa.array(entities, pa.list_(pa.int64()))]
 
 
-def candidate_bits(candidates: DataFrame) -> np.ndarray:
-    """A bitmap of ``FILTER_BITS`` bits, one set per checksum of a candidate. Its size does not depend on their number."""
-    bit = F.pmod(F.crc32("term"), F.lit(FILTER_BITS))
-    words = (candidates.select((bit / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, int(crc32(term) % {FILTER_BITS} % 32))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")))
+def bitmap(df: DataFrame, value) -> np.ndarray:
+    """``FILTER_BITS`` bits, one set per value (a non-negative long, modulo the size). Its size does not depend on their number."""
+    bit = value.bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = (df.select(F.shiftright(bit, 5).cast("int").alias("w"), bit.bitwiseAND(F.lit(31)).cast("int").alias("i"))
+             .select("w", F.expr("shiftleft(1L, i)").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")))
     out = np.zeros(FILTER_BITS // 32, "<u4")
     for batch in words.toArrow().to_batches():
         out[batch.column("w").to_numpy()] = batch.column("b").to_numpy()
     return out
 
 
+def candidate_bits(candidates: DataFrame) -> np.ndarray:
+    """The bitmap of the candidates' checksums."""
+    return bitmap(candidates, F.crc32("term"))
+
+
+def _has(bits: np.ndarray, value: int) -> bool:
+    at = value & (FILTER_BITS - 1)
+    return bool(int(bits[at >> 5]) >> (at & 31) & 1)
+
+
+def pair_counts(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``(entity, term, n_both)``: documents with both, for pairs in ``MIN_TEXTS`` texts or more; ``repeated``: entities.
+    Under the entity ``ANY``, the documents of all of them with the term."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(repeated, F.col("entity")))
+
+    def run(batches):
+        bits = shared.value
+        counts: dict[tuple[int, str], list[int]] = {}
+
+        def flush():
+            pairs = list(counts)
+            cols = [pa.array([x for x, _ in pairs], pa.int64()), pa.array([w for _, w in pairs], pa.string())]
+            cols += [pa.array([v[k] for v in counts.values()], pa.int64()) for k in range(3)]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(cols, names=["entity", "term", "n", "lo", "hi"])
+
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for text, th in zip(part.column("text").to_pylist(), part.column("__th").to_pylist()):
+                    entities = [x for x in entities_of(base_spans(text)) if _has(bits, x)]
+                    terms = terms_of(text) if entities else {}
+                    for x in [ANY, *entities] if entities else ():
+                        for w in terms:
+                            seen = counts.get((x, w))
+                            if seen is None:
+                                counts[x, w] = [1, th, th]
+                            else:
+                                seen[0] += 1
+                                seen[1] = min(seen[1], th)
+                                seen[2] = max(seen[2], th)
+                        if len(counts) > COUNTER_TERMS:
+                            yield flush()
+        if counts:
+            yield flush()
+
+    part = (docs.select(F.coalesce("text", F.lit("")).alias("text"), text_hash().alias("__th"))
+            .mapInArrow(run, "entity long, term string, n long, lo long, hi long"))
+    return (part.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+            .filter((F.col("entity") == ANY) | (F.col("lo") != F.col("hi"))).select("entity", "term", "n_both"))
+
+
 def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     """``(term, n)``: documents with each candidate term, over all texts. A bitmap keeps most other terms out of the
     shuffle; the join is exact."""
@@ -183,50 +253,99 @@ def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
             yield flush()
 
     part = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "term string, n long")
-    return part.join(candidates, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
+    # summed first, so that the join has one row a term and not one for each task's
+    return part.groupBy("term").agg(F.sum("n").alias("n")).join(candidates, "term", "left_semi")
 
 
 def detect(docs: DataFrame, carry: dict[str, object]) -> DataFrame:
-    """``carry`` columns plus ``spans`` (base kinds) and ``pairs`` (contexts), stored as a table."""
+    """``carry`` columns plus ``spans`` (base kinds) and ``entities`` (their values' hashes), stored as a table."""
     prepare(docs.sparkSession)
-    return stored(map_texts(docs, _find, [("spans", _SPANS), ("pairs", _PAIRS)],
+    return stored(map_texts(docs, _find, [("spans", _SPANS), ("entities", T.ArrayType(T.LongType()))],
                             carry | {"__id": F.col("doc_id"), "__th": text_hash()}), "pii")
 
 
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``(entity, term, action)`` of the terms that disclose an entity; found: from ``detect``."""
-    meet = (found.select("__id", "__th", F.explode("pairs").alias("p")).select("__id", "__th", "p.entity", "p.term").distinct())
-    met = stored(meet.groupBy("entity", "term", "__th").agg(F.count(F.lit(1)).alias("n"))
-                 .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts"))
-                 .filter(F.col("n_texts") >= MIN_TEXTS), "pii-pairs")
-    entities = (found.select("__id", "__th", F.explode(F.array_distinct(F.col("pairs.entity"))).alias("entity"))
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
+    entities = stored(found.select("__th", F.explode("entities").alias("entity")).groupBy("entity")
+                      .agg(F.count(F.lit(1)).alias("n_entity"), F.min("__th").alias("lo"), F.max("__th").alias("hi"))
+                      .filter(F.col("lo") != F.col("hi")).select("entity", "n_entity"), "pii-entities")
+    pairs = stored(pair_counts(docs, entities), "pii-pairs")
     # the one row with the corpus size, joined on a constant key
     total = found.agg(F.count(F.lit(1)).alias("n_all")).withColumn("one", F.lit(1))
-    scored = (met.join(entities, "entity").join(term_counts(docs, stored(met.select("term").distinct(), "pii-candidates")), "term")
-              .withColumn("one", F.lit(1)).join(F.broadcast(total), "one"))
-    pmi = F.log2(F.col("n_both") * F.col("n_all") / (F.col("n_entity") * F.greatest("n", "n_both")))
     ic = F.log2(F.col("n_all") / F.col("n_entity"))
-    return scored.filter((ic > 0) & (pmi >= GENERALISE * ic)).select(
-        "entity", "term", F.when((pmi >= REMOVE * ic) | (F.length("term") <= PREFIX), "remove").otherwise("generalise").alias("action"))
+
+    def pmi(n: str):
+        return F.log2(F.col("n_both") * F.col("n_all") / (F.col("n_entity") * F.col(n)))
+
+    # a term is in the entities' documents at least, so pairs that fail with this count fail with the whole one too
+    least = pairs.filter(F.col("entity") == ANY).select("term", F.col("n_both").alias("n_least"))
+    met = stored(pairs.filter(F.col("entity") != ANY).join(entities, "entity").join(least, "term").withColumn("one", F.lit(1))
+                 .join(F.broadcast(total), "one").filter((ic > 0) & (pmi("n_least") >= GENERALISE * ic))
+                 .select("entity", "term", "n_both", "n_entity", "n_all"), "pii-met")
+    counts = stored(term_counts(docs, stored(met.select("term").distinct(), "pii-candidates")), "pii-counts")
+    return met.join(counts, "term").filter(pmi("n") >= GENERALISE * ic).select(
+        "entity", "term", F.when((pmi("n") >= REMOVE * ic) | (F.length("term") <= PREFIX), "remove").otherwise("generalise").alias("action"))
+
+
+def places(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """``(__id, __th, entity, term, at)``: the places outside base spans of terms whose pair may be in ``told``, once per
+    document; a bitmap keeps most other pairs out."""
+    key = F.crc32("term").bitwiseXOR(F.col("entity").bitwiseAND(F.lit(0xFFFFFFFF)))
+    sc = docs.sparkSession.sparkContext
+    shared = sc.broadcast((bitmap(told, F.col("entity")), bitmap(told, key)))
+    src = docs.select(F.col("doc_id").alias("__id"), text_hash().alias("__th"), F.coalesce("text", F.lit("")).alias("text"))
+    schema = T.StructType([src.schema["__id"], src.schema["__th"], T.StructField("entity", T.LongType()),
+                           T.StructField("term", T.StringType()), T.StructField("at", T.ArrayType(T.LongType()))])
+
+    def run(batches):
+        known, bits = shared.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows: list[tuple] = []
+
+                def flush():
+                    row, x, w, at = zip(*rows)
+                    take = pa.array(row, pa.int64())
+                    rows.clear()
+                    return pa.RecordBatch.from_arrays(
+                        [part.column("__id").take(take), part.column("__th").take(take), pa.array(x, pa.int64()),
+                         pa.array(w, pa.string()), pa.array(at, pa.list_(pa.int64()))], names=schema.names)
+
+                for i, text in enumerate(part.column("text").to_pylist()):
+                    base = base_spans(text)
+                    entities = [x for x in entities_of(base) if _has(known, x)]
+                    if not entities:
+                        continue
+                    taken = merged(base)
+                    terms = [(w, zlib.crc32(w.encode()), at) for w, p in terms_of(text).items() if (at := outside(p, len(w), taken))]
+                    for x in entities:
+                        low = x & 0xFFFFFFFF
+                        rows.extend((i, x, w, at) for w, crc, at in terms if _has(bits, crc ^ low))
+                        if len(rows) > COUNTER_TERMS:
+                            yield flush()
+                if rows:
+                    yield flush()
+
+    return src.mapInArrow(run, schema).groupBy("__id", "__th", "entity", "term").agg(F.first("at").alias("at"))
 
 
 def term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``(__id, __th, terms)``: the spans of disclosing terms, for the documents that have any."""
-    met = found.select("__id", "__th", F.explode("pairs").alias("p")).select("__id", "__th", "p.*").distinct()
-    hit = met.join(stored(disclosures(docs, found), "pii-terms"), ["entity", "term"])
-    # a term between two entities is removed if either says so
-    worst = hit.groupBy("__id", "__th", "start", "end").agg(F.max("action").alias("action"))
+    told = stored(disclosures(docs, found), "pii-terms")
+    hit = places(docs, told).join(told, ["entity", "term"])
+    at = hit.select("__id", "__th", "action", F.explode("at").alias("start"), F.length("term").alias("size"))
+    # a term with two entities is removed if either says so
+    worst = at.groupBy("__id", "__th", "start", (F.col("start") + F.col("size")).alias("end")).agg(F.max("action").alias("action"))
     return worst.groupBy("__id", "__th").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
 
 
 def _with_terms(docs: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
-    """``found`` with the column ``terms``; rows without any context are not joined."""
+    """``found`` with the column ``terms``; rows without any entity are not joined."""
     terms = near.withColumnsRenamed({"__id": "__i", "__th": "__h"})
-    some = found.filter(F.size("pairs") > 0).join(
+    some = found.filter(F.size("entities") > 0).join(
         terms, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__h")), "left").drop("__i", "__h")
     none = F.lit(None).cast("array<struct<start:bigint,end:bigint,action:string>>")
-    return some.unionByName(found.filter(F.size("pairs") == 0).withColumn("terms", none)).withColumn(
+    return some.unionByName(found.filter(F.size("entities") == 0).withColumn("terms", none)).withColumn(
         "terms", F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")))
 
 

@@ -79,6 +79,22 @@ def test_scores_match_brute_force(spark):
     assert {tuple(r) for r in pii.disclosures(docs, found).collect()} == want and want
 
 
+def test_a_disclosing_term_is_marked_everywhere_in_documents_of_the_entity(spark):
+    filler = lambda i, n: " ".join(f"w{(i * 37 + k * 11) % 400}x" for k in range(n))
+    rows = [(1000 + i, f"{filler(i, 30)} common words 12") for i in range(60)]
+    rows += [(100 + i, f"Dear Quillfeather, common {filler(i, 40)} jane@corp.example {filler(i + 7, 40)} Qx 7731 and QUILLFEATHER")
+             for i in range(3)]
+    rows += [(103, rows[-1][1])] * 2  # repeated rows count as rows on both sides
+    docs = docs_of(spark, rows)
+    got = {r.doc_id: r for r in pii.personal_data(docs, {"doc_id": F.col("doc_id")}).collect()}
+    for i in (100, 101, 102, 103):
+        text = dict(rows)[i]
+        marked = [text[t.start:t.end].lower() for t in got[i].terms if t.action == "remove"]
+        assert marked.count("quillfeather") == 2 and "qx" in marked and "7731" in marked and "common" not in marked
+    clean = {r.doc_id: r.text.lower() for r in pii.sanitise(docs).collect()}
+    assert not any(w in clean[i] for i in (100, 101, 102, 103) for w in ("quillfeather", "qx", "7731"))
+
+
 def test_sanitised_texts_hold_no_personal_data(spark):
     rows = frame(spark) + awkward() + [(300, "card 4111 1111 1111 1111 and 10.0.0.1, +1 (555) 123-4567.")]
     docs = docs_of(spark, rows).withColumn("spans", F.lit("mine")).withColumn("row", F.lit(1))
