@@ -2,7 +2,7 @@
 
 Base spans follow fixed patterns (assign, access, hex). Further candidates, runs of base64 or hex and dotted
 tokens, are decoded and reported only if their structure holds: ``der`` for a key encoding whose nested lengths
-account for every byte, ``ssh`` for a private key in the OpenSSH layout, ``jwt`` for a signed token whose
+account for every byte (a key in base64 starts at any line start and ends where its length header says), ``ssh`` for a private key in the OpenSSH layout, ``jwt`` for a signed token whose
 header is a JSON object naming an algorithm and whose claims are a JSON object. Base spans stay whatever they decode to.
 
 Work is one pass over each text in Arrow batches, nothing is shuffled. A search runs only in texts that hold its
@@ -12,9 +12,10 @@ fixed part. Defined results: null or empty text has no spans; repeated rows get
 from __future__ import annotations
 
 import base64
-import binascii
 import json
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +32,17 @@ ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 KINDS = ("assign", "access", "hex", "der", "ssh", "jwt")
 
-#: Candidates: base64 runs that may be broken over lines, hex runs in one letter case, dotted tokens.
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
+#: Candidates: line starts that may begin a key (a sequence tag or a fixed magic), the base64 run from there on, broken by
+#: line breaks with indent, also escaped ones, hex runs in one letter case, dotted tokens.
+KEY_START = re.compile(r"(?:M(?<![A-Za-z0-9+/]M)|M(?<=\\[nrt]M)|b3(?<![A-Za-z0-9+/]b3)|b3(?<=\\[nrt]b3))[A-Za-z0-9+/]{22,}")
+BREAK = r"[\x20\t]*(?:\r?\n|(?:\\+r)?\\+n)(?:[\x20\t]|\\+t)*"
+RUN = re.compile(rf"[A-Za-z0-9+/]+(?:{BREAK}[A-Za-z0-9+/]+)*")
+LINE = re.compile(rf"([A-Za-z0-9+/]+)(?:{BREAK})?")
+PADDING = re.compile(r"={0,2}")
 HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
+TOKEN = re.compile(r"([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 LONG_RUN = re.compile(r"[A-Za-z0-9+/]{24}")
+TOKEN_START = re.compile(r"ey(?:(?<![A-Za-z0-9_-]ey)|(?<=\\[nrt]ey))")
 
 #: Fixed value: the first bytes of OpenSSH's private key layout.
 SSH_MAGIC = b"openssh-key-v1\0"
@@ -71,7 +78,8 @@ def _der_parts(data: bytes, lo: int, hi: int) -> list[tuple[int, int, int]] | No
 
 
 def is_key(data: bytes) -> bool:
-    """A DER key: one sequence over all bytes that holds the parts of a PKCS#1, PKCS#8, SEC1 or public key."""
+    """A DER key: one sequence over all bytes that holds the parts of a PKCS#1, DSA, PKCS#8 (also
+    encrypted), SEC1 or public key."""
     outer = _der_parts(data, 0, len(data))
     if not outer or len(outer) != 1 or outer[0][0] != 0x30:
         return False
@@ -81,20 +89,25 @@ def is_key(data: bytes) -> bool:
     tags = [t for t, _, _ in parts]
     if tags[0] == 0x02 and len(tags) >= 9 and set(tags[:9]) == {0x02}:
         return True  # PKCS#1: version and eight integers
+    if tags == [0x02] * 6 and data[parts[0][1]:parts[0][2]] == b"\0":
+        return True  # DSA: version 0 and five integers
     if tags[0] == 0x02 and len(tags) >= 2 and tags[1] == 0x04:
         return parts[0][2] - parts[0][1] == 1 and data[parts[0][1]] == 1  # SEC1: version 1, octets
     algorithm = 1 if tags[0] == 0x02 else 0  # PKCS#8 starts with its version
-    if len(tags) < algorithm + 2 or tags[algorithm] != 0x30 or tags[algorithm + 1] != (0x04 if algorithm else 0x03):
+    if len(tags) < algorithm + 2 or tags[algorithm] != 0x30 or tags[algorithm + 1] not in ((0x04,) if algorithm else (0x03, 0x04)):
         return False
     inner = _der_parts(data, parts[algorithm][1], parts[algorithm][2])
+    if not algorithm and tags[1] == 0x04 and (len(tags) != 2 or not inner or [t for t, _, _ in inner] != [0x06, 0x30]):
+        return False  # encrypted PKCS#8 names its derivation with parameters, unlike a digest
     return bool(inner) and inner[0][0] == 0x06 and inner[0][2] > inner[0][1]
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """OpenSSH's layout: magic, cipher, key derivation, options, count, then that many public keys."""
+def ssh_size(data: bytes) -> int | None:
+    """Size of the key that ``data`` starts with in OpenSSH's layout: magic, cipher, key derivation, options, count, that many
+    public keys, the private part, and the tag of a cipher that has one."""
     if not data.startswith(SSH_MAGIC):
-        return False
-    at, fields = len(SSH_MAGIC), 0
+        return None
+    at, fields, tag = len(SSH_MAGIC), 0, 0
 
     def field(at: int) -> int | None:
         if at + 4 > len(data):
@@ -105,17 +118,23 @@ def is_ssh_key(data: bytes) -> bool:
     for fields in range(3):
         nxt = field(at)
         if nxt is None or fields < 2 and nxt == at + 4:
-            return False
+            return None
+        if not fields and (b"gcm@" in data[at + 4:nxt] or b"poly1305" in data[at + 4:nxt]):
+            tag = 16
         at = nxt
     if at + 4 > len(data) or not 1 <= (n := int.from_bytes(data[at:at + 4], "big")) <= 16:
-        return False
+        return None
     at += 4
     for _ in range(n + 1):  # public keys, then the private part
         nxt = field(at)
         if nxt is None:
-            return False
+            return None
         at = nxt
-    return True
+    return at + tag if at + tag <= len(data) else None
+
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_size(data) is not None
 
 
 def is_signed_token(header: str, claims: str) -> bool:
@@ -133,12 +152,47 @@ def _structure(data: bytes) -> str | None:
     return "ssh" if is_ssh_key(data) else "der" if data[:1] == b"\x30" and is_key(data) else None
 
 
-def _decoded(run: str) -> str | None:
-    raw = "".join(run.split())
-    try:
-        return _structure(base64.b64decode(raw + "=" * (-len(raw) % 4)))
-    except binascii.Error:
-        return None
+def _bytes(raw: str) -> bytes:
+    return base64.b64decode(raw[:-1] if len(raw) % 4 == 1 else raw + "=" * (-len(raw) % 4))
+
+
+def _size(raw: str) -> int | None:
+    """Bytes of the key that starts a run, as its own length header says."""
+    if raw[0] == "M":
+        head = base64.b64decode(raw[:8])
+        if head[0] != 0x30:
+            return None
+        n = head[1] & 0x7F if head[1] >= 0x80 else 0
+        return 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1]) if n <= 4 else None
+    return ssh_size(_bytes(raw)) if raw.startswith("b3BlbnNzaC1rZXktdjE") else None
+
+
+def encoded_keys(text: str) -> list[tuple[int, int, str]]:
+    """Keys in base64: each starts at a line start and ends, by its length header, at a line end."""
+    out: list[tuple[int, int, str]] = []
+    free = end = 0  # end of the last key, end of the run at hand
+    raw, places, offsets = "", [], []  # the run without breaks; by line: place in the text, offset in raw
+    for m in KEY_START.finditer(text):
+        if m.start() < free:
+            continue
+        if m.start() >= end:
+            end = RUN.match(text, m.start()).end()
+            lines = list(LINE.finditer(text, m.start(), end))
+            places = [x.start() for x in lines]
+            offsets = [0, *accumulate(len(x[1]) for x in lines)]
+            raw = "".join([x[1] for x in lines])
+        at = offsets[bisect_left(places, m.start())]
+        # the header is read from a few characters, a key of OpenSSH's from the whole rest
+        size = _size(raw[at:at + 8] if m[0][0] == "M" else raw[at:])
+        stop = at + -(-size * 4 // 3) if size else 0
+        k = bisect_left(offsets, stop)
+        if stop > at and k < len(offsets) and offsets[k] == stop:
+            kind = _structure(_bytes(raw[at:stop]))
+            if kind:
+                free = places[k - 1] + stop - offsets[k - 1]
+                free = PADDING.match(text, free).end()
+                out.append((m.start(), free, kind))
+    return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -156,23 +210,19 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of decoded structures."""
     out = []
     if LONG_RUN.search(text):
-        for m in BASE64.finditer(text):
-            # both layouts begin with a sequence tag or a fixed magic, so most runs end here
-            if m[0][0] == "M" or m[0].startswith("b3BlbnNzaC1rZXktdjE"):
-                lines = m[0].splitlines(keepends=True)
-                for n in sorted({len(lines), len(lines) - 1, 1} - {0}, reverse=True):  # prose may follow a run
-                    found = "".join(lines[:n]).rstrip("\r\n")
-                    kind = _decoded(found)
-                    if kind:
-                        out.append((m.start(), m.start() + len(found), kind))
-                        break
+        out += encoded_keys(text)
         for m in HEX_BYTES.finditer(text):
             if len(m[0]) % 2 == 0 and (m[0][:2] == "30" or m[0][:4].lower() == "6f70"):
                 kind = _structure(bytes.fromhex(m[0]))
                 if kind:
                     out.append((m.start(), m.end(), kind))
     if "eyJ" in text or "ey" in text and "." in text:
-        out += [(m.start(), m.end(), "jwt") for m in TOKEN.finditer(text) if m[1].startswith("ey") and is_signed_token(m[1], m[2])]
+        free = 0
+        for start in TOKEN_START.finditer(text):  # any dotted part may be a header
+            m = TOKEN.match(text, start.start()) if start.start() >= free else None
+            if m and is_signed_token(m[1], m[2]):
+                out.append((m.start(), m.end(), "jwt"))
+                free = m.end()
     return out
 
 

@@ -78,6 +78,33 @@ def test_structures_are_confirmed_or_rejected():
         assert ss.confirmed_spans("M" + base64.b64encode(rng.randbytes(90)).decode()) == []
 
 
+def test_keys_among_other_lines():
+    rng = random.Random(7)
+    num = lambda n: der(2, bytes([rng.randrange(1, 127)]) + rng.randbytes(n))
+    pbes2 = der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d"), der(0x30, der(4, rng.randbytes(8))))
+    every = keys(rng) | {"encrypted": der(0x30, pbes2, der(4, rng.randbytes(120))),
+                         "dsa": der(0x30, der(2, b"\0"), *[num(n) for n in (128, 20, 128, 128, 20)])}
+    digest = der(0x30, der(0x30, der(6, b"\x60\x86\x48\x01\x65\x03\x04\x02\x01"), der(5)), der(4, rng.randbytes(32)))
+    assert ss.confirmed_spans(base64.b64encode(digest).decode()) == []
+    blob = base64.b64encode(rng.randbytes(30)).decode()
+    for name, raw in [*every.items(), ("ssh", ssh(rng))]:
+        kind = "ssh" if name == "ssh" else "der"
+        b64 = base64.b64encode(raw).decode()
+        for sep in ("\n", "\r\n", "\n    ", "\\n", "\\r\\n", "\\\\n"):
+            body = sep.join(b64[i:i + 64] for i in range(0, len(b64), 64))
+            bare = body.rstrip("=")
+            for head, key, tail in (("", body, f"{sep}word{sep}Another line"), (blob + sep, body, ""), ("-----BEGIN KEY-----" + sep, body, sep + "-----END"),
+                                    ("", bare, f"{sep}word{sep}Another line"), (f"{blob}{sep}{blob}{sep}", bare, f"{sep}{blob}")):
+                text = head + key + tail
+                assert ss.confirmed_spans(text) == [(len(head), len(head) + len(key), kind)], (name, sep, head, tail)
+            two = f"{bare}{sep}{bare}"
+            assert ss.confirmed_spans(two) == [(0, len(bare), kind), (len(bare + sep), len(two), kind)], (name, sep)
+    good = jwt({"alg": "HS256", "typ": "JWT"}, {"sub": "1"})
+    for head in ("session0.", "eyabcdefgh.", "www.example-host.part."):
+        assert ss.confirmed_spans(head + good) == [(len(head), len(head + good), "jwt")]
+    ss.confirmed_spans("MIIEvQIBADANBgkqhkiG9w0BAQEFAASC\n" * 20_000)  # does not stall
+
+
 def test_rows_and_query(spark, tmp_path):
     import hashlib
 
