@@ -5,7 +5,7 @@ Templates are normalised to words (lower-case ASCII letters and digits). Every r
 shares a kept hash. The inverted index maps a hash to template places. A text looks all its runs up, which finds
 at least what a winnowed text would; each match is a place in the text and a diagonal of a template. Matches
 of a template on near diagonals are one candidate. Each candidate region is aligned with its template inside a band around the
-diagonals (words equal 1, gap or substitution -1, ends free), and reported with its span in the original text and
+diagonals, again beside each find until no match is left (words equal 1, gap or substitution -1, ends free), and reported with its span in the original text and
 the matched share of the template, if that reaches ``MIN_COVERAGE``.
 
 Bound: the index holds the templates, a table kept far below the memory of a task (``MAX_TEMPLATE_WORDS`` in
@@ -153,9 +153,7 @@ class Index:
                 else:
                     groups.append([(place, diagonal)])
             for g in groups:
-                hit = align(body, seq, min(d for _, d in g) - BAND, max(d for _, d in g) + BAND)
-                if hit and hit[2] >= MIN_COVERAGE * len(body):
-                    out.append((t, *hit))
+                out += [(t, *hit) for hit in stretches(body, seq, g)]
         kept: list[tuple[int, int, int, int]] = []
         for t, a, b, m in sorted(out, key=lambda h: (-h[3], -h[3] / len(self.bodies[h[0]]), self.names[h[0]], h[1])):
             k = bisect(kept, a, key=lambda h: h[1])  # the finds kept so far do not overlap, so two neighbours tell
@@ -164,9 +162,27 @@ class Index:
         return kept
 
 
-def align(body: list[int], seq: list[int], low: int, high: int) -> tuple[int, int, int] | None:
-    """Best local alignment of a template with the text on diagonals ``low`` to ``high``: first and last + 1 word of the
-    text, matched words. Rows are template words, columns the diagonals of the band."""
+def stretches(body: list[int], seq: list[int], group: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """All finds of a group: the best one, then those in what is left before and after it, as long as matches are there."""
+    out, size = [], min(GRAM, len(body))
+    todo = [(group, 0, len(seq))]
+    while todo:
+        part, lo, hi = todo.pop()
+        if not part or hi - lo < MIN_COVERAGE * len(body):
+            continue
+        hit = align(body, seq, min(d for _, d in part) - BAND, max(d for _, d in part) + BAND, lo, hi)
+        if hit:
+            if hit[2] >= MIN_COVERAGE * len(body):
+                out.append(hit)
+            todo.append(([m for m in part if m[0] + size <= hit[0]], lo, hit[0]))
+            todo.append(([m for m in part if m[0] >= hit[1]], hit[1], hi))
+    return out
+
+
+def align(body: list[int], seq: list[int], low: int, high: int, start: int = 0, end: int | None = None) -> tuple[int, int, int] | None:
+    """Best local alignment of a template with the text's words ``start`` to ``end`` on diagonals ``low`` to ``high``: first
+    and last + 1 word of the text, matched words. Rows are template words, columns the diagonals of the band."""
+    end = len(seq) if end is None else end
     width = high - low + 1
     none = (0, 0, 0, 0)  # score, matched, first, last + 1
     above = [none] * (width + 2)
@@ -175,7 +191,7 @@ def align(body: list[int], seq: list[int], low: int, high: int) -> tuple[int, in
         row = [none] * (width + 2)
         for c in range(1, width + 1):
             j = i + low + c - 1
-            if not 0 <= j < len(seq):
+            if not start <= j < end:
                 continue
             s, m, a, b = above[c]
             if seq[j] == w:

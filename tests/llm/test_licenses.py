@@ -55,6 +55,24 @@ def test_planted_templates_are_found_with_their_spans(spark):
         assert f.start == at and abs(f.end - (at + size)) <= 2 and f.coverage == 1.0
 
 
+def test_back_to_back_notices_are_all_found():
+    index = lic.Index(lic.TEMPLATES)
+    for t, (name, text) in enumerate(lic.TEMPLATES):
+        n = len(lic.words_of(text))
+        for copies in (1, 2, 3, 7) if n < 20 else (1, 2):
+            for between in ([], [0], [0] * 3):
+                seq = []
+                for _ in range(copies):
+                    seq += index.bodies[t] + between
+                full, lo = [], 0  # by alignments over all diagonals, copy by copy
+                while lo < len(seq):
+                    hit = lic.align(index.bodies[t], seq[lo:lo + n], -n, n)
+                    full.append((t, lo + hit[0], lo + hit[1], hit[2]))
+                    lo += n + len(between)
+                got = index.find(seq)
+                assert [(index.names[x], a, b, m) for x, a, b, m in got] == [(name, a, b, m) for _, a, b, m in full], (text, copies)
+
+
 def test_changed_copies_and_clean_texts(spark):
     rng = random.Random(4)
     body = next(b for n, b in lic.TEMPLATES if n == "MIT" and len(b) > 200).split()
