@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, langid, licenses, pii, quality, secret_scan, sentencepiece, simhash, token_files, toxicity
+from quarry.llm import (
+    alignment, decontam, langid, lexical, licenses, line_dedup, pii, quality, secret_scan, sentencepiece, simhash, token_files, toxicity,
+)
 from quarry.llm.common import prepare, table
 from quarry.llm.sql import SQL  # noqa: F401  (registered beside the queries)
 from quarry.session import shared_scratch_path
@@ -96,6 +98,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _digest(F.array_join(ids, ",")).alias("items_sha256"), "contaminated")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup(table(spark, sf_dir, "documents"), _id())
+    return found.select("doc_id", "n_lines", "n_dropped", _digest(F.col("kept")).alias("kept_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), _id(), alignment.default_tokenizers())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,5 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }

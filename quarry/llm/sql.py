@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import decontam, quality
+from quarry.llm import decontam, lexical, line_dedup, quality
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -50,4 +50,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (rn) LEFT JOIN items USING (rn)
 """
 
-SQL = {"op6_quality": QUALITY, "op10_decontamination": DECONTAMINATION}
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+LINE_DEDUP = f"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT rn, doc_id, i, l[i] AS line, {_LOWER.format(f"trim(l[i], {_BLANK})")} AS k FROM d, unnest(range(1, len(l) + 1)) AS u(i)),
+s AS (SELECT k, min(doc_id) AS low FROM x WHERE length(k) >= {line_dedup.MIN_CHARS} GROUP BY k
+      HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}),
+j AS (SELECT x.*, coalesce(doc_id <> low, false) AS gone FROM x LEFT JOIN s USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM j GROUP BY rn
+"""
+
+_TERMS = "regexp_extract_all({0}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, {_TERMS.format(_LOWER.format("coalesce(text, '')"))} AS t FROM documents),
+c AS (SELECT count(*) AS n_docs, sum(len(t)) AS n_all FROM d WHERE len(t) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS.format(_LOWER.format("text"))}) AS term FROM benchmark),
+tf AS (SELECT rn, term, count(*) AS tf FROM (SELECT rn, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY rn, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY term, n_docs),
+i AS (SELECT rn, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(t) * n_docs) // n_all))) AS v
+      FROM tf JOIN d USING (rn) JOIN w USING (term), c),
+s AS (SELECT item_id, rn, CAST(sum(v) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY item_id, rn),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM s JOIN d USING (rn) WHERE score > 0)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM r WHERE r <= {lexical.TOP_K}
+"""
+
+SQL = {"op11_line_dedup": LINE_DEDUP, "op12_lexical_search": LEXICAL, "op6_quality": QUALITY, "op10_decontamination": DECONTAMINATION}
