@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.normalize import ALL_TECHNIQUES, Technique, normalize
 from quarry.operators.positions import tokenize_docs
+from quarry.operators.store import Snapshot, doc_of
+from quarry.session import reliable_checkpoint
 
 
 def query_terms(queries: DataFrame, techniques: Sequence[Technique] = ALL_TECHNIQUES) -> DataFrame:
@@ -98,6 +100,66 @@ def and_rarest_first(qterms: DataFrame, postings: DataFrame) -> DataFrame:
     return verified.unionByName(singles)
 
 
+def query_ids(qterms: DataFrame, index: Snapshot) -> DataFrame:
+    """``(query_id, term, term_id)`` of the distinct query terms that some document of the stored index holds."""
+    qt = _distinct_terms(qterms)
+    words = [r["term"] for r in qt.select("term").distinct().limit(PUSHDOWN_MAX_WORDS + 1).collect()]
+    known = index.dictionary
+    if len(words) <= PUSHDOWN_MAX_WORDS:
+        known = known.filter(F.col("term").isin(words))
+    found = qt.join(known, "term").select("query_id", "term", "term_id")
+    if index.hidden is None:    # every term of the dictionary came with a document that still counts
+        return found
+    alive = index.id_postings(blocks=_of_ids(index.blocks, found)).select("term_id").distinct()
+    return found.join(alive, "term_id", "left_semi").select("query_id", "term", "term_id")
+
+
+def _of_ids(blocks: DataFrame, ids: DataFrame) -> DataFrame:
+    """The blocks of these terms: a pushed-down list while it is bounded, else a semi-join."""
+    terms = ids.select("term_id").distinct()
+    listed = [r["term_id"] for r in terms.limit(PUSHDOWN_MAX_WORDS + 1).collect()]
+    if len(listed) <= PUSHDOWN_MAX_WORDS:
+        return blocks.filter(F.col("term_id").isin(listed))
+    return blocks.join(terms, "term_id", "left_semi")
+
+
+def touched_blocks(qterms: DataFrame, index: Snapshot, ids: DataFrame | None = None) -> DataFrame:
+    """``(query_id, n_terms, gen, block, term_id)``: the blocks that a conjunction has to read. A range of documents counts if
+    all terms of the query have a block there and the blocks' smallest and greatest documents leave a common stretch;
+    only these numbers are read, not the documents."""
+    ids = query_ids(qterms, index) if ids is None else ids
+    wanted = _distinct_terms(qterms).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
+    known = ids.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_known"))
+    whole = wanted.join(known, "query_id").filter(F.col("n_terms") == F.col("n_known")).select("query_id", "n_terms")
+    pairs = ids.join(whole, "query_id").select("query_id", "n_terms", "term_id")
+    heads = _of_ids(index.blocks.select("gen", "term_id", "block", "min_doc", "max_doc"), pairs)
+    met = (heads.join(pairs, "term_id").groupBy("query_id", "n_terms", "gen", "block")
+           .agg(F.count(F.lit(1)).alias("n"), F.max("min_doc").alias("lo"), F.min("max_doc").alias("hi"))
+           .filter((F.col("n") == F.col("n_terms")) & (F.col("lo") <= F.col("hi"))))
+    return met.select("query_id", "gen", "block").join(pairs, "query_id").select("query_id", "n_terms", "gen", "block", "term_id")
+
+
+def and_blocks(qterms: DataFrame, index: Snapshot, ids: DataFrame | None = None) -> DataFrame:
+    """Q3 on a stored index: ``(query_id, doc_id)`` of documents holding every term of the query. The touched blocks are
+    fetched (their terms and ranges are pushed into the scan while they are a bounded list) and intersected range by
+    range, the shortest first; no group holds more than one range of one query."""
+    touched = reliable_checkpoint(touched_blocks(qterms, index, ids))
+    blocks = _of_ids(index.blocks.select("gen", "term_id", "block", "docs"), touched)
+    ranges = [r["block"] for r in touched.select("block").distinct().limit(PUSHDOWN_MAX_WORDS + 1).collect()]
+    if len(ranges) <= PUSHDOWN_MAX_WORDS:
+        blocks = blocks.filter(F.col("block").isin(ranges))
+    found = touched.join(blocks, ["gen", "term_id", "block"]).groupBy("query_id", "gen", "block").agg(
+        F.array_sort(F.collect_list(F.struct(F.size("docs").alias("n"), "docs"))).alias("lists"))
+    common = F.aggregate(F.slice("lists", 2, F.size("lists")), F.col("lists")[0]["docs"], lambda acc, x: F.array_intersect(acc, x["docs"]))
+    hits = found.select("query_id", "gen", "block", F.explode(common).alias("o"))
+    return index.live(hits.select("query_id", "gen", doc_of(F.col("block"), F.col("o")).alias("doc_id"))).select("query_id", "doc_id")
+
+
+def block_status(queries: DataFrame, qterms: DataFrame, hits: DataFrame, ids: DataFrame) -> DataFrame:
+    """``query_status`` from the query terms that a stored index knows (``query_ids``)."""
+    return query_status(queries, qterms, hits, ids.select("term", F.lit(0).cast("bigint").alias("doc_id")))
+
+
 def and_chain(terms: Sequence[str], postings: DataFrame) -> DataFrame | None:
     """Q3/Q5 for one query given as normalized terms: ``(doc_id)`` of documents holding all terms,
     or ``None`` when a term is missing (as distinct from an empty result).
