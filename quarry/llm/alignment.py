@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from quarry.llm.common import map_texts, prepare, stored
 
 MARK = "▁"
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 600_000
 #: Chunks that are aligned in one call of the tokenizers.
 JOINED = 4096
 PIECE_CHARS = 4 << 20
