@@ -5,10 +5,10 @@ A text is split at line breaks. A line's key is the line without white space at
 documents and the smallest one are found; from ``min_docs`` documents on, every document but the smallest loses its lines
 with that key. The other lines are put together again by position.
 
-Scale: what is shuffled for the counts is one row per (document, line) of hashes and numbers, never text. Hashes are counted per
-``SALT`` groups of documents first and summed then, and the verdict goes back to the groups in which the hash occurs, so
-that a line in a third of all rows is spread over ``SALT`` tasks both ways; both ways use one exchange of the lines. The texts are
-joined once with the positions that each loses. Inside a row all steps are linear in the number of lines.
+Scale: the texts are split and hashed once, into a table of one row per (document, line) with hashes and numbers, never text; counts
+and verdicts shuffle only that. Hashes are counted per ``SALT`` groups of documents first and summed then, and the verdict goes
+back to the groups in which the hash occurs, so that a line in a third of all rows is spread over ``SALT`` tasks both ways. The
+texts are joined once with the positions that each loses. Inside a row all steps are linear in the number of lines.
 
 Defined results: a null or empty text is one empty line. Rows with a null doc_id are no documents to the counts and lose
 nothing. Rows that repeat a doc_id are one document; each loses its own lines. The smallest document keeps every
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import prepare, text_hash, unwrap, whole_row
+from quarry.llm.common import prepare, stored, text_hash, unwrap, whole_row
 
 MIN_CHARS = 10
 MIN_DOCS = 2
@@ -63,7 +63,8 @@ def dropped_positions(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def dedup(docs: DataFrame, carry: dict[str, object], min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``carry`` columns plus ``n_lines`` (before), ``n_dropped`` and ``kept``, the text that is left."""
     prepare(docs.sparkSession)
-    gone = dropped_positions(hashed_lines(docs.select(F.col("doc_id").alias("id"), text_hash().alias("th"), "text"), min_chars), min_docs)
+    lines = stored(hashed_lines(docs.select(F.col("doc_id").alias("id"), text_hash().alias("th"), "text"), min_chars), "lines")
+    gone = dropped_positions(lines, min_docs)
     rows = docs.select(F.struct(*[c.alias(n) for n, c in carry.items()]).alias("carry"), F.col("doc_id").alias("__id"),
                        text_hash().alias("__th"), F.coalesce("text", F.lit("")).alias("text"))
     # split once per row, below the expression that picks lines by position
