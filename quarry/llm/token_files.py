@@ -20,19 +20,22 @@ together in text-hash order. An empty table gives an empty shard table.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quarry.llm.common import prepare, slices, text_hash
+from quarry.llm.common import as_bytes, prepare, slices, text_hash
 
 SHARD_TOKENS = 1 << 20
 CACHE_WORDS = 800_000
@@ -45,13 +48,42 @@ SHARD_SCHEMA = ("part int, seq int, n_docs long, n_tokens long, doc_ids array<lo
 _ENCODERS: dict[str, Encoder] = {}
 
 
+#: What keeps a text from being lowered first: a character that may combine with the one before (U+0300 and above, known
+#: by its first byte), and the start of a special token.
+_SPECIAL = "<|"
+_MARKS = re.compile(b"[\xcc-\xff]|" + re.escape(_SPECIAL.encode()))
+#: A line break becomes a space; the second table lowers A-Z too.
+_SPACED = bytes(0x20 if b == 0x0A else b for b in range(256))
+_LOWERED = bytes(0x20 if b == 0x0A else b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
+#: The normaliser, units and end mark of a tokenizer file whose texts may be encoded by words.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_END = "</w>"
+
+
+def by_words(path: str) -> bool:
+    """Whether a tokenizer file drops white space, lowers case and marks the ends of units in the way that ``Encoder`` relies on."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    norm, pre, model = (spec.get(k) or {} for k in ("normalizer", "pre_tokenizer", "model"))
+    split = (pre.get("pretokenizers") or [{}])[0]
+    return ([n.get("type") for n in norm.get("normalizers", [])] == _NORMALIZERS
+            and norm["normalizers"][1].get("pattern") == {"Regex": r"\s+"} and norm["normalizers"][1].get("content") == " "
+            and [p.get("type") for p in pre.get("pretokenizers", [])] == ["Split", "ByteLevel"]
+            and split.get("pattern") == {"Regex": _UNITS} and split.get("behavior") == "Removed" and split.get("invert") is True
+            and all(t.get("content", "").startswith(_SPECIAL) for t in spec.get("added_tokens", []))
+            and not pre["pretokenizers"][1].get("use_regex") and not pre["pretokenizers"][1].get("add_prefix_space")
+            and model.get("type") == "BPE" and model.get("end_of_word_suffix") == _END and model.get("dropout") is None)
+
+
 class Encoder:
-    """Ids of texts as little-endian 32-bit integers, by way of their distinct words.
+    """Ids of UTF-8 texts as little-endian 32-bit integers, by way of their distinct words.
 
     A word of letters, maybe followed by points or commas, is encoded as its lower-case letters (if they are
     ASCII; the tokenizer lower-cases them anyway) and its tail. Distinct letter words are encoded many at a time in
     one text: each is one unit of the tokenizer, and the last id of a unit carries the end-of-word mark. If the
-    marks do not add up to the words, the words are encoded one by one.
+    marks do not add up to the words, the words are encoded one by one. In a text without combining characters and special
+    tokens A-Z are lowered first. A tokenizer file that ``by_words`` does not know gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -59,64 +91,85 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words = by_words(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(_END)]] = True
+        self.known: dict[bytes, bytes] = {b"": b""}
+
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def one_by_one(self, words: list[str]) -> None:
-        for word, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[word] = np.array(e.ids, "<u4").tobytes()
+    def one_by_one(self, words: list[bytes]) -> None:
+        self.known.update(zip(words, self._ids(words)))
 
-    def letters(self, words: list[str]) -> None:
+    def letters(self, words: list[bytes]) -> None:
         """Encode distinct words of letters only."""
         for lo in range(0, len(words), 4096):
             part = words[lo:lo + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            data = self._ids([b" ".join(part)])[0]
+            ids = np.frombuffer(data, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(part) or (len(ends) and ends[-1] != len(ids)):
                 self.one_by_one(part)
                 continue
-            data, at = ids.tobytes(), 0
+            at = 0
             for word, end in zip(part, (ends * 4).tolist()):
                 self.known[word] = data[at:end]
                 at = end
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[bytes]) -> None:
         """Add the ids of new words to ``known``."""
         known = self.known
         bodies, tails, other, made = set(), set(), [], []
         for word in words:
-            body = word.rstrip(".,")
-            if not body.isalpha() or not body.lower().isalpha():  # a letter may lower to a letter and a mark
-                other.append(word)
-                continue
-            tail = word[len(body):]
-            if body.isascii():
-                body = body.lower()
-            if body not in known:
-                bodies.add(body)
-            if tail and tail not in known:
-                tails.add(tail)
-            if body != word:
-                made.append((word, body, tail))
+            body = word.rstrip(b".,")
+            if body.isalpha():  # ASCII letters
+                low = body.lower()
+            else:
+                letters = body.decode()
+                if not letters.isalpha() or not letters.lower().isalpha():  # a letter may lower to a letter and a mark
+                    other.append(word)
+                    continue
+                low = body
+            if low not in known:
+                bodies.add(low)
+            if low != word:
+                tail = word[len(body):]
+                if tail not in known:
+                    tails.add(tail)
+                made.append((word, low, tail))
         self.letters(sorted(bodies))
         self.one_by_one(other + sorted(tails))
-        for word, body, tail in made:
-            known[word] = known[body] + known[tail] if tail else known[body]
+        for word, low, tail in made:
+            known[word] = known[low] + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_bytes([t.encode() for t in texts])
+
+    def encode_bytes(self, texts: list[bytes]) -> list[bytes]:
+        """The distinct words of the texts are found by Arrow and looked up once each; their ids are put together by Arrow too."""
+        if not self.words:
+            return self._ids(texts)
         if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
-        get = self.known.get
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        found = [[get(w) for w in words] for words in split]
-        self.learn({w for words, ids in zip(split, found) if None in ids for w, x in zip(words, ids) if x is None})
-        known = self.known
-        for words, ids in zip(split, found):
-            if None in ids:
-                ids[:] = [known[w] if x is None else x for w, x in zip(words, ids)]
-        return [b"".join(ids) for ids in found]
+            self.known = {b"": b""}
+        plain = [t.translate(_SPACED if _MARKS.search(t) else _LOWERED) for t in texts]
+        ends = np.cumsum([0, *map(len, plain)], dtype=np.int64)
+        whole = pa.Array.from_buffers(pa.large_binary(), len(plain), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(plain))])
+        lists = pc.split_pattern(whole, b" ")
+        codes = lists.flatten().dictionary_encode()
+        words = codes.dictionary.to_pylist()
+        ids = list(map(self.known.get, words))
+        if None in ids:
+            self.learn({w for w, x in zip(words, ids) if x is None})
+            ids = list(map(self.known.__getitem__, words))
+        flat = pa.array(ids, pa.large_binary()).take(codes.indices)
+        if not len(flat):
+            return [b""] * len(texts)
+        at = np.frombuffer(flat.buffers()[1], np.int64)[lists.offsets.to_numpy()].tolist()
+        data = flat.buffers()[2]
+        return [data[a:b].to_pybytes() for a, b in zip(at, at[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -148,7 +201,7 @@ def pack(ids: np.ndarray) -> bytes:
         ones = np.bitwise_count(words.view("<u8")).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.uint32)
         before = np.r_[np.uint32(0), np.cumsum(ones, dtype=np.uint32)].astype("<u4")
         out += [struct.pack("<Q", n - int(before[-1])), words.tobytes(), before.tobytes()]
-        seq = np.concatenate([seq[~bits], seq[bits]])
+        seq = np.concatenate([np.compress(~bits, seq), np.compress(bits, seq)])
     return b"".join(out)
 
 
@@ -281,7 +334,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_
         ids: list = []
         raw: list[bytes] = []
         size = 0
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_bytes
 
         def shard():
             tokens = np.frombuffer(b"".join(raw), "<u4")
@@ -292,7 +345,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_
 
         for batch in batches:
             for piece in slices(batch, "text"):
-                for doc, data in zip(piece.column("doc_id").to_pylist(), encode(piece.column("text").to_pylist())):
+                for doc, data in zip(piece.column("doc_id").to_pylist(), encode(as_bytes(piece.column("text")))):
                     ids.append(doc)
                     raw.append(data + end)
                     size += len(data) // 4 + 1
