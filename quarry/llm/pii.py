@@ -13,8 +13,9 @@ document that holds the entity.
 
 Scale: entities of a single text can disclose nothing and are left out first, by a bitmap of fixed size. Pairs of the others
 and the terms of their documents are aggregated before any shuffle, so an entity in a third of all rows costs one row per
-task and term. Document frequencies are counted per slice before they are shuffled, and, but for the misses of a bitmap,
-only for candidates. Places are read from the texts in a last pass, for disclosed pairs (a bitmap, then an exact join), so no
+task and term. That also tells in how many of the entities' documents a term is; the other documents are counted per slice before
+they are shuffled, and, but for the misses of a bitmap, only for candidates, first in a part of them, which is enough to
+drop common words, so that the terms handed on from the rest are few. Places are read from the texts in a last pass, for disclosed pairs (a bitmap, then an exact join), so no
 entity's terms are multiplied with its documents. Texts are never shuffled by detection. A document with e repeated entities
 and t terms has e * t pairs, which are handed on a bounded number at a time.
 
@@ -56,6 +57,8 @@ PREFIX = 3
 ANY = -1
 #: Distinct terms, or pairs, that a task counts before it hands them on.
 COUNTER_TERMS = 200_000
+#: The part of the documents in which candidates are counted first, as one of so many.
+FIRST_PARTS = 32
 #: Bits of a map (4 MB) that tells which entities, terms or pairs cannot be candidates; a power of two.
 FILTER_BITS = 1 << 25
 
@@ -184,10 +187,9 @@ def _has(bits: np.ndarray, value: int) -> bool:
     return bool(int(bits[at >> 5]) >> (at & 31) & 1)
 
 
-def pair_counts(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """``(entity, term, n_both)``: documents with both, for pairs in ``MIN_TEXTS`` texts or more; ``repeated``: entities.
-    Under the entity ``ANY``, the documents of all of them with the term."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(repeated, F.col("entity")))
+def pair_counts(docs: DataFrame, shared) -> DataFrame:
+    """``(entity, term, n_both)``: documents with both, for pairs in ``MIN_TEXTS`` texts or more; shared: the broadcast bitmap of
+    the entities. Under the entity ``ANY``, the documents of all of them with the term."""
 
     def run(batches):
         bits = shared.value
@@ -225,13 +227,13 @@ def pair_counts(docs: DataFrame, repeated: DataFrame) -> DataFrame:
             .filter((F.col("entity") == ANY) | (F.col("lo") != F.col("hi"))).select("entity", "term", "n_both"))
 
 
-def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``(term, n)``: documents with each candidate term, over all texts. A bitmap keeps most other terms out of the
-    shuffle; the join is exact."""
-    shared = docs.sparkSession.sparkContext.broadcast(candidate_bits(candidates))
+def term_counts(docs: DataFrame, candidates: DataFrame, shared) -> DataFrame:
+    """``(term, n)``: documents without a repeated entity that hold each candidate term, over all such texts; shared as for
+    ``pair_counts``, so that the two share out the documents. A bitmap keeps most other terms out of the shuffle; the join is exact."""
+    terms = docs.sparkSession.sparkContext.broadcast(candidate_bits(candidates))
 
     def run(batches):
-        bits = shared.value
+        known, bits = shared.value, terms.value
         counts: Counter = Counter()
 
         def flush():
@@ -245,8 +247,9 @@ def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
 
         for batch in batches:
             for part in slices(batch, "text"):
-                for data in as_bytes(part.column("text")):
-                    counts.update(set(ascii_words(data)))
+                for text, data in zip(part.column("text").to_pylist(), as_bytes(part.column("text"))):
+                    if not any(_has(known, x) for x in entities_of(base_spans(text))):
+                        counts.update(set(ascii_words(data)))
                 if len(counts) > COUNTER_TERMS:
                     yield flush()
         if counts:
@@ -254,7 +257,20 @@ def term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
 
     part = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "term string, n long")
     # summed first, so that the join has one row a term and not one for each task's
-    return part.groupBy("term").agg(F.sum("n").alias("n")).join(candidates, "term", "left_semi")
+    return part.groupBy("term").agg(F.sum("n").alias("n")).join(candidates.select("term"), "term", "left_semi")
+
+
+def whole_counts(docs: DataFrame, candidates: DataFrame, shared) -> DataFrame:
+    """``(term, n)``: documents with each candidate term, for the candidates that can still disclose something; candidates:
+    ``(term, n_least, most)``, the documents that ``pair_counts`` has counted and the most that a disclosing term can have.
+    One part of ``FIRST_PARTS`` of the documents is counted first: terms that are beyond ``most`` with these alone (common words, as a
+    rule) are dropped, which loses nothing, and are not handed on from the other documents."""
+    first = F.pmod(F.xxhash64("doc_id", text_hash()), F.lit(FIRST_PARTS)) == 0
+    some = term_counts(docs.filter(first), candidates, shared)
+    left = stored(candidates.join(some, "term", "left").withColumn("n", F.col("n_least") + F.coalesce("n", F.lit(0)))
+                  .filter(F.col("n") <= F.col("most")).select("term", "n"), "pii-left")
+    rest = term_counts(docs.filter(~first), left, shared).withColumnRenamed("n", "more")
+    return left.join(rest, "term", "left").select("term", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"))
 
 
 def detect(docs: DataFrame, carry: dict[str, object]) -> DataFrame:
@@ -269,7 +285,8 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     entities = stored(found.select("__th", F.explode("entities").alias("entity")).groupBy("entity")
                       .agg(F.count(F.lit(1)).alias("n_entity"), F.min("__th").alias("lo"), F.max("__th").alias("hi"))
                       .filter(F.col("lo") != F.col("hi")).select("entity", "n_entity"), "pii-entities")
-    pairs = stored(pair_counts(docs, entities), "pii-pairs")
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(entities, F.col("entity")))
+    pairs = stored(pair_counts(docs, shared), "pii-pairs")
     # the one row with the corpus size, joined on a constant key
     total = found.agg(F.count(F.lit(1)).alias("n_all")).withColumn("one", F.lit(1))
     ic = F.log2(F.col("n_all") / F.col("n_entity"))
@@ -281,8 +298,11 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     least = pairs.filter(F.col("entity") == ANY).select("term", F.col("n_both").alias("n_least"))
     met = stored(pairs.filter(F.col("entity") != ANY).join(entities, "entity").join(least, "term").withColumn("one", F.lit(1))
                  .join(F.broadcast(total), "one").filter((ic > 0) & (pmi("n_least") >= GENERALISE * ic))
-                 .select("entity", "term", "n_both", "n_entity", "n_all"), "pii-met")
-    counts = stored(term_counts(docs, stored(met.select("term").distinct(), "pii-candidates")), "pii-counts")
+                 .select("entity", "term", "n_both", "n_entity", "n_all", "n_least"), "pii-met")
+    # the count at which PMI = GENERALISE * IC, with room for rounding
+    most = F.col("n_both") * F.col("n_all") / F.col("n_entity") / F.pow(F.lit(2.0), GENERALISE * ic) * (1 + 1e-6)
+    candidates = stored(met.groupBy("term").agg(F.max("n_least").alias("n_least"), F.max(most).alias("most")), "pii-candidates")
+    counts = stored(whole_counts(docs, candidates, shared), "pii-counts")
     return met.join(counts, "term").filter(pmi("n") >= GENERALISE * ic).select(
         "entity", "term", F.when((pmi("n") >= REMOVE * ic) | (F.length("term") <= PREFIX), "remove").otherwise("generalise").alias("action"))
 
