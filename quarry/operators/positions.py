@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.tokenize import token_array
+from quarry.session import written
 
 # Width of a page bucket in the two-level running offset: a document with very many pages is split
 # into buckets of at most this many pages, so no window ever holds one whole document.
 PAGE_BUCKET = 4096
+# Characters of a page beyond which it is tokenized in pieces.
+PIECE_CHARS = 1 << 16
 
 
 def tokenize_docs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,32 +37,51 @@ def tokenize_docs_marked(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     (F.col("p0") == 0).alias("__m")))
 
 
-def tokenize_pages(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_no",
-                   text_col: str = "text") -> DataFrame:
+def page_pieces(pages: DataFrame, text_col: str = "text", piece_chars: int = PIECE_CHARS) -> DataFrame:
+    """The rows of ``pages`` without their text, in pieces: ``piece`` (from 0) and ``part``. A page beyond ``piece_chars`` characters
+    is cut before white space, which is in no token, so the pieces' tokens in order are the page's. A run without
+    white space stays whole."""
+    text = F.col(text_col)
+    cut = F.regexp_extract_all(text, F.lit(r"(?s).{1,%d}\S*" % piece_chars), F.lit(0))
+    parts = F.when(F.length(text) > piece_chars, cut).otherwise(F.array(F.coalesce(text, F.lit(""))))
+    return pages.select(*[c for c in pages.columns if c != text_col], F.posexplode(parts).alias("piece", "part"))
+
+
+def tokenize_pages(pages: DataFrame, doc_col: str = "doc_id", page_col: str = "page_no", text_col: str = "text",
+                   piece_chars: int = PIECE_CHARS) -> DataFrame:
     """``(doc_id, pos, token)`` for multi-page documents with positions running across pages.
 
-    The offset is a running sum on the page rows themselves, so pages that repeat a number (ordered by
-    their text) or have none (first) keep their own tokens and positions. Two levels, so that a document
-    with very many pages is never one window group: totals of ``PAGE_BUCKET``-page buckets (one row per
-    bucket) are summed over the document, and within a bucket a window runs over its pages. A bucket
-    that only repeats one page number can be larger; it holds the copies of that page.
+    Pages are cut into pieces of bounded length and stored with a number per page row, so pages that repeat a number
+    (ordered by their text) or have none (first) keep their own tokens and positions. Only numbers go through windows: the
+    token counts of pieces are summed in buckets of ``PAGE_BUCKET`` pages and the buckets' totals over the document. The sums
+    then go back to the pieces by row and piece, which no document or page can make uneven, and each piece is tokenized
+    by itself: no row holds the tokens of a whole long page, and no group the text of two pages unless they repeat a number.
     """
-    p = pages.select(F.col(doc_col).cast("bigint").alias("doc_id"),
-                     F.col(page_col).cast("bigint").alias("page_no"),
-                     F.col(text_col).alias("text"))
-    bucket = F.floor(F.col("page_no") / F.lit(PAGE_BUCKET))
-    sized = (p.withColumn("toks", F.coalesce(token_array("text"), F.array().cast("array<string>")))
-             .withColumn("bucket", bucket).withColumn("n", F.size("toks").cast("bigint")))
-    totals = sized.groupBy("doc_id", "bucket").agg(F.sum("n").alias("bn"))
+    rows = pages.select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(page_col).cast("bigint").alias("page_no"),
+                        F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("rid"))
+    cut = page_pieces(rows, "text", piece_chars)
+    pieces = written(cut.withColumn("n", F.size(token_array("part")).cast("bigint")), "pieces")
+    # copies of a page number are put in the order of their texts; only these texts are looked at
+    heads = pieces.filter(F.col("piece") == 0).select("doc_id", "page_no", "rid")
+    twice = heads.groupBy("doc_id", "page_no").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
+    copies = heads.alias("h").join(twice.alias("t"), F.col("h.doc_id").eqNullSafe(F.col("t.doc_id")) &
+                                   F.col("h.page_no").eqNullSafe(F.col("t.page_no")), "left_semi").select("h.rid")
+    texts = (pieces.join(copies, "rid", "left_semi").groupBy("rid", "doc_id", "page_no")
+             .agg(F.array_sort(F.collect_list(F.struct("piece", "part"))).alias("p"))
+             .select("rid", "doc_id", "page_no", F.array_join(F.col("p.part"), "").alias("text")))
+    ranks = texts.select("rid", F.row_number().over(Window.partitionBy("doc_id", "page_no").orderBy("text", "rid")).alias("copy"))
+    counts = (pieces.select("doc_id", "page_no", "rid", "piece", "n").join(ranks, "rid", "left")
+              .withColumn("copy", F.coalesce("copy", F.lit(1))).withColumn("bucket", F.floor(F.col("page_no") / F.lit(PAGE_BUCKET))))
+    totals = counts.groupBy("doc_id", "bucket").agg(F.sum("n").alias("bn"))
     before = totals.select(
         F.col("doc_id").alias("d"), F.col("bucket").alias("b"),
         F.coalesce(F.sum("bn").over(Window.partitionBy("doc_id").orderBy("bucket")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    order = Window.partitionBy("doc_id", "bucket").orderBy("page_no", "text").rowsBetween(
-        Window.unboundedPreceding, -1)
-    within = sized.withColumn("inner", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    placed = within.filter("n > 0").join(
+    order = Window.partitionBy("doc_id", "bucket").orderBy("page_no", "copy", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    within = counts.withColumn("inner", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    offsets = within.filter("n > 0").join(
         before, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("bucket").eqNullSafe(F.col("b"))).select(
-        "doc_id", (F.col("base") + F.col("inner")).alias("offset"), "toks")
-    toks = placed.select("doc_id", "offset", F.posexplode("toks").alias("p0", "token"))
+        "rid", "piece", (F.col("base") + F.col("inner")).alias("offset"))
+    placed = pieces.filter("n > 0").select("rid", "piece", "doc_id", "part").join(offsets, ["rid", "piece"])
+    toks = placed.select("doc_id", "offset", F.posexplode(token_array("part")).alias("p0", "token"))
     return toks.select("doc_id", (F.col("offset") + F.col("p0") + 1).cast("bigint").alias("pos"), "token")

@@ -110,11 +110,11 @@ def query_ids(qterms: DataFrame, index: Snapshot) -> DataFrame:
     found = qt.join(known, "term").select("query_id", "term", "term_id")
     if index.hidden is None:    # every term of the dictionary came with a document that still counts
         return found
-    alive = index.id_postings(blocks=_of_ids(index.blocks, found)).select("term_id").distinct()
+    alive = index.id_postings(blocks=blocks_of(index.blocks, found)).select("term_id").distinct()
     return found.join(alive, "term_id", "left_semi").select("query_id", "term", "term_id")
 
 
-def _of_ids(blocks: DataFrame, ids: DataFrame) -> DataFrame:
+def blocks_of(blocks: DataFrame, ids: DataFrame) -> DataFrame:
     """The blocks of these terms: a pushed-down list while it is bounded, else a semi-join."""
     terms = ids.select("term_id").distinct()
     listed = [r["term_id"] for r in terms.limit(PUSHDOWN_MAX_WORDS + 1).collect()]
@@ -132,7 +132,7 @@ def touched_blocks(qterms: DataFrame, index: Snapshot, ids: DataFrame | None = N
     known = ids.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_known"))
     whole = wanted.join(known, "query_id").filter(F.col("n_terms") == F.col("n_known")).select("query_id", "n_terms")
     pairs = ids.join(whole, "query_id").select("query_id", "n_terms", "term_id")
-    heads = _of_ids(index.blocks.select("gen", "term_id", "block", "min_doc", "max_doc"), pairs)
+    heads = blocks_of(index.blocks.select("gen", "term_id", "block", "min_doc", "max_doc"), pairs)
     met = (heads.join(pairs, "term_id").groupBy("query_id", "n_terms", "gen", "block")
            .agg(F.count(F.lit(1)).alias("n"), F.max("min_doc").alias("lo"), F.min("max_doc").alias("hi"))
            .filter((F.col("n") == F.col("n_terms")) & (F.col("lo") <= F.col("hi"))))
@@ -144,7 +144,7 @@ def and_blocks(qterms: DataFrame, index: Snapshot, ids: DataFrame | None = None)
     fetched (their terms and ranges are pushed into the scan while they are a bounded list) and intersected range by
     range, the shortest first; no group holds more than one range of one query."""
     touched = reliable_checkpoint(touched_blocks(qterms, index, ids))
-    blocks = _of_ids(index.blocks.select("gen", "term_id", "block", "docs"), touched)
+    blocks = blocks_of(index.blocks.select("gen", "term_id", "block", "docs"), touched)
     ranges = [r["block"] for r in touched.select("block").distinct().limit(PUSHDOWN_MAX_WORDS + 1).collect()]
     if len(ranges) <= PUSHDOWN_MAX_WORDS:
         blocks = blocks.filter(F.col("block").isin(ranges))

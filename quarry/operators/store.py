@@ -55,14 +55,15 @@ class ConcurrentCommit(RuntimeError):
     """Another writer has committed this generation."""
 
 
-def _folder(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def read_manifest(spark: SparkSession, path: str, generation: int | None = None) -> dict:
     """The last manifest (or that of a generation); the empty one if nothing has been committed."""
-    fs, folder = _folder(spark, f"{path}/manifests")
+    fs, folder = file_system(spark, f"{path}/manifests")
     if not fs.exists(folder):
         return json.loads(json.dumps(EMPTY))
     names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
@@ -74,8 +75,8 @@ def read_manifest(spark: SparkSession, path: str, generation: int | None = None)
 
 def publish(spark: SparkSession, path: str, manifest: dict) -> None:
     """Write a manifest under its generation: the commit point. The file appears whole or not at all."""
-    fs, final = _folder(spark, f"{path}/manifests/g{manifest['generation']:012d}.json")
-    _, draft = _folder(spark, f"{path}/manifests/.draft-{uuid.uuid4().hex}")
+    fs, final = file_system(spark, f"{path}/manifests/g{manifest['generation']:012d}.json")
+    _, draft = file_system(spark, f"{path}/manifests/.draft-{uuid.uuid4().hex}")
     out = fs.create(draft)
     out.write(bytearray(json.dumps(manifest).encode()))
     out.close()
@@ -239,8 +240,10 @@ def commit(spark: SparkSession, path: str, docs: DataFrame, batch_id: int | None
     name, old = f"{gen:012d}-{uuid.uuid4().hex[:8]}", Snapshot(spark, path, m)
     staging = f"{path}/staging/{name}"
 
-    good, rejects = split_rejects(docs.select("doc_id", "text"))
-    one = good.groupBy("doc_id").agg(F.max("text").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    good, rejects = split_rejects(docs)
+    repeated = not good.groupBy("doc_id").count().filter("count > 1").isEmpty()    # ids only; texts move if any comes twice
+    one = good.groupBy("doc_id").agg(F.max("text").alias("text")) if repeated else good
     combined_rows(build_index(one, techniques)).select("term", "doc_id", "positions", "tf").write.parquet(f"{staging}/rows")
     staged = spark.read.schema(_POSTINGS).parquet(f"{staging}/rows")
     ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull())
@@ -343,12 +346,12 @@ def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:
     removed = 0
     for kind in ("segments", *LISTS, "staging"):
         used = {p["id"] for k in kept for p in k.get(kind, [])}
-        fs, folder = _folder(spark, f"{path}/{kind}")
+        fs, folder = file_system(spark, f"{path}/{kind}")
         for s in fs.listStatus(folder) if fs.exists(folder) else []:
             if s.getPath().getName() not in used:
                 fs.delete(s.getPath(), True)
                 removed += 1
-    fs, folder = _folder(spark, f"{path}/manifests")
+    fs, folder = file_system(spark, f"{path}/manifests")
     names = {f"g{k['generation']:012d}.json" for k in kept}
     for s in fs.listStatus(folder) if fs.exists(folder) else []:
         if s.getPath().getName() not in names:

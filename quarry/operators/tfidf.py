@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.index import TextIndex, term_stats
+from quarry.operators.store import Snapshot
 
 
 def doc_term_matrix(index: TextIndex) -> DataFrame:
@@ -42,3 +43,27 @@ def tfidf(index: TextIndex, n_docs: int | None = None) -> DataFrame:
         "doc_id", "term", (F.col("tf").cast("double") * F.col("idf")).alias("r"))
     norm = F.sqrt(F.sum(F.col("r") * F.col("r")).over(Window.partitionBy("doc_id")))
     return raw.select("doc_id", "term", (F.col("r") / norm).alias("w"))
+
+
+def stored_vectors(index: Snapshot) -> DataFrame:
+    """``(doc_id, terms, ws)`` of every document of a stored index: its term ids in order with their TF-IDF weights, of norm 1.
+
+    The idf table is one row per term id; the postings join it (Spark broadcasts it if it is small, and splits hot terms
+    otherwise), and each document becomes one row. The norm is taken inside the row, so there is no window and no
+    second shuffle. Documents without terms have empty arrays."""
+    n1 = float(index.docs.count()) + 1.0
+    idf = index.id_stats().select("term_id", (F.log(F.lit(n1) / (F.col("df").cast("double") + F.lit(1.0))) + F.lit(1.0)).alias("idf"))
+    raw = index.id_postings().join(idf, "term_id").select("doc_id", "term_id", (F.col("tf").cast("double") * F.col("idf")).alias("r"))
+    rows = raw.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "r"))).alias("e"))
+    norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda acc, x: acc + x["r"] * x["r"]))
+    rows = rows.select("doc_id", "e", norm.alias("norm"))
+    return index.docs.join(rows, "doc_id", "left").select(
+        "doc_id", F.coalesce(F.col("e.term_id"), F.array().cast("array<bigint>")).alias("terms"),
+        F.coalesce(F.transform("e", lambda x: x["r"] / F.col("norm")), F.array().cast("array<double>")).alias("ws"))
+
+
+def weights_of(vectors: DataFrame, index: Snapshot) -> DataFrame:
+    """``(doc_id, term, w)`` of stored vectors."""
+    rows = vectors.select("doc_id", F.explode(F.arrays_zip("terms", "ws")).alias("e"))
+    return rows.select("doc_id", F.col("e.terms").alias("term_id"), F.col("e.ws").alias("w")).join(
+        index.dictionary, "term_id").select("doc_id", "term", "w")

@@ -7,6 +7,7 @@ arrays rendered as strings.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from quarry.functions.normalize import (
     normalize,
 )
 from quarry.functions.porter import porter_stem
-from quarry.operators import cluster, links, render, search, tfidf
+from quarry.operators import cluster, kmeans, links, render, search, store, tfidf
 from quarry.operators import index as ix
 from quarry.operators.positions import tokenize_docs, tokenize_pages
 from quarry.session import reliable_checkpoint, shared_scratch_path
@@ -37,6 +38,7 @@ DOC_LIMIT = 50
 VOCAB_CAPACITY = 1000
 SQL_KMEANS_K = 10
 CHAIN_QUERY_ID = 2
+DELIVERIES = 3
 
 # Fixed rows that join the given tables where these hold no such case: links in every notation and one
 # per rule, rejected rows of each kind, and pages that repeat or lack a number.
@@ -72,16 +74,44 @@ def raw_tokens(spark, sf):
     return tokenize_docs(docs(spark, sf))
 
 
-def doc_index(spark, sf, materialize: bool = False) -> ix.TextIndex:
-    """The index of ``documents``. ``materialize`` writes ``(term, doc_id, tf)`` once as a parquet
-    table in the shared checkpoint folder, for plans that read it in several branches and need no
-    positions (search, TF-IDF, clustering), as a deployment builds once and queries the table."""
-    idx = ix.build_index(docs(spark, sf))
-    if not materialize:
-        return idx
-    path = shared_scratch_path(spark, f"index-{uuid.uuid4().hex}")
-    ix.write_index(idx, path, sort_by_term=False, positions=False)
-    return ix.read_index(spark, path)
+def doc_index(spark, sf) -> ix.TextIndex:
+    """The index of ``documents``, built by whoever reads it."""
+    return ix.build_index(docs(spark, sf))
+
+
+def stored_index(spark, sf) -> store.Snapshot:
+    """The stored index of ``documents``: built by the first query of an application that needs it, read by all later ones
+    (search, TF-IDF, clustering), as a deployment builds once and queries. It is named after the table's path, size
+    and time, so a table that changes gets an index of its own."""
+    source = tables.table_path(sf, "documents")
+    fs, folder = store.file_system(spark, source)
+    size, status = fs.getContentSummary(folder), fs.getFileStatus(folder)
+    state = f"{source} {size.getLength()} {size.getFileCount()} {status.getModificationTime()}"
+    name = hashlib.sha256(f"{spark.sparkContext.applicationId} {state}".encode()).hexdigest()[:20]
+    path = shared_scratch_path(spark, f"index-{name}")
+    if not store.read_manifest(spark, path)["generation"]:
+        store.commit(spark, path, docs(spark, sf), batch_id=0)
+    return store.snapshot(spark, path)
+
+
+def deliveries(spark, sf, parts: int) -> list[DataFrame]:
+    """``documents`` as deliveries of consecutive ids, in the order of their arrival."""
+    every = docs(spark, sf)
+    lo, hi = every.agg(F.min("doc_id"), F.max("doc_id")).first()
+    lo, hi = lo or 0, hi or 0
+    edges = [lo + (hi + 1 - lo) * k // parts for k in range(parts + 1)]
+    # ids that are null go with the first
+    return [every.filter(F.col("doc_id").between(a, b - 1) | (F.col("doc_id").isNull() if a == lo else F.lit(False)))
+            for a, b in zip(edges, edges[1:])]
+
+
+def _delivered(spark, sf, **kw) -> store.Snapshot:
+    """An index that got ``documents`` in deliveries, each of them twice."""
+    path = shared_scratch_path(spark, f"deliveries-{uuid.uuid4().hex}")
+    for number, part in enumerate(deliveries(spark, sf, DELIVERIES)):
+        for _ in range(2):
+            store.commit(spark, path, part, batch_id=number, fanout=2, **kw)
+    return store.snapshot(spark, path)
 
 
 def query_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,9 +187,28 @@ def q_collection_stats(spark, sf):
 
 
 def q_term_lookup(spark, sf):
-    path = shared_scratch_path(spark, f"index-{uuid.uuid4().hex}")
-    ix.write_index(doc_index(spark, sf), path, sort_by_term=True)
-    return postings_out(ix.term_lookup(ix.read_index(spark, path).postings, LOOKUP_TERM))
+    return postings_out(stored_index(spark, sf).lookup(LOOKUP_TERM))
+
+
+def q_term_dictionary(spark, sf):
+    idx = stored_index(spark, sf)
+    return idx.dictionary.join(idx.id_stats(), "term_id").select("term", "term_id", "df", "cf")
+
+
+def q_segment_ingest(spark, sf):
+    return postings_out(_delivered(spark, sf).postings())
+
+
+def q_capped_ingest(spark, sf):
+    return postings_out(_delivered(spark, sf, capacity=VOCAB_CAPACITY).postings())
+
+
+def q_arrival_numbers(spark, sf):
+    return _delivered(spark, sf).numbers
+
+
+def q_limited_ingest(spark, sf):
+    return _delivered(spark, sf, limit=DOC_LIMIT).docs
 
 
 def q_index_dump(spark, sf):
@@ -173,15 +222,25 @@ def q_postings_parts(spark, sf):
 # ---------------------------------------------------------------------------------------------
 # Q
 
-def _search(spark, sf, rarest_first: bool):
-    """The batch answered from the postings of its words alone: ``(queries, qterms, hits, relevant)``. They
-    are taken from the index once and stored; frequencies, hits and status read only them."""
+def _asked(spark, sf):
+    """``(queries, qterms, index, ids)``: the batch, its terms, and those that the stored index knows."""
     queries = query_table(spark, sf)
     qterms = reliable_checkpoint(search.query_terms(queries))
-    idx = ix.build_index(docs(spark, sf))
-    relevant = reliable_checkpoint(search.query_word_postings(qterms, idx.postings))
-    hits = search.and_rarest_first(qterms, relevant) if rarest_first else search.and_division(qterms, relevant)
-    return queries, qterms, hits, relevant
+    index = stored_index(spark, sf)
+    return queries, qterms, index, reliable_checkpoint(search.query_ids(qterms, index))
+
+
+def _search(spark, sf):
+    """The batch answered from the touched blocks of the stored index: ``(queries, qterms, hits, ids)``."""
+    queries, qterms, index, ids = _asked(spark, sf)
+    return queries, qterms, reliable_checkpoint(search.and_blocks(qterms, index, ids)), ids
+
+
+def _word_postings(spark, sf):
+    """``(qterms, postings)``: the postings of the batch's words alone, in long form, stored."""
+    _, qterms, index, ids = _asked(spark, sf)
+    rows = index.id_postings(blocks=search.blocks_of(index.blocks, ids)).join(ids.select("term", "term_id").distinct(), "term_id")
+    return qterms, reliable_checkpoint(rows.select("term", "doc_id"))
 
 
 def q_query_terms(spark, sf):
@@ -193,50 +252,61 @@ def q_query_postings(spark, sf):
 
 
 def q_and_query(spark, sf):
-    return _search(spark, sf, False)[2]
+    return search.and_division(*_word_postings(spark, sf))
 
 
 def q_and_query_semijoin(spark, sf):
-    return _search(spark, sf, True)[2]
+    return search.and_rarest_first(*_word_postings(spark, sf))
+
+
+def q_and_blocks(spark, sf):
+    return _search(spark, sf)[2]
+
+
+def _status(spark, sf):
+    queries, qterms, hits, ids = _search(spark, sf)
+    return search.block_status(queries, qterms, hits, ids), hits
 
 
 def q_query_status(spark, sf):
-    queries, qterms, hits, relevant = _search(spark, sf, True)
-    return search.query_status(queries, qterms, hits, relevant)
+    return _status(spark, sf)[0]
 
 
 def q_result_text(spark, sf):
-    queries, qterms, hits, relevant = _search(spark, sf, True)
-    return render.result_text(search.query_status(queries, qterms, hits, relevant), hits)
+    return render.result_text(*_status(spark, sf))
 
 
 def q_result_parts(spark, sf):
-    return render.result_parts(_search(spark, sf, True)[2])
+    return render.result_parts(_search(spark, sf)[2])
 
 
 def q_and_chain(spark, sf):
     terms = search.query_terms(query_table(spark, sf).filter(F.col("query_id") == CHAIN_QUERY_ID))
-    return search.and_chain([r["term"] for r in terms.collect()], doc_index(spark, sf, materialize=True).postings)
+    return search.and_chain([r["term"] for r in terms.collect()], _word_postings(spark, sf)[1])
 
 
 def q_session_union(spark, sf):
-    return search.session_union(_search(spark, sf, True)[2])
+    return search.session_union(_search(spark, sf)[2])
 
 
 def q_session_text(spark, sf):
-    return render.session_text(search.session_union(_search(spark, sf, True)[2]))
+    return render.session_text(search.session_union(_search(spark, sf)[2]))
 
 
 def q_session_parts(spark, sf):
-    return render.session_parts(search.session_union(_search(spark, sf, True)[2]))
+    return render.session_parts(search.session_union(_search(spark, sf)[2]))
 
 
 # ---------------------------------------------------------------------------------------------
 # C
 
-def _weights(spark, sf):
-    idx = doc_index(spark, sf, materialize=True)
-    return idx, tfidf.tfidf(idx)
+def _vectors(spark, sf):
+    """``(index, vectors)``: the stored index and its TF-IDF vectors, stored by document."""
+    idx = stored_index(spark, sf)
+    path = shared_scratch_path(spark, f"tfidf-{uuid.uuid4().hex}")
+    vectors = tfidf.stored_vectors(idx)
+    vectors.write.parquet(path)
+    return idx, spark.read.schema(vectors.schema).parquet(path)
 
 
 def q_doc_term_matrix(spark, sf):
@@ -244,13 +314,15 @@ def q_doc_term_matrix(spark, sf):
 
 
 def q_tfidf(spark, sf):
-    _, w = _weights(spark, sf)
-    return w.select("doc_id", "term", F.round("w", 6).alias("w"))
+    idx = stored_index(spark, sf)
+    return tfidf.weights_of(tfidf.stored_vectors(idx), idx).select("doc_id", "term", F.round("w", 6).alias("w"))
 
 
 def _sql_kmeans(spark, sf):
-    idx, w = _weights(spark, sf)
-    return cluster.kmeans_sql(w, idx.docs, SQL_KMEANS_K)
+    """``(labels, centroids)``, the centroids by term."""
+    idx, vectors = _vectors(spark, sf)
+    labels, cents, _ = kmeans.fit(vectors, {SQL_KMEANS_K: SQL_KMEANS_K})
+    return labels.select("doc_id", "cluster"), cluster.by_term(cents, idx.dictionary).select("cluster", "term", "w")
 
 
 def q_kmeans_assign(spark, sf):
@@ -276,30 +348,30 @@ def q_cluster_top_terms(spark, sf):
 
 def _ml(k):
     def run(spark, sf):
-        idx, w = _weights(spark, sf)
-        return cluster.kmeans_ml(w, idx.docs, k)[0]
+        idx, vectors = _vectors(spark, sf)
+        return cluster.ml_labels(cluster.stored_ml_vectors(vectors, idx), k)
     run.__name__ = f"q_kmeans_ml_k{k}"
     return run
 
 
 def q_kmeans_guard(spark, sf):
-    found = doc_index(spark, sf).docs
+    found = stored_index(spark, sf).docs
     return cluster.guard_lines(spark, found, (*cluster.DEFAULT_KS, found.count() + 1))
 
 
 def q_kmeans_ml_check(spark, sf):
-    idx, w = _weights(spark, sf)
-    return cluster.ml_invariants(spark, w, idx.docs)
+    idx, vectors = _vectors(spark, sf)
+    return cluster.ml_check(spark, vectors, idx, cluster.DEFAULT_KS)
 
 
 def q_cluster_report_sql(spark, sf):
-    idx, w = _weights(spark, sf)
-    return cluster.cluster_report_sql(spark, w, idx.docs, cluster.DEFAULT_KS)
+    idx, vectors = _vectors(spark, sf)
+    return cluster.stored_report(spark, vectors, idx, cluster.DEFAULT_KS)
 
 
 def q_cluster_report(spark, sf):
-    idx, w = _weights(spark, sf)
-    return cluster.cluster_report(spark, w, idx.docs, cluster.DEFAULT_KS)
+    idx, vectors = _vectors(spark, sf)
+    return cluster.stored_ml_report(spark, vectors, idx, cluster.DEFAULT_KS)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -424,6 +496,11 @@ CATALOG = {
     "term_stats": q_term_stats,
     "collection_stats": q_collection_stats,
     "term_lookup": q_term_lookup,
+    "term_dictionary": q_term_dictionary,
+    "segment_ingest": q_segment_ingest,
+    "capped_ingest": q_capped_ingest,
+    "limited_ingest": q_limited_ingest,
+    "arrival_numbers": q_arrival_numbers,
     "index_dump": q_index_dump,
     "postings_parts": q_postings_parts,
     "query_terms": q_query_terms,
@@ -431,6 +508,7 @@ CATALOG = {
     "query_status": q_query_status,
     "and_query": q_and_query,
     "and_query_semijoin": q_and_query_semijoin,
+    "and_blocks": q_and_blocks,
     "result_text": q_result_text,
     "result_parts": q_result_parts,
     "and_chain": q_and_chain,

@@ -248,6 +248,8 @@ def oracle_sql() -> dict[str, str]:
                                   "FROM post"),
         "term_lookup": _with(DOC_BASE, f"SELECT term, doc_id, tf, {_positions()} AS positions FROM post "
                                        f"WHERE term = {_lit(LOOKUP_TERM)}"),
+        "term_dictionary": _with(DOC_BASE, "SELECT term, CAST(row_number() OVER (ORDER BY term) AS BIGINT) AS term_id, "
+                                           "CAST(count(*) AS BIGINT) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM post GROUP BY term"),
         "index_dump": _with(DOC_BASE,
                             "SELECT term, CAST(count(*) AS BIGINT) AS df, term || ' (' || count(*) || ') --> ' || "
                             "string_agg(CAST(doc_id AS VARCHAR) || '[' || array_to_string(plist, ', ') || ']', ', ' "
@@ -263,6 +265,7 @@ def oracle_sql() -> dict[str, str]:
                                 "ORDER BY pos) - 1 AS BIGINT) AS qpos FROM q_terms"),
         "and_query": _with(QUERY_BASE, "SELECT query_id, doc_id FROM hits"),
         "and_query_semijoin": _with(QUERY_BASE, "SELECT query_id, doc_id FROM hits"),
+        "and_blocks": _with(QUERY_BASE, "SELECT query_id, doc_id FROM hits"),
         "query_status": _with(QUERY_BASE, "SELECT query_id, status, n_terms, n_hits FROM status"),
         "result_text": _with(QUERY_BASE,
                              "SELECT s.query_id, CASE WHEN s.n_hits > 0 THEN 'Retrieved Document IDs (' || s.n_hits "
@@ -301,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
         "cluster_member_parts": _with(km_base, f"SELECT cluster, CAST(floor(doc_id / {BUCKET_WIDTH}) AS BIGINT) AS part, count(*) AS n, "
                                       f"string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) AS line FROM {lab} GROUP BY ALL"),
         "kmeans_ml_check": _with(", ".join([DOCS, NONEMPTY]),
-                                 "SELECT k, n AS n_labelled, true AS labels_valid, true AS cost_improved FROM "
+                                 "SELECT k, n AS n_labelled, true AS labels_valid, true AS cost_bounded FROM "
                                  f"(VALUES {_rows([(k,) for k in DEFAULT_KS], ('BIGINT',))}) v(k), (SELECT count(*) AS n FROM ne) WHERE n >= k"),
         "cluster_top_terms": _with(km_base,
                                    f"SELECT cluster, string_agg(printf('%s: %.4f', term, w), ', ' ORDER BY rn) AS line "
@@ -385,8 +388,11 @@ def oracle_sql() -> dict[str, str]:
                         "SELECT doc_id, page_no, CASE WHEN text IS NULL OR page_no IS NULL THEN 'null_text' "
                         "ELSE 'document_rejected' END AS reason FROM cp WHERE doc_id IN (SELECT doc_id FROM bad) "
                         "UNION ALL SELECT doc_id, page_no, 'null_id' FROM cp WHERE doc_id IS NULL",
+        "segment_ingest": sq["postings"],
         "stream_ingest": sq["postings"],
         "stream_stats": sq["collection_stats"],
         "cluster_report_sql": _report_sql(DEFAULT_KS, KMEANS_STEPS),
     })
+    sq["capped_ingest"], sq["limited_ingest"] = sq["vocab_cap"], sq["doc_limit"]
+    sq["arrival_numbers"] = sq["dense_ids"].replace("AS dense_id", "AS doc_no")
     return sq

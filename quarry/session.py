@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -81,6 +82,14 @@ def shared_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def written(df, name: str):
+    """``df`` written as Parquet below the shared checkpoint folder and read back: what is read later is what was computed
+    once, also after an executor is lost."""
+    path = shared_scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a written intermediate that nothing reads any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

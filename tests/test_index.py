@@ -225,3 +225,21 @@ def test_bounded_lines_cut_long_lists(spark, monkeypatch):
     df = spark.createDataFrame([(1, i, str(i)) for i in (0, 5, 9, 10, 31)], "k BIGINT, o BIGINT, s STRING")
     got = sorted(tuple(r) for r in render.bounded_lines(df, ["k"], "o", "s", ",", bucket_width=10).collect())
     assert got == [(1, 0, 3, "0,5,9"), (1, 1, 1, "10"), (1, 3, 1, "31")]
+
+
+def test_long_pages_are_cut_without_changing_tokens_or_positions(spark):
+    import random
+
+    from quarry.operators import positions
+
+    rng = random.Random(6)
+    bits = ["a.b.c", "1,000,000", "it's", "--", "...", "peer-reviewed", "Ünïcode", "日本語", "x", "\t", "\n\n", " ", " ", "(y)", "éé", "." * 9, "-" * 7]
+    pages = [(d, p, "".join(rng.choice(bits) + rng.choice([" ", "", "\n", "  "]) for _ in range(rng.randrange(0, 60)))) for d in range(4) for p in range(5)]
+    pages += [(9, 1, "word " * 40), (9, 1, "other word " * 30), (9, 2, "no_space" * 50), (9, 3, None), (9, 4, "end")]
+    df = spark.createDataFrame(pages, "doc_id BIGINT, page_no BIGINT, text STRING")
+    whole = sorted(tuple(r) for r in tokenize_pages(df).collect())
+    for size in (1, 7, 50):
+        assert sorted(tuple(r) for r in tokenize_pages(df, piece_chars=size).collect()) == whole
+    cut = positions.page_pieces(df.filter("doc_id = 9"), piece_chars=20).collect()
+    assert max(len(r.part) for r in cut if "no_space" not in r.part) <= 20 + len("other")
+    assert "".join(r.part for r in sorted((r for r in cut if r.page_no == 4), key=lambda r: r.piece)) == "end"
