@@ -14,8 +14,8 @@ document that holds the entity.
 Scale: entities of a single text can disclose nothing and are left out first, by a bitmap of fixed size. Pairs of the others
 and the terms of their documents are aggregated before any shuffle, so an entity in a third of all rows costs one row per
 task and term. That also tells in how many of the entities' documents a term is; the other documents are counted per slice before
-they are shuffled, and, but for the misses of a bitmap, only for candidates, first in a part of them, which is enough to
-drop common words, so that the terms handed on from the rest are few. Places are read from the texts in a last pass, for disclosed pairs (a bitmap, then an exact join), so no
+they are shuffled, and, but for the misses of a bitmap, only for candidates, in growing parts of them: the first ones are enough
+to drop common words, so that the terms handed on from the rest are few. Places are read from the texts in a last pass, for disclosed pairs (a bitmap, then an exact join), so no
 entity's terms are multiplied with its documents. Texts are never shuffled by detection. A document with e repeated entities
 and t terms has e * t pairs, which are handed on a bounded number at a time.
 
@@ -57,8 +57,8 @@ PREFIX = 3
 ANY = -1
 #: Distinct terms, or pairs, that a task counts before it hands them on.
 COUNTER_TERMS = 200_000
-#: The part of the documents in which candidates are counted first, as one of so many.
-FIRST_PARTS = 32
+#: Ends of the parts in which the documents are counted, out of the last.
+PARTS = (1, 6, 32)
 #: Bits of a map (4 MB) that tells which entities, terms or pairs cannot be candidates; a power of two.
 FILTER_BITS = 1 << 25
 
@@ -227,50 +227,68 @@ def pair_counts(docs: DataFrame, shared) -> DataFrame:
             .filter((F.col("entity") == ANY) | (F.col("lo") != F.col("hi"))).select("entity", "term", "n_both"))
 
 
-def term_counts(docs: DataFrame, candidates: DataFrame, shared) -> DataFrame:
-    """``(term, n)``: documents without a repeated entity that hold each candidate term, over all such texts; shared as for
-    ``pair_counts``, so that the two share out the documents. A bitmap keeps most other terms out of the shuffle; the join is exact."""
-    terms = docs.sparkSession.sparkContext.broadcast(candidate_bits(candidates))
+def task_counts(docs: DataFrame, candidates: DataFrame, shared) -> DataFrame:
+    """``(term, n)`` per task: its documents without a repeated entity that hold a term whose bit is set in the candidates' bitmap;
+    shared as for ``pair_counts``, so that the two share out the documents. Other terms are dropped as often as the task has
+    ``COUNTER_TERMS`` of them, so a term is handed on once a task, unless the task has that many candidates."""
+    wanted = docs.sparkSession.sparkContext.broadcast(candidate_bits(candidates))
 
     def run(batches):
-        known, bits = shared.value, terms.value
-        counts: Counter = Counter()
-
-        def flush():
-            terms = list(counts)
-            at = np.fromiter((zlib.crc32(w) % FILTER_BITS for w in terms), np.int64, len(terms))
-            may = np.flatnonzero(bits[at >> 5] >> (at & 31).astype(np.uint32) & 1)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array([terms[i].decode() for i in may], pa.string()), pa.array([counts[terms[i]] for i in may], pa.int64())], names=["term", "n"])
-            counts.clear()
-            return out
+        known, bits = shared.value, wanted.value
+        fresh: Counter = Counter()
+        kept: Counter = Counter()
+
+        def sift():
+            words = [w for w in fresh if w not in kept]
+            at = np.fromiter((zlib.crc32(w) % FILTER_BITS for w in words), np.int64, len(words))
+            kept.update(dict.fromkeys((words[i] for i in np.flatnonzero(bits[at >> 5] >> (at & 31).astype(np.uint32) & 1)), 0))
+            for w in fresh.keys() & kept.keys():
+                kept[w] += fresh[w]
+            fresh.clear()
+
+        def out():
+            rows = pa.RecordBatch.from_arrays([pa.array([w.decode() for w in kept], pa.string()), pa.array(list(kept.values()), pa.int64())],
+                                              names=["term", "n"])
+            kept.clear()
+            return rows
 
         for batch in batches:
             for part in slices(batch, "text"):
                 for text, data in zip(part.column("text").to_pylist(), as_bytes(part.column("text"))):
                     if not any(_has(known, x) for x in entities_of(base_spans(text))):
-                        counts.update(set(ascii_words(data)))
-                if len(counts) > COUNTER_TERMS:
-                    yield flush()
-        if counts:
-            yield flush()
+                        fresh.update(set(ascii_words(data)))
+                if len(fresh) > COUNTER_TERMS:
+                    sift()
+                if len(kept) > COUNTER_TERMS:
+                    yield out()
+        sift()
+        if kept:
+            yield out()
+
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "term string, n long")
 
-    part = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "term string, n long")
+
+def term_counts(docs: DataFrame, candidates: DataFrame, shared) -> DataFrame:
+    """``(term, n)``: documents without a repeated entity that hold each candidate term, over all these texts. The bitmap keeps most
+    other terms out of the shuffle; the join is exact."""
     # summed first, so that the join has one row a term and not one for each task's
-    return part.groupBy("term").agg(F.sum("n").alias("n")).join(candidates.select("term"), "term", "left_semi")
+    return (task_counts(docs, candidates, shared).groupBy("term").agg(F.sum("n").alias("n"))
+            .join(candidates.select("term"), "term", "left_semi"))
 
 
 def whole_counts(docs: DataFrame, candidates: DataFrame, shared) -> DataFrame:
     """``(term, n)``: documents with each candidate term, for the candidates that can still disclose something; candidates:
-    ``(term, n_least, most)``, the documents that ``pair_counts`` has counted and the most that a disclosing term can have.
-    One part of ``FIRST_PARTS`` of the documents is counted first: terms that are beyond ``most`` with these alone (common words, as a
-    rule) are dropped, which loses nothing, and are not handed on from the other documents."""
-    first = F.pmod(F.xxhash64("doc_id", text_hash()), F.lit(FIRST_PARTS)) == 0
-    some = term_counts(docs.filter(first), candidates, shared)
-    left = stored(candidates.join(some, "term", "left").withColumn("n", F.col("n_least") + F.coalesce("n", F.lit(0)))
-                  .filter(F.col("n") <= F.col("most")).select("term", "n"), "pii-left")
-    rest = term_counts(docs.filter(~first), left, shared).withColumnRenamed("n", "more")
-    return left.join(rest, "term", "left").select("term", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"))
+    ``(term, n, most)``, the documents that ``pair_counts`` has counted and the most that a disclosing term can have.
+    The documents are counted in growing parts (``PARTS``); terms that are beyond ``most`` with the parts so far (common words, as a rule)
+    are dropped, which loses nothing, and are not handed on from the documents to come."""
+    share = F.pmod(F.xxhash64("doc_id", text_hash()), F.lit(PARTS[-1]))
+    left = candidates
+    for lo, hi in zip((0, *PARTS), PARTS):
+        part = docs.filter((share >= lo) & (share < hi))
+        more = term_counts(part, left, shared).withColumnRenamed("n", "more")
+        left = stored(left.join(more, "term", "left").select("term", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"), "most")
+                      .filter(F.col("n") <= F.col("most")), "pii-left")
+    return left.select("term", "n")
 
 
 def detect(docs: DataFrame, carry: dict[str, object]) -> DataFrame:
@@ -301,7 +319,7 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
                  .select("entity", "term", "n_both", "n_entity", "n_all", "n_least"), "pii-met")
     # the count at which PMI = GENERALISE * IC, with room for rounding
     most = F.col("n_both") * F.col("n_all") / F.col("n_entity") / F.pow(F.lit(2.0), GENERALISE * ic) * (1 + 1e-6)
-    candidates = stored(met.groupBy("term").agg(F.max("n_least").alias("n_least"), F.max(most).alias("most")), "pii-candidates")
+    candidates = stored(met.groupBy("term").agg(F.max("n_least").alias("n"), F.max(most).alias("most")), "pii-candidates")
     counts = stored(whole_counts(docs, candidates, shared), "pii-counts")
     return met.join(counts, "term").filter(pmi("n") >= GENERALISE * ic).select(
         "entity", "term", F.when((pmi("n") >= REMOVE * ic) | (F.length("term") <= PREFIX), "remove").otherwise("generalise").alias("action"))
