@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 from quarry.llm.common import as_bytes, prepare, slices, text_hash
 
 SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_600_000
 BLOCK = 512
 MAGIC = b"WVM1"
 
