@@ -18,7 +18,7 @@ from quarry.functions.normalize import (
     normalize,
 )
 from quarry.functions.porter import porter_stem
-from quarry.operators import cluster, kmeans, links, render, search, store, tfidf
+from quarry.operators import cluster, kmeans, links, render, search, seen, store, tfidf
 from quarry.operators import index as ix
 from quarry.operators.positions import tokenize_docs, tokenize_pages
 from quarry.session import reliable_checkpoint, shared_scratch_path
@@ -405,6 +405,17 @@ def q_url_dedupe(spark, sf):
     return links.dedupe_urls(_links(spark, sf))
 
 
+def q_seen_urls(spark, sf):
+    found = reliable_checkpoint(_links(spark, sf))
+    lo, hi = found.agg(F.min("page_id"), F.max("page_id")).first()
+    edges = [lo + (hi + 1 - lo) * k // DELIVERIES for k in range(DELIVERIES + 1)]
+    path = shared_scratch_path(spark, f"seen-{uuid.uuid4().hex}")
+    for number, (a, b) in enumerate(zip(edges, edges[1:])):
+        for _ in range(2):      # each delivery comes twice
+            seen.take(spark, path, found.filter(F.col("page_id").between(a, b - 1)), number)
+    return seen.seen_urls(spark, path).select("url", "page_id", "link_no")
+
+
 def q_url_filename(spark, sf):
     p = tables.web_pages(spark, sf)
     return p.select("page_id", "url", links.file_name(F.col("page_id"), F.col("url")).alias("file_name"))
@@ -533,6 +544,7 @@ CATALOG = {
     "link_domain": q_link_domain,
     "link_class": q_link_class,
     "url_dedupe": q_url_dedupe,
+    "seen_urls": q_seen_urls,
     "select_links": q_select_links,
     "url_filename": q_url_filename,
     "manifest_lines": q_manifest_lines,

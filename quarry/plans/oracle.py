@@ -394,5 +394,6 @@ def oracle_sql() -> dict[str, str]:
         "cluster_report_sql": _report_sql(DEFAULT_KS, KMEANS_STEPS),
     })
     sq["capped_ingest"], sq["limited_ingest"] = sq["vocab_cap"], sq["doc_limit"]
+    sq["seen_urls"] = sq["url_dedupe"]
     sq["arrival_numbers"] = sq["dense_ids"].replace("AS dense_id", "AS doc_no")
     return sq
