@@ -18,7 +18,7 @@ from quarry.functions.normalize import (
     normalize,
 )
 from quarry.functions.porter import porter_stem
-from quarry.operators import cluster, kmeans, links, render, search, seen, store, tfidf
+from quarry.operators import cluster, kmeans, links, render, search, seeding, seen, store, tfidf
 from quarry.operators import index as ix
 from quarry.operators.positions import tokenize_docs, tokenize_pages
 from quarry.session import reliable_checkpoint, shared_scratch_path
@@ -37,6 +37,7 @@ LINK_DOMAIN = "example.com"
 DOC_LIMIT = 50
 VOCAB_CAPACITY = 1000
 SQL_KMEANS_K = 10
+SEEDED_K = 5
 CHAIN_QUERY_ID = 2
 DELIVERIES = 3
 
@@ -334,6 +335,14 @@ def q_kmeans_centroids(spark, sf):
     return cents.select("cluster", "term", F.round("w", 6).alias("w"))
 
 
+def q_kmeans_seeds(spark, sf):
+    return seeding.seeds(_vectors(spark, sf)[1], SEEDED_K)
+
+
+def q_kmeans_best(spark, sf):
+    return seeding.best_run(_vectors(spark, sf)[1], SEEDED_K)[0]
+
+
 def q_cluster_members(spark, sf):
     return cluster.members_lines(spark, _sql_kmeans(spark, sf)[0], SQL_KMEANS_K)
 
@@ -530,6 +539,8 @@ CATALOG = {
     "tfidf": q_tfidf,
     "kmeans_assign": q_kmeans_assign,
     "kmeans_centroids": q_kmeans_centroids,
+    "kmeans_seeds": q_kmeans_seeds,
+    "kmeans_best": q_kmeans_best,
     "cluster_members": q_cluster_members,
     "cluster_member_parts": q_cluster_member_parts,
     "kmeans_ml_check": q_kmeans_ml_check,

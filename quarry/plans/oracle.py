@@ -12,13 +12,15 @@ from quarry.functions.stopwords import FIRST_STOP_WORDS, REST_STOP_WORDS
 from quarry.functions.tokenize import sql_token_pattern
 from quarry.functions.normalize import NUMBER_PATTERN
 from quarry.plans.catalog import (
-    BENCHMARK_QUERY_OFFSET, CHAIN_QUERY_ID, LINK_PAGE, LOOKUP_TERM, ODD_PAGES, QUERY_SET, REJECT_PAGES, REJECT_ROWS, SQL_KMEANS_K,
+    BENCHMARK_QUERY_OFFSET, CHAIN_QUERY_ID, LINK_PAGE, LOOKUP_TERM, ODD_PAGES, QUERY_SET, REJECT_PAGES, REJECT_ROWS,
+    SEEDED_K, SQL_KMEANS_K,
 )
 from quarry.operators.cluster import DEFAULT_KS, SCORE_DIGITS, TOO_FEW_DOCUMENTS, TOP_TERMS
 from quarry.operators.links import (
     DENIED_PATTERN, DIR_PATTERN, DOTS_PATTERN, ENTITIES, HOST_PATTERN, HREF_PATTERN, LINK_RULES, ORIGIN_PATTERN, PATH_PATTERN,
     SCHEME_PATTERN, TAIL_PATTERN, WEB_PATTERN,
 )
+from quarry.operators import seeding
 from quarry.operators.render import BUCKET_WIDTH
 from quarry.plans.catalog import DOC_LIMIT, LINK_DOMAIN, VOCAB_CAPACITY
 
@@ -139,11 +141,11 @@ TFIDF_BASE = ", ".join([
 KMEANS_STEPS = 40
 
 
-def _kmeans_ctes(k: int, iterations: int, p: str = "") -> tuple[str, str, str]:
-    """CTEs of the deterministic k-means (names prefixed with ``p``); returns (ctes, final labels
-    name, final centroids name)."""
+def _kmeans_ctes(k: int, iterations: int, p: str = "", seeds: str | None = None) -> tuple[str, str, str]:
+    """CTEs of the deterministic k-means (names prefixed with ``p``, from ``seeds`` or the first documents); returns (ctes,
+    final labels name, final centroids name)."""
     d = SCORE_DIGITS
-    ctes = [
+    ctes = [f"{p}seeds AS ({seeds})"] if seeds else [
         f"{p}seeds AS (SELECT doc_id, CAST(rn - 1 AS BIGINT) AS cluster FROM (SELECT doc_id, row_number() OVER "
         f"(ORDER BY doc_id) AS rn FROM (SELECT DISTINCT doc_id FROM wt)) WHERE rn <= {k})",
     ]
@@ -204,6 +206,54 @@ def _report_sql(ks, iterations: int) -> str:
     return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(blocks)
 
 
+def _seed_ctes(k: int, runs: int, rounds: int, per_round: int, seed: int) -> str:
+    """CTEs ending in ``drawn(run, doc_id, cluster)``: the seeds of every run by weighted draws."""
+    d = seeding.DIGITS
+
+    def race(step: str, weight: str) -> str:
+        return f"round(-ln({seeding.uniform_sql(seed, 'run', step, 'doc_id')}) / ({weight}), {d})"
+
+    def nearest(name: str, cands: str) -> str:
+        return (f"{name}_dot AS (SELECT c.run, a.doc_id, c.doc_id AS near, sum(a.w * b.w) AS dot FROM {cands} c JOIN wt b ON b.doc_id = c.doc_id "
+                f"JOIN wt a ON a.term = b.term GROUP BY ALL), "
+                f"{name}_all AS (SELECT c.run, x.doc_id, c.doc_id AS near, round(x.x2 + y.x2 - 2.0::DOUBLE * coalesce(dot, 0.0::DOUBLE), {d}) AS d FROM {cands} c "
+                f"JOIN x2 y ON y.doc_id = c.doc_id, x2 x LEFT JOIN {name}_dot t ON t.run = c.run AND t.doc_id = x.doc_id AND t.near = c.doc_id), "
+                f"{name} AS MATERIALIZED (SELECT run, doc_id, d, near FROM (SELECT *, row_number() OVER (PARTITION BY run, doc_id ORDER BY d, near) AS rn "
+                f"FROM {name}_all) WHERE rn = 1)")
+
+    ctes = ["x2 AS MATERIALIZED (SELECT doc_id, sum(w * w) AS x2 FROM wt GROUP BY doc_id)",
+            f"rs AS (SELECT CAST(range AS INTEGER) AS run FROM range({runs}))",
+            f"cand0 AS MATERIALIZED (SELECT run, doc_id FROM (SELECT run, doc_id, row_number() OVER (PARTITION BY run ORDER BY {race('0', '1.0::DOUBLE')}, doc_id) AS rn "
+            "FROM x2, rs) WHERE rn = 1)"]
+    for step in range(1, rounds + 1):
+        ctes.append(nearest(f"near{step}", f"cand{step - 1}"))
+        ctes.append(f"cand{step} AS MATERIALIZED (SELECT run, doc_id FROM cand{step - 1} UNION ALL SELECT run, doc_id FROM (SELECT run, doc_id, "
+                    f"row_number() OVER (PARTITION BY run ORDER BY {race(str(step), 'd')}, doc_id) AS rn FROM near{step} WHERE d > 0) WHERE rn <= {per_round})")
+    ctes.append(nearest("nearf", f"cand{rounds}"))
+    ctes.append("cnt AS MATERIALIZED (SELECT run, near AS doc_id, count(*) AS n FROM nearf GROUP BY ALL)")
+    ctes.append("drawn0 AS (SELECT CAST(NULL AS INTEGER) AS run, CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS BIGINT) AS cluster WHERE false)")
+    for i in range(k):
+        ctes.append(f"far{i} AS (SELECT c.run, c.doc_id, c.n, coalesce(min(a.d), 1.0::DOUBLE) AS far FROM cnt c LEFT JOIN drawn{i} p ON p.run = c.run "
+                    "LEFT JOIN nearf_all a ON a.run = c.run AND a.doc_id = c.doc_id AND a.near = p.doc_id GROUP BY c.run, c.doc_id, c.n)")
+        ctes.append(f"drawn{i + 1} AS MATERIALIZED (SELECT * FROM drawn{i} UNION ALL SELECT run, doc_id, CAST({i} AS BIGINT) FROM (SELECT run, doc_id, row_number() OVER "
+                    f"(PARTITION BY run ORDER BY {race(f'p{i}', 'n * far')}, doc_id) AS rn FROM far{i} WHERE far > 0) WHERE rn = 1)")
+    ctes.append(f"drawn AS MATERIALIZED (SELECT run, doc_id, cluster FROM drawn{k})")
+    return ", ".join(ctes)
+
+
+def _best_run_ctes(k: int, runs: int) -> str:
+    """CTEs ending in ``best(doc_id, cluster)``: the labels of the run of least cost from ``drawn``."""
+    ctes, labels, costs = [], [], []
+    for r in range(runs):
+        km, lab, cen = _kmeans_ctes(k, KMEANS_STEPS, f"r{r}_", f"SELECT doc_id, cluster FROM drawn WHERE run = {r}")
+        ctes += [km, f"cost{r} AS (SELECT {r} AS run, round((SELECT sum(x2) FROM x2) - (SELECT sum(m.n2 * s.n) FROM (SELECT cluster, sum(w * w) AS n2 FROM {cen} "
+                     f"GROUP BY cluster) m JOIN (SELECT cluster, count(*) AS n FROM {lab} GROUP BY cluster) s USING (cluster)), 6) AS cost)"]
+        labels.append(f"SELECT {r} AS run, doc_id, cluster FROM {lab}")
+        costs.append(f"SELECT run, cost FROM cost{r}")
+    ctes.append(f"best AS (SELECT doc_id, cluster FROM ({' UNION ALL '.join(labels)}) WHERE run = (SELECT run FROM ({' UNION ALL '.join(costs)}) ORDER BY cost, run LIMIT 1))")
+    return ", ".join(ctes)
+
+
 def _entities(col: str) -> str:
     for entity, char in ENTITIES:
         col = f"replace({col}, {_lit(entity)}, {_lit(char)})"
@@ -393,6 +443,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_stats": sq["collection_stats"],
         "cluster_report_sql": _report_sql(DEFAULT_KS, KMEANS_STEPS),
     })
+    drawn = ", ".join([TFIDF_BASE, _seed_ctes(SEEDED_K, seeding.RUNS, seeding.ROUNDS, 2 * SEEDED_K, seeding.SEED)])
+    sq["kmeans_seeds"] = _with(drawn, "SELECT run, doc_id, cluster FROM drawn")
+    sq["kmeans_best"] = _with(f"{drawn}, {_best_run_ctes(SEEDED_K, seeding.RUNS)}", "SELECT doc_id, cluster FROM best")
     sq["capped_ingest"], sq["limited_ingest"] = sq["vocab_cap"], sq["doc_limit"]
     sq["seen_urls"] = sq["url_dedupe"]
     sq["arrival_numbers"] = sq["dense_ids"].replace("AS dense_id", "AS doc_no")
