@@ -108,10 +108,10 @@ def test_withdrawn_empty_and_rejected_documents_disappear(spark):
     assert status == {1: "missing_term", 2: "hits", 3: "invalid"}
 
 
-@pytest.mark.parametrize("sizes", [[40], [7, 33], [1, 2, 3, 4, 30]])
-def test_capacity_while_documents_arrive(spark, sizes):
+@pytest.mark.parametrize("sizes, capacities", [([40], (1, 500)), ([7, 33], (6,)), ([1, 2, 7, 30], (17,))])
+def test_capacity_while_documents_arrive(spark, sizes, capacities):
     rows = texts(40, 9)
-    for capacity in (1, 6, 17, 500):
+    for capacity in capacities:
         terms = ix.normalized_terms(ix.tokenize_docs(frame(spark, rows)))
         want = {(r.term, r.doc_id): (r.tf, list(r.positions)) for r in ix.build_postings(ix.vocabulary_cap(terms, capacity)).collect()}
         docs = {r.doc_id for r in ix.capped_docs(frame(spark, rows), ix.vocabulary_cut(terms, capacity)).collect()}
@@ -124,8 +124,6 @@ def test_capacity_while_documents_arrive(spark, sizes):
         assert content(snap) == want
         assert {r.doc_id for r in snap.docs.collect()} == docs
         assert snap.dictionary.count() == min(capacity, len({t for t, _ in expected(spark, rows)}))
-        if capacity == 17:
-            break
 
 
 def test_document_limit_while_documents_arrive(spark):
