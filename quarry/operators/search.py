@@ -155,6 +155,83 @@ def and_blocks(qterms: DataFrame, index: Snapshot, ids: DataFrame | None = None)
     return index.live(hits.select("query_id", "gen", doc_of(F.col("block"), F.col("o")).alias("doc_id"))).select("query_id", "doc_id")
 
 
+def shared_beginnings(paths: DataFrame) -> DataFrame:
+    """``(path, cuts)``: the distinct paths and the lengths of their beginnings that are nodes of the batch's prefix tree: where
+    paths part or one ends. Terms between two nodes are one edge, so the tree is as deep as paths part, not as they are long."""
+    distinct = paths.select("path").distinct()
+    steps = distinct.select("path", F.explode(F.sequence(F.lit(1), F.size("path"))).alias("cut")).select(
+        "path", "cut", F.slice("path", F.lit(1), F.col("cut")).alias("node"), F.get("path", F.col("cut")).alias("next"))
+    nodes = (steps.groupBy("node").agg(F.min("next").alias("lo"), F.max("next").alias("hi"), F.max(F.col("next").isNull()).alias("ends"))
+             .filter(F.col("ends") | (F.col("lo") != F.col("hi"))).select("node"))
+    return (steps.select("path", "cut", "node").join(nodes, "node", "left_semi").groupBy("path")
+            .agg(F.array_sort(F.collect_list("cut")).alias("cuts")))
+
+
+def shared_lists(asked: DataFrame, blocks: DataFrame) -> list[DataFrame]:
+    """The prefix tree of a batch, a level of nodes at a time: ``(node, size, n_lists, gen, block, docs)``, ``docs`` being the offsets of
+    the documents that hold all terms of the node (also when there are none) and ``n_lists`` the lists met on its edge.
+
+    ``asked`` is ``(query_id, gen, block, path, cuts)``: the ranges that a query has to look at, its terms in order and the lengths
+    that are nodes. An edge is intersected once per range, however many queries go through it; a branch without
+    documents ends. The levels stop where no branch has documents left."""
+    levels: list[DataFrame] = []
+    while True:
+        i = len(levels) + 1
+        since = F.col("cuts")[i - 2] if levels else F.lit(0)
+        edges = asked.filter(F.size("cuts") >= i).select(
+            F.slice("path", F.lit(1), F.col("cuts")[i - 1]).alias("node"), F.slice("path", F.lit(1), since).alias("parent"),
+            F.slice("path", since + 1, F.col("cuts")[i - 1] - since).alias("edge"), "gen", "block").distinct()
+        if levels:
+            above = levels[-1].filter(F.size("docs") > 0).select(F.col("node").alias("parent"), "gen", "block", F.col("docs").alias("kept"))
+            edges = edges.join(above, ["parent", "gen", "block"])
+        else:
+            edges = edges.withColumn("kept", F.lit(None).cast("array<int>"))
+        met = (edges.select("node", "gen", "block", "kept", F.explode("edge").alias("term_id")).join(blocks, ["gen", "term_id", "block"])
+               .groupBy("node", "gen", "block").agg(F.first("kept").alias("kept"),  # one value per node and range
+                                                    F.array_sort(F.collect_list(F.struct(F.size("docs").alias("n"), "docs"))).alias("lists")))
+        start = F.coalesce("kept", F.col("lists")[0]["docs"])
+        level = reliable_checkpoint(met.select(
+            "node", F.size("node").alias("size"), (F.size("lists") - F.lit(0 if levels else 1)).alias("n_lists"), "gen", "block",
+            F.aggregate("lists", start, lambda acc, x: F.array_intersect(acc, x["docs"])).alias("docs")))
+        if level.isEmpty():
+            return levels
+        levels.append(level)
+
+
+def and_shared(qterms: DataFrame, index: Snapshot, ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Q3/Q5 for a batch whose queries share terms: ``(query_id, doc_id)`` as from ``and_blocks``, and the work done.
+
+    A query's terms are put in order of their document frequency, rarest first (ties by term id), so that queries with
+    the same rare terms begin alike; every such beginning is intersected once (``shared_lists``). The work is ``(level, n_shared,
+    n_alone)``: lists intersected for the nodes of that level of the tree, and how many it would have been query by query.
+    """
+    touched = reliable_checkpoint(touched_blocks(qterms, index, ids))
+    blocks = blocks_of(index.blocks.select("gen", "term_id", "block", "n", "docs"), touched)
+    ranges = [r["block"] for r in touched.select("block").distinct().limit(PUSHDOWN_MAX_WORDS + 1).collect()]
+    if len(ranges) <= PUSHDOWN_MAX_WORDS:
+        blocks = blocks.filter(F.col("block").isin(ranges))
+    heads = blocks_of(index.blocks.select("term_id", "n"), touched).groupBy("term_id").agg(F.sum("n").alias("df"))
+    paths = reliable_checkpoint(
+        touched.select("query_id", "term_id").distinct().join(heads, "term_id").groupBy("query_id")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "term_id"))).alias("terms")).select("query_id", F.col("terms.term_id").alias("path")))
+    asked = reliable_checkpoint(touched.select("query_id", "gen", "block").distinct().join(paths, "query_id")
+                                .join(shared_beginnings(paths), "path"))
+    levels = shared_lists(asked, blocks.drop("n"))
+    spark = asked.sparkSession
+    hits = spark.createDataFrame([], "query_id bigint, gen bigint, block bigint, o int")
+    work = spark.createDataFrame([], "level int, n_shared bigint, n_alone bigint")
+    for i, level in enumerate(levels, 1):
+        ended = asked.filter(F.size("cuts") == i).join(level.withColumnRenamed("node", "path"), ["path", "gen", "block"])
+        hits = hits.unionByName(ended.select("query_id", "gen", "block", F.explode("docs").alias("o")))
+        through = (asked.filter(F.size("cuts") >= i).select(F.slice("path", F.lit(1), F.col("cuts")[i - 1]).alias("node"), "gen", "block")
+                   .groupBy("node", "gen", "block").agg(F.count(F.lit(1)).alias("n")))
+        work = work.unionByName(level.select("node", "gen", "block", "n_lists").join(through, ["node", "gen", "block"]).agg(
+            F.lit(i).alias("level"), F.sum("n_lists").cast("bigint").alias("n_shared"),
+            F.sum(F.col("n_lists") * F.col("n")).cast("bigint").alias("n_alone")))
+    live = index.live(hits.select("query_id", "gen", doc_of(F.col("block"), F.col("o")).alias("doc_id")))
+    return live.select("query_id", "doc_id"), work
+
+
 def block_status(queries: DataFrame, qterms: DataFrame, hits: DataFrame, ids: DataFrame) -> DataFrame:
     """``query_status`` from the query terms that a stored index knows (``query_ids``)."""
     return query_status(queries, qterms, hits, ids.select("term", F.lit(0).cast("bigint").alias("doc_id")))

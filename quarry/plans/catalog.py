@@ -264,6 +264,19 @@ def q_and_blocks(spark, sf):
     return _search(spark, sf)[2]
 
 
+def _shared(spark, sf):
+    _, qterms, index, ids = _asked(spark, sf)
+    return search.and_shared(qterms, index, ids)
+
+
+def q_and_shared(spark, sf):
+    return _shared(spark, sf)[0]
+
+
+def q_and_shared_work(spark, sf):
+    return _shared(spark, sf)[1]
+
+
 def _status(spark, sf):
     queries, qterms, hits, ids = _search(spark, sf)
     return search.block_status(queries, qterms, hits, ids), hits
@@ -529,6 +542,8 @@ CATALOG = {
     "and_query": q_and_query,
     "and_query_semijoin": q_and_query_semijoin,
     "and_blocks": q_and_blocks,
+    "and_shared": q_and_shared,
+    "and_shared_work": q_and_shared_work,
     "result_text": q_result_text,
     "result_parts": q_result_parts,
     "and_chain": q_and_chain,

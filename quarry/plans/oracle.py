@@ -22,6 +22,7 @@ from quarry.operators.links import (
 )
 from quarry.operators import seeding
 from quarry.operators.render import BUCKET_WIDTH
+from quarry.operators.store import BLOCK_DOCS
 from quarry.plans.catalog import DOC_LIMIT, LINK_DOMAIN, VOCAB_CAPACITY
 
 
@@ -141,6 +142,29 @@ TFIDF_BASE = ", ".join([
 KMEANS_STEPS = 40
 
 
+# A query's terms rarest first (``path``), the ranges of documents where all of them can meet (``asked``), how many of its
+# leading terms some document of a range holds (``led``), and the beginnings where paths part or end (``cuts``).
+SHARED_CTES = ", ".join([
+    "vocab AS (SELECT term, row_number() OVER (ORDER BY term) AS term_id, count(*) AS df FROM post GROUP BY term)",
+    "complete AS (SELECT query_id, n_terms FROM status WHERE status IN ('empty', 'hits'))",
+    f"heads AS (SELECT term, CAST(floor(doc_id / {BLOCK_DOCS}) AS BIGINT) AS block, min(doc_id) AS lo, max(doc_id) AS hi FROM post GROUP BY ALL)",
+    "asked AS (SELECT query_id, block FROM qt JOIN complete USING (query_id) JOIN heads USING (term) GROUP BY query_id, block, n_terms "
+    "HAVING count(*) = n_terms AND max(lo) <= min(hi))",
+    "path AS (SELECT query_id, term, row_number() OVER w AS pos, string_agg(CAST(term_id AS VARCHAR), ',') OVER w AS prefix "
+    "FROM qt JOIN vocab USING (term) WHERE query_id IN (SELECT query_id FROM asked) "
+    "WINDOW w AS (PARTITION BY query_id ORDER BY df, term_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
+    "met AS (SELECT query_id, pos, doc_id, row_number() OVER (PARTITION BY query_id, doc_id ORDER BY pos) AS nth "
+    "FROM path JOIN post USING (term))",
+    f"led AS (SELECT query_id, CAST(floor(doc_id / {BLOCK_DOCS}) AS BIGINT) AS block, max(pos) AS most FROM met WHERE pos = nth GROUP BY ALL)",
+    "steps AS (SELECT *, lead(term) OVER (PARTITION BY query_id ORDER BY pos) AS nxt FROM path)",
+    "nodes AS (SELECT prefix FROM steps GROUP BY prefix HAVING count(*) > count(nxt) OR count(DISTINCT nxt) > 1)",
+    "cuts AS (SELECT query_id, prefix, row_number() OVER w AS level, coalesce(lag(pos) OVER w, 0) AS since, pos "
+    "FROM path JOIN nodes USING (prefix) WINDOW w AS (PARTITION BY query_id ORDER BY pos))",
+    "edges AS (SELECT level, prefix, block, pos - since - CASE WHEN level = 1 THEN 1 ELSE 0 END AS n, count(*) AS through "
+    "FROM cuts JOIN asked USING (query_id) LEFT JOIN led USING (query_id, block) WHERE level = 1 OR most >= since GROUP BY ALL)",
+])
+
+
 def _kmeans_ctes(k: int, iterations: int, p: str = "", seeds: str | None = None) -> tuple[str, str, str]:
     """CTEs of the deterministic k-means (names prefixed with ``p``, from ``seeds`` or the first documents); returns (ctes,
     final labels name, final centroids name)."""
@@ -316,6 +340,10 @@ def oracle_sql() -> dict[str, str]:
         "and_query": _with(QUERY_BASE, "SELECT query_id, doc_id FROM hits"),
         "and_query_semijoin": _with(QUERY_BASE, "SELECT query_id, doc_id FROM hits"),
         "and_blocks": _with(QUERY_BASE, "SELECT query_id, doc_id FROM hits"),
+        "and_shared": _with(QUERY_BASE, "SELECT query_id, doc_id FROM hits"),
+        "and_shared_work": _with(f"{QUERY_BASE}, {SHARED_CTES}",
+                                 "SELECT CAST(level AS INTEGER) AS level, CAST(sum(n) AS BIGINT) AS n_shared, "
+                                 "CAST(sum(n * through) AS BIGINT) AS n_alone FROM edges GROUP BY level"),
         "query_status": _with(QUERY_BASE, "SELECT query_id, status, n_terms, n_hits FROM status"),
         "result_text": _with(QUERY_BASE,
                              "SELECT s.query_id, CASE WHEN s.n_hits > 0 THEN 'Retrieved Document IDs (' || s.n_hits "

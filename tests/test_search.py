@@ -2,7 +2,7 @@ import random
 
 from quarry.functions.normalize import NO_STEM_TECHNIQUES
 from quarry.operators import index as ix
-from quarry.operators import search
+from quarry.operators import search, store
 from quarry.operators.render import result_text, session_text
 
 WORDS = ["open", "access", "door", "window", "river", "stone", "cloud", "paper", "light", "sound"]
@@ -104,3 +104,58 @@ def test_large_batch_paths_match_brute_force(spark, docs_factory, monkeypatch, r
             got.setdefault(r.query_id, []).append(r.doc_id)
         for qid, q in qs:
             assert sorted(got.get(qid, [])) == brute(docs, q.split()), q
+
+
+def test_shared_beginnings_are_intersected_once(spark, docs_factory, tmp_path):
+    """Hits as one by one; the lists met per level are counted by hand on the prefix tree."""
+    docs = [(d * 1500, t) for d, t in corpus(80, seed=21)]  # several ranges of documents
+    store.commit(spark, str(tmp_path / "idx"), docs_factory(docs), batch_id=0, techniques=NO_STEM_TECHNIQUES)
+    index = store.snapshot(spark, str(tmp_path / "idx"))
+    rnd = random.Random(4)
+    qs = [(i, " ".join(rnd.sample(WORDS[:6], rnd.randint(1, 5)))) for i in range(60)] + [(100, "open zebra"), (101, "the"), (102, "")]
+    qterms = search.query_terms(spark.createDataFrame(qs, "query_id BIGINT, query STRING"), NO_STEM_TECHNIQUES)
+    hits, work = search.and_shared(qterms, index)
+    pairs = [(r.query_id, r.doc_id) for r in hits.collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(i, d) for i, q in qs[:60] for d in brute(docs, q.split())}
+    assert set(pairs) == {tuple(r) for r in search.and_blocks(qterms, index).collect()}
+
+    holds = {w: {d for d, t in docs if w in t.split()} for w in WORDS}
+    order = {w: (len(holds[w]), w) for w in WORDS}  # ids are given in the order of the words
+    asked = []
+    for _, q in qs[:60]:
+        path = tuple(sorted(q.split(), key=order.get))
+        for block in {d // 4096 for d, _ in docs}:
+            lists = [{d for d in holds[w] if d // 4096 == block} for w in path]
+            if all(lists) and max(map(min, lists)) <= min(map(max, lists)):
+                asked.append((path, block, lists))
+    paths = {p for p, _, _ in asked}
+    after = {}
+    for p in paths:
+        for i in range(1, len(p) + 1):
+            after.setdefault(p[:i], set()).add(p[i] if i < len(p) else None)
+    once, alone = {}, {}
+    for p, block, lists in asked:
+        since = 0
+        nodes = [i for i in range(1, len(p) + 1) if len(after[p[:i]]) > 1 or None in after[p[:i]]]
+        for level, i in enumerate(nodes, 1):
+            if since and not set.intersection(*lists[:since]):
+                break
+            n = i - since - (level == 1)
+            once.setdefault(level, {})[p[:i], block] = n
+            alone[level] = alone.get(level, 0) + n
+            since = i
+    want = {k: (sum(v.values()), alone[k]) for k, v in once.items()}
+    got = {r.level: (r.n_shared, r.n_alone) for r in work.collect()}
+    assert got == want and len(want) > 2 and sum(a for a, _ in want.values()) < sum(b for _, b in want.values())
+
+
+def test_shared_beginnings_without_queries_or_documents(spark, docs_factory, tmp_path):
+    store.commit(spark, str(tmp_path / "idx"), docs_factory([(1, "open river"), (2, "open")]), batch_id=0)
+    index = store.snapshot(spark, str(tmp_path / "idx"))
+    none = search.query_terms(spark.createDataFrame([], "query_id BIGINT, query STRING"))
+    assert [f.count() for f in search.and_shared(none, index)] == [0, 0]
+    one = search.query_terms(spark.createDataFrame([(1, "open"), (2, "zebra")], "query_id BIGINT, query STRING"))
+    hits, work = search.and_shared(one, index)
+    assert {tuple(r) for r in hits.collect()} == {(1, 1), (1, 2)}
+    assert [tuple(r) for r in work.collect()] == [(1, 0, 0)]
