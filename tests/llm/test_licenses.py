@@ -88,3 +88,50 @@ def test_empty_table_and_no_templates(spark):
     assert found(spark, [])[1] == []
     none = spark.createDataFrame([], "license string, text string")
     assert [r.finds for r in lic.licenses(docs_of(spark, [(1, "x")]), none, {"doc_id": F.col("doc_id")}).collect()] == [[]]
+
+
+def full_search(index, seq):
+    """Finds by alignments of whole texts with every template over all diagonals, without candidates."""
+    out = []
+    for t, body in enumerate(index.bodies):
+        todo = [(0, len(seq))]
+        while todo:
+            lo, hi = todo.pop()
+            hit = lic.align(body, seq[lo:hi], -len(body), hi - lo) if hi - lo >= lic.least(body) else None
+            if hit and hit[2] >= lic.least(body):
+                a, b = lo + hit[0], lo + hit[1]
+                if all(lic.holds(seq[a:b], p) for p in index.telling[t]):
+                    out.append((t, a, b, hit[2]))
+                todo += [(lo, a), (b, hi)]
+    kept = []
+    for h in sorted(out, key=lambda h: (-h[3], -h[3] / len(index.bodies[h[0]]), index.names[h[0]], h[1])):
+        if all(h[2] <= k[1] or k[2] <= h[1] for k in kept):
+            kept.append(h)
+    return sorted((index.names[t], a, b, m) for t, a, b, m in kept)
+
+
+def test_whole_texts_against_the_full_alignment():
+    index = lic.Index(lic.TEMPLATES)
+    rng = random.Random(6)
+    short = [i for i, b in enumerate(index.bodies) if len(b) < 60]
+    for _ in range(6):
+        seq = [0] * rng.randrange(0, 20)
+        for t in rng.sample(short, 3):
+            body = list(index.bodies[t])
+            if rng.random() < 0.5:
+                body[rng.randrange(len(body))] = 0
+            seq += body + [0] * rng.randrange(2, 20)
+        assert sorted((index.names[t], a, b, m) for t, a, b, m in index.find(seq)) == full_search(index, seq)
+
+
+def test_neighbours_get_their_own_name_or_none(spark):
+    said = [("Licensed under CC BY-SA 4.0", ["CC-BY-SA-4.0"]), ("Licensed under CC BY 3.0", ["CC-BY-3.0"]), ("Licensed under CC BY 2.5", []),
+            ("This work is licensed under the GNU General Public License, version 2", ["GPL-2.0"]),
+            ("This work is licensed under the GNU Lesser General Public License, version 3", ["LGPL-3.0"]),
+            ("This work is licensed under the GNU General Public License, version 1", []),
+            ("released under the Apache License", []), ("Licensed under the Apache License, Version 1.1", []),
+            ("Released under the BSD License", []), ("Released under the Artistic License", []),
+            ("Released under the MIT License.", ["MIT"]), ("Licensed under the BSD 2-Clause License", ["BSD-2-Clause"]),
+            (lic._BSD_TWO + lic._BSD_DISCLAIMER, ["BSD-2-Clause"]), (lic._BSD_TWO + lic._BSD_THIRD + lic._BSD_DISCLAIMER, ["BSD-3-Clause"])]
+    got, _ = found(spark, [(i, f"Some words before. {text}\nand some after") for i, (text, _) in enumerate(said)])
+    assert [[f.license for f in got[i]] for i in range(len(said))] == [names for _, names in said]
