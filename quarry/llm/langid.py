@@ -5,8 +5,9 @@ frequencies are counted over all permitted labelled texts. Weights are trained w
 leader rule (per-coordinate rates, elastic-net penalty): ``GROUPS - 1`` groups of the sample each run an epoch from the
 common state, then the states are averaged; the last group is kept for temperature calibration.
 
-Bounds: about ``max_train`` texts are used to fit, chosen by hash. State and weights are ``BUCKETS`` x languages
-numbers, whatever the corpus. Prediction reads every whole text; a long one is read in pieces of a fixed length.
+Bounds: about ``max_train`` texts are used to fit, chosen by hash within each language: all languages get the same number, rare ones
+all of their texts, and what these leave over goes to the others. The temperature is calibrated with weights that restore the
+languages' shares. State and weights are ``BUCKETS`` x languages numbers, at most ``MAX_LANGUAGES`` languages (an error beyond). Prediction reads every whole text; a long one is read in pieces of a fixed length.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or if nothing could be learned. Equal
 scores go to the first language in order. Rows that repeat are predicted each; in training they count once.
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 from quarry.llm.common import crc_of_id, map_texts, prepare, slices, stored, text_hash
 
 MAX_TRAIN = 8_000
+MAX_LANGUAGES = 1_000
 GRAMS = (1, 2, 3)
 BUCKETS = 1 << 15
 GROUPS = 9
@@ -66,7 +68,7 @@ def gram_counts(text: str) -> np.ndarray | None:
         return None
     keep = letter | np.r_[True, letter[:-1]]
     flat = np.where(letter, codes, 32)[keep]
-    flat = np.concatenate([[32], flat, [32]] if letter[0] else [flat, [32]])
+    flat = np.pad(flat, (int(letter[0]), int(letter[-1])), constant_values=32)
     for lo in range(0, len(flat), _PIECE):
         part = np.bincount(_hashed(flat[lo:lo + _PIECE + reach]), minlength=BUCKETS)
         if lo + _PIECE < len(flat):
@@ -143,17 +145,32 @@ def _vectors(group: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, int]]:
     return [(np.asarray(a), np.asarray(x, float), int(y)) for a, x, y in zip(group["at"], group["x"], group["y"])]
 
 
+def quota(sizes: list[int], limit: int) -> float:
+    """The largest number ``q`` for which ``min(size, q)`` adds up to the limit at most (the largest size, if all fit)."""
+    left = limit
+    for i, size in enumerate(sorted(sizes)):
+        q = left / (len(sizes) - i)
+        if size > q:
+            return q
+        left -= size
+    return float(max(sizes, default=0))
+
+
 def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[list[str], np.ndarray, np.ndarray, float]:
     """Languages, inverse document frequencies, weights ``(buckets, languages)`` and temperature."""
     prepare(docs.sparkSession)
     spark = docs.sparkSession
     rows = permitted(docs)
-    langs = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    langs = [r["lang"] for r in sizes]
     df, n_docs = document_frequencies(rows)
     idf = np.log((1 + n_docs) / (1 + df)) + 1
     if not langs or not n_docs:
         return [], idf, np.zeros((BUCKETS, 0)), 1.0
-    share = min(1.0, max_train / n_docs)
+    each = quota([r["n"] for r in sizes], max_train)
+    shares = [min(1.0, each / r["n"]) for r in sizes]
     hashed = F.pmod(F.xxhash64("doc_id", text_hash()), F.lit(1 << 31))
     shared = spark.sparkContext.broadcast((langs, idf))
 
@@ -163,9 +180,10 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[list[str], np.ndar
         return [pa.array([None if v is None else v[0] for v in found], pa.list_(pa.int32())),
                 pa.array([None if v is None else v[1].astype(np.float32) for v in found], pa.list_(pa.float32()))]
 
-    chosen = (rows.withColumn("k", hashed).filter(F.col("k") < F.lit(int(share * (1 << 31))))
-              .withColumn("h", text_hash()).dropDuplicates(["doc_id", "h"]))
     number = F.array_position(F.lit(langs), F.col("lang")).cast("int") - 1
+    below = F.get(F.lit([int(x * (1 << 31)) for x in shares]), number)
+    chosen = (rows.withColumn("k", hashed).filter(F.col("k") < below)
+              .withColumn("h", text_hash()).dropDuplicates(["doc_id", "h"]))
     sample = stored(map_texts(chosen, of, [("at", T.ArrayType(T.IntegerType())), ("x", T.ArrayType(T.FloatType()))],
                               {"doc_id": F.col("doc_id"), "y": number,
                                "grp": F.pmod(F.xxhash64("doc_id", F.lit("group")), F.lit(GROUPS)).cast("int")})
@@ -189,11 +207,11 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[list[str], np.ndar
         z = sum(np.frombuffer(r["z"], np.float32).reshape(shape) * (r["rows"] / total) for r in parts).astype(float)
         n = sum(np.frombuffer(r["n"], np.float32).reshape(shape) * (r["rows"] / total) for r in parts).astype(float)
     w = weights_of(z, n)
-    return langs, idf, w, calibrate(sample.filter(F.col("grp") == GROUPS - 1), w)
+    return langs, idf, w, calibrate(sample.filter(F.col("grp") == GROUPS - 1), w, [1 / x for x in shares])
 
 
-def calibrate(rows: DataFrame, w: np.ndarray) -> float:
-    """The temperature with the least log loss on rows that were not trained on."""
+def calibrate(rows: DataFrame, w: np.ndarray, stands_for: list[float]) -> float:
+    """The temperature with the least log loss on rows that were not trained on; a row of language ``y`` counts ``stands_for[y]`` times."""
     shared = rows.sparkSession.sparkContext.broadcast(w)
 
     def losses(batches):
@@ -203,7 +221,7 @@ def calibrate(rows: DataFrame, w: np.ndarray) -> float:
                 s = np.asarray(x) @ shared.value[at]
                 scaled = s[None, :] / TEMPERATURES[:, None]
                 top = scaled.max(axis=1)
-                total += np.log(np.exp(scaled - top[:, None]).sum(axis=1)) + top - scaled[:, y]
+                total += stands_for[y] * (np.log(np.exp(scaled - top[:, None]).sum(axis=1)) + top - scaled[:, y])
                 n += 1
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "loss"])
