@@ -2,17 +2,20 @@
 
 1. Voters. On labelled training documents, words, word beginnings and document patterns (shouting, stretched letters,
    runs of exclamation marks) are counted per label. A feature that passes a G-test at the level where none of all
-   counted features would pass by chance becomes a lexicon or pattern voter; the strongest ``VOTERS`` vote on the label.
-   The label itself is one more voter, the annotator, whose accuracy is estimated like the others'.
-2. Label model. A two-class generative model with a firing rate per voter and class, fitted by EM. Voters that fire
-   together within a class (word and its beginning, say) are correlated: each vote's log ratio is divided by one plus
-   its correlations, so that a cluster of dependent voters counts about once. It gives each document a
-   posterior label.
+   counted features would pass by chance becomes a lexicon or pattern voter; the strongest ``voters`` vote on the label,
+   and the document patterns (``PATTERNS``) vote whether they pass or not. The label itself is one more voter, the annotator, whose
+   accuracy is estimated like the others'; on a text without a label it abstains.
+2. Label model. A two-class generative model with a firing rate per voter and class, fitted by EM to labelled and unlabelled
+   texts alike. Voters that fire together within a class (word and its beginning, say) are correlated: each vote's log ratio is
+   divided by one plus its correlations, so that a cluster of dependent voters counts about once. The correlations are
+   estimated from the annotator's classes first and from the posterior classes after half of the rounds. The model gives
+   each document, labelled or not, a posterior label.
 3. Classifier. A logistic regression (Spark ML) over all passing features, trained on the posterior labels: each
    document once as toxic and once as clean, weighted by its posterior.
 
-Sample bound: at most about ``max_train`` labelled documents are used to fit (all, if there are fewer), chosen by hash.
-The models held by driver and tasks are bounded by ``VOTERS`` and ``FEATURES``. Scoring reads every whole text.
+Sample bound: at most about ``max_train`` labelled and ``max_train`` unlabelled documents outside the held-out part are used to fit (all,
+if there are fewer), chosen by hash; both labels get the same number of places, the rarer one all that it needs, and
+weights restore their shares. The models held by driver and tasks are bounded by ``VOTERS`` and ``FEATURES``. Scoring reads every whole text.
 
 Defined results: null and empty texts get the score of a text without features. Labels of one document that
 differ count as toxic if any does. Without both classes in training, the score is the smoothed share of toxic ones.
@@ -37,6 +40,7 @@ from quarry.llm.common import crc_of_id, map_texts, prepare, slices, stored, tex
 MAX_TRAIN = 20_000
 VOTERS = 256
 FEATURES = 4096
+PATTERNS = ("x:stretched", "x:bangs", "x:shouting")
 BEGINNINGS = (3, 4, 5, 6, 7)
 #: Numbers of occurrences that make a feature of their own.
 OFTEN = (2, 3)
@@ -120,13 +124,23 @@ def _cache(key: str) -> dict:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, held_out, max_train: int) -> DataFrame:
-    """``(doc_id, text, y)``: labelled documents outside the held-out part, about ``max_train`` at most."""
-    known = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("y"))
-    known = known.filter(~held_out & F.col("doc_id").isNotNull())
-    share = min(1.0, max_train / max(1, known.count()))
+    """``(doc_id, text, y, w)``: documents outside the held-out part, about ``max_train`` labelled ones, drawn per label, and
+    ``max_train`` without a label (null ``y``); ``w`` is how many documents of the sample's size a row stands for."""
+    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("y"))
+    known = known.withColumn("y", F.when(F.col("y") != 0, 1).otherwise(0))
+    texts = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(~held_out & F.col("doc_id").isNotNull())
+             .join(known, "doc_id", "left"))
+    sizes = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = {y: min(1.0, max_train / max(1, sizes.get(None, 0))) if y is None
+             else min(1.0, max(max_train // 2, max_train - sizes.get(1 - y, 0)) / max(1, sizes.get(y, 0))) for y in (None, 0, 1)}
+    drawn = sum(sizes.get(y, 0) * share[y] for y in (0, 1)) / max(1, sizes.get(0, 0) + sizes.get(1, 0))
+
+    def per_label(values: dict):
+        return F.when(F.col("y").isNull(), F.lit(values[None])).when(F.col("y") == 1, F.lit(values[1])).otherwise(F.lit(values[0]))
+
     # a 31-bit hash below the share's part of its range
-    known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < F.lit(int(share * (1 << 31))))
-    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+    return (texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < per_label({y: int(x * (1 << 31)) for y, x in share.items()}))
+            .withColumn("w", per_label({None: 1.0} | {y: drawn / share[y] for y in (0, 1)}))
             .withColumn("h", text_hash()).dropDuplicates(["doc_id", "h"]).drop("h"))
 
 
@@ -179,24 +193,29 @@ class LabelModel:
         self.prior, self.rates = prior, rates
         self.weight = np.ones(len(rates))
 
-    def posterior(self, fired: np.ndarray) -> np.ndarray:
-        """P(toxic) of rows of a 0/1 matrix of votes."""
+    def posterior(self, fired: np.ndarray, labelled: np.ndarray | None = None) -> np.ndarray:
+        """P(toxic) of rows of a 0/1 matrix of votes; the annotator abstains on rows that are not ``labelled``."""
         on = np.log(self.rates[:, 1] / self.rates[:, 0])
         off = np.log((1 - self.rates[:, 1]) / (1 - self.rates[:, 0]))
         z = math.log(self.prior / (1 - self.prior)) + fired @ (self.weight * on) + (1 - fired) @ (self.weight * off)
+        if labelled is not None:
+            z = z - np.where(labelled, 0.0, off[-1] * self.weight[-1])  # such a row has no vote in the last column
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _votes(batch: pa.RecordBatch, m: int) -> np.ndarray:
+def _votes(batch: pa.RecordBatch, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 0/1 matrix of votes, the annotator last, and which rows have a label."""
     out = np.zeros((batch.num_rows, m + 1))
     for i, ids in enumerate(batch.column("votes").to_pylist()):
         out[i, ids] = 1
-    out[:, m] = batch.column("y").to_numpy()
-    return out
+    y = batch.column("y")
+    labelled = y.is_valid().to_numpy(zero_copy_only=False)
+    out[:, m] = y.fill_null(0).to_numpy()
+    return out, labelled
 
 
-def fit_label_model(votes: DataFrame, m: int, n_pos: int, n: int) -> LabelModel:
-    """EM over distinct vote patterns ``(votes, y, n)``; each round is one aggregate over them."""
+def fit_label_model(votes: DataFrame, m: int, rounds: int = EM_ROUNDS) -> LabelModel:
+    """EM over distinct vote patterns ``(votes, y, n)``, ``y`` null without a label; each round is one aggregate over them."""
     model = LabelModel(0.5, np.full((m + 1, 2), 0.5))
 
     def totals(expect) -> dict[str, np.ndarray]:
@@ -204,7 +223,7 @@ def fit_label_model(votes: DataFrame, m: int, n_pos: int, n: int) -> LabelModel:
         def run(batches):
             sums: dict[str, np.ndarray] = {}
             for batch in batches:
-                for name, values in expect(_votes(batch, m), batch.column("n").to_numpy().astype(float)).items():
+                for name, values in expect(*_votes(batch, m), batch.column("n").to_numpy().astype(float)).items():
                     flat = np.asarray(values, float).ravel()
                     sums[name] = sums[name] + flat if name in sums else flat
             for name, flat in sums.items():  # only what is not zero
@@ -213,73 +232,92 @@ def fit_label_model(votes: DataFrame, m: int, n_pos: int, n: int) -> LabelModel:
 
         rows = (votes.coalesce(PATTERN_TASKS).mapInArrow(run, "name string, i long, x double")
                 .groupBy("name", "i").agg(F.sum("x").alias("x")).collect())
-        out = {"n": np.zeros(2), "f1": np.zeros(m + 1), "f0": np.zeros(m + 1), "c1": np.zeros((m + 1) ** 2), "c0": np.zeros((m + 1) ** 2)}
+        out = {"n": np.zeros(4), "f1": np.zeros(m + 1), "f0": np.zeros(m + 1), "c1": np.zeros((m + 1) ** 2), "c0": np.zeros((m + 1) ** 2)}
         for r in rows:
             out[r["name"]][r["i"]] = r["x"]
         return out
 
     def rates(t: dict[str, np.ndarray]) -> tuple[float, np.ndarray]:
         n1, n0 = t["n"][0], t["n"][1]
-        theta = np.stack([(t["f0"] + 0.5) / (n0 + 1), (t["f1"] + 0.5) / (n1 + 1)], axis=1)
+        by_voter = np.full((m + 1, 2), (n0, n1))
+        by_voter[m] = t["n"][3], t["n"][2]  # the annotator is judged by what it labelled
+        theta = (np.stack([t["f0"], t["f1"]], axis=1) + 0.5) / (by_voter + 1)
         return (n1 + 0.5) / (n0 + n1 + 1), np.clip(theta, 1e-6, 1 - 1e-6)
 
-    def expected(p: np.ndarray, fired: np.ndarray, k: np.ndarray) -> dict:
-        return {"n": [(p * k).sum(), ((1 - p) * k).sum()], "f1": (p * k) @ fired, "f0": ((1 - p) * k) @ fired}
-
-    # the first rates take the annotator at his word, up to a tenth
-    model.prior, model.rates = rates(totals(lambda f, k: expected(0.1 + 0.8 * f[:, m], f, k)))
-    t = totals(lambda f, k: {"n": [(f[:, m] * k).sum(), ((1 - f[:, m]) * k).sum()],
-                             "c1": (f * (f[:, m] * k)[:, None]).T @ f, "c0": (f * ((1 - f[:, m]) * k)[:, None]).T @ f})
-    # correlation of the votes within each class; a vote counts less the more others move with it
-    for name, size in (("c1", t["n"][0]), ("c0", t["n"][1])):
-        c = t[name].reshape(m + 1, m + 1) / max(size, 1.0)
-        mean = np.diag(c)
-        sd = np.sqrt(np.maximum(mean * (1 - mean), 1e-12))
-        rho = np.clip((c - np.outer(mean, mean)) / np.outer(sd, sd), 0, 1)
-        rho[mean * size < 2, :] = rho[:, mean * size < 2] = 0
-        np.fill_diagonal(rho, 0)
-        rho[m, :] = rho[:, m] = 0
-        rho[rho < 0.1] = 0
-        model.weight = np.minimum(model.weight, 1 / (1 + rho.sum(axis=1)))
-    for _ in range(EM_ROUNDS):
+    def expected(p: np.ndarray, fired: np.ndarray, labelled: np.ndarray, k: np.ndarray, pairs: bool = False) -> dict:
+        k1, k0 = p * k, (1 - p) * k
+        out = {"n": [k1.sum(), k0.sum(), k1[labelled].sum(), k0[labelled].sum()], "f1": k1 @ fired, "f0": k0 @ fired}
+        if pairs:
+            out |= {"c1": (fired * k1[:, None]).T @ fired, "c0": (fired * k0[:, None]).T @ fired}
+        return out
+
+    def discounts(t: dict[str, np.ndarray]) -> np.ndarray:
+        """A vote counts the less the more others move with it within a class."""
+        weight = np.ones(m + 1)
+        for name, size in (("c1", t["n"][0]), ("c0", t["n"][1])):
+            c = t[name].reshape(m + 1, m + 1) / max(size, 1.0)
+            mean = np.diag(c)
+            sd = np.sqrt(np.maximum(mean * (1 - mean), 1e-12))
+            rho = np.clip((c - np.outer(mean, mean)) / np.outer(sd, sd), 0, 1)
+            rho[mean * size < 2, :] = rho[:, mean * size < 2] = 0
+            np.fill_diagonal(rho, 0)
+            rho[m, :] = rho[:, m] = 0
+            rho[rho < 0.1] = 0
+            weight = np.minimum(weight, 1 / (1 + rho.sum(axis=1)))
+        return weight
+
+    # the first rates and correlations are those of labelled texts; the rates take the annotator at his word up to a tenth
+    model.prior, model.rates = rates(totals(lambda f, has, k: expected(0.1 + 0.8 * f[:, m], f, has, k * has)))
+    model.weight = discounts(totals(lambda f, has, k: expected(f[:, m], f, has, k * has, pairs=True)))
+    for i in range(rounds):
         now = LabelModel(model.prior, model.rates)
         now.weight = model.weight
-        model.prior, model.rates = rates(totals(lambda f, k, now=now: expected(now.posterior(f), f, k)))
+        again = i == rounds // 2
+        t = totals(lambda f, has, k, now=now, again=again: expected(now.posterior(f, has), f, has, k, pairs=again))
+        model.prior, model.rates = rates(t)
+        if again:
+            model.weight = discounts(t)
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out, max_train: int = MAX_TRAIN) -> tuple[dict[str, int], np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, held_out, max_train: int = MAX_TRAIN, voters: int = VOTERS, limit: int = FEATURES,
+        rounds: int = EM_ROUNDS) -> tuple[dict[str, int], np.ndarray, float]:
     """Vocabulary, weights and intercept of the classifier."""
     prepare(docs.sparkSession)
     rows = stored(training_rows(docs, labels, held_out, max_train), "toxicity-train")
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos")).first()
+    told = rows.filter("y IS NOT NULL")
+    size = told.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos"), F.sum("w").alias("w"),
+                    F.sum(F.col("w") * F.col("y")).alias("w1")).first()
     n, n_pos = size["n"], size["pos"]
-    base = math.log((n_pos + 0.5) / (n - n_pos + 0.5))
+    w, w1 = size["w"] or 0.0, size["w1"] or 0.0
+    base = math.log((w1 + 0.5) / (w - w1 + 0.5))
     if not 0 < n_pos < n:
         return {}, np.empty(0), base
-    chosen = select_features(stored(count_features(rows), "toxicity-counts"), n_pos, n - n_pos, FEATURES)
+    chosen = [f for f, _, _ in select_features(stored(count_features(told), "toxicity-counts"), n_pos, n - n_pos, limit)]
     if not chosen:
         return {}, np.empty(0), base
-    vocabulary = {f: i for i, (f, _, _) in enumerate(chosen)}
-    m = min(VOTERS, len(chosen))
+    fixed = [f for f in PATTERNS if f not in chosen[:voters]]
+    chosen = chosen[:voters] + fixed + [f for f in chosen[voters:] if f not in fixed]
+    vocabulary = {f: i for i, f in enumerate(chosen)}
+    m = min(voters + len(fixed), len(chosen))
 
     def found(texts: pa.Array) -> list[pa.Array]:
         cache: dict = {}
         bases = bases_of(vocabulary)
         return [pa.array([sorted(known_features(t, vocabulary, bases, cache)) for t in texts.to_pylist()], pa.list_(pa.int32()))]
 
-    seen = stored(map_texts(rows, found, [("ids", T.ArrayType(T.IntegerType()))], {"y": F.col("y")})
+    seen = stored(map_texts(rows, found, [("ids", T.ArrayType(T.IntegerType()))], {"y": F.col("y"), "w": F.col("w")})
                   .withColumn("votes", F.filter("ids", lambda i: i < m)), "toxicity-votes")
-    model = fit_label_model(stored(seen.groupBy("votes", "y").agg(F.count(F.lit(1)).alias("n")), "toxicity-patterns"), m, n_pos, n)
+    model = fit_label_model(stored(seen.groupBy("votes", "y").agg(F.sum("w").alias("n")), "toxicity-patterns"), m, rounds)
 
     def posterior(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("ids"), pa.array(model.posterior(_votes(batch, m)))], names=["ids", "p"])
+            yield pa.RecordBatch.from_arrays([batch.column("ids"), batch.column("w"), pa.array(model.posterior(*_votes(batch, m)))], names=["ids", "w", "p"])
 
-    soft = seen.mapInArrow(posterior, "ids array<int>, p double")
+    soft = seen.mapInArrow(posterior, "ids array<int>, w double, p double")
     both = soft.select(F.transform("ids", lambda i: i.cast("string")).alias("names"), F.explode(F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")))).alias("s")).select("names", "s.*")
+        F.struct(F.lit(1.0).alias("label"), (F.col("w") * F.col("p")).alias("weight")),
+        F.struct(F.lit(0.0).alias("label"), (F.col("w") * (1 - F.col("p"))).alias("weight")))).alias("s")).select("names", "s.*")
     vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(chosen))], "names", "features")
     learner = LogisticRegression(maxIter=100, regParam=1e-6, elasticNetParam=0.0, standardization=False, weightCol="weight")
     line = learner.fit(vectors.transform(both.filter("weight > 1e-6")).select("label", "weight", "features"))

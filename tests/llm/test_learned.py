@@ -104,7 +104,7 @@ def test_label_model_repairs_a_noisy_annotator(spark):
         rows.append((votes, noisy, 1))
         truth.append(int(y))
     frame = spark.createDataFrame(rows, "votes array<int>, y int, n long").groupBy("votes", "y").sum("n").withColumnRenamed("sum(n)", "n")
-    model = toxicity.fit_label_model(frame, 6, 600, 1500)
+    model = toxicity.fit_label_model(frame, 6)
     fired = np.zeros((len(rows), 7))
     for i, (votes, y, _) in enumerate(rows):
         fired[i, votes] = 1
@@ -121,7 +121,7 @@ def test_correlated_votes_count_less(spark):
         a, b = rng.random() < (0.8 if y else 0.2), rng.random() < (0.8 if y else 0.2)
         rows.append((([0, 1, 2] if a else []) + ([3] if b else []), int(y), 1))  # three copies of one voter
     frame = spark.createDataFrame(rows, "votes array<int>, y int, n long")
-    model = toxicity.fit_label_model(frame, 4, 400, 800)
+    model = toxicity.fit_label_model(frame, 4)
     assert (model.weight[:3] < 0.4).all() and model.weight[3] > 0.9
 
 
@@ -130,3 +130,149 @@ def test_toxicity_without_labels(spark):
     got = toxicity.toxicity(docs_of(spark, awkward()), none).collect()
     assert len(got) == 10 and len({r.score for r in got}) == 1
     assert toxicity.toxicity(docs_of(spark, []), none).count() == 0
+
+
+def plain_em(rows, m, rounds):
+    """The label model with one loop per row: rows ``(votes, y or None, n)``; returns prior, rates and weights."""
+    def discounts(posts):
+        weight = [1.0] * (m + 1)
+        for cls in (1, 0):
+            mass = [(p if cls else 1 - p) * n for p, (_, _, n) in zip(posts, rows)]
+            size = max(sum(mass), 1.0)
+            mean = [sum(k for k, (v, _, _) in zip(mass, rows) if j in v) / size for j in range(m)]
+            for a in range(m):
+                total = 0.0
+                for b in range(m):
+                    if a == b or mean[a] * sum(mass) < 2 or mean[b] * sum(mass) < 2:
+                        continue
+                    both = sum(k for k, (v, _, _) in zip(mass, rows) if a in v and b in v) / size
+                    sd = [max(x * (1 - x), 1e-12) ** 0.5 for x in (mean[a], mean[b])]
+                    rho = min(1.0, max(0.0, (both - mean[a] * mean[b]) / (sd[0] * sd[1])))
+                    total += rho if rho >= 0.1 else 0.0
+                weight[a] = min(weight[a], 1 / (1 + total))
+        return weight
+
+    def rates(posts, use):
+        n = [0.0, 0.0]
+        told = [0.0, 0.0]
+        f = [[0.0, 0.0] for _ in range(m + 1)]
+        for p, (v, y, k) in zip(posts, rows):
+            for cls in (0, 1):
+                x = (p if cls else 1 - p) * k * (1 if use == "all" or y is not None else 0)
+                n[cls] += x
+                told[cls] += x if y is not None else 0
+                for j in [*v, *([m] if y else [])]:
+                    f[j][cls] += x
+        return (n[1] + 0.5) / (sum(n) + 1), [[(f[j][c] + 0.5) / ((told if j == m else n)[c] + 1) for c in (0, 1)] for j in range(m + 1)]
+
+    everything = rows
+    first = [0.1 + 0.8 * (y or 0) for _, y, _ in rows]
+    prior, theta = rates(first, "labelled")
+    rows = [r for r in everything if r[1] is not None]
+    weight = discounts([float(y) for _, y, _ in rows])
+    rows = everything
+    for i in range(rounds):
+        posts = []
+        for v, y, _ in rows:
+            z = np.log(prior / (1 - prior))
+            for j in range(m + 1):
+                if j == m and y is None:
+                    continue
+                on = j in v if j < m else bool(y)
+                z += weight[j] * (np.log(theta[j][1] / theta[j][0]) if on else np.log((1 - theta[j][1]) / (1 - theta[j][0])))
+            posts.append(1 / (1 + np.exp(-z)))
+        prior, theta = rates(posts, "all")
+        if i == rounds // 2:
+            weight = discounts(posts)
+    return prior, np.array(theta), np.array(weight)
+
+
+def test_label_model_equals_the_plain_one(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(300):
+        y = rng.random() < 0.3
+        votes = [j for j in range(4) if rng.random() < (0.7 if y else 0.1 + 0.05 * j)]
+        votes += [4] if 3 in votes and rng.random() < 0.9 else []
+        rows.append((votes, int(y) if rng.random() < 0.4 else None, rng.choice([1.0, 2.5])))
+    model = toxicity.fit_label_model(spark.createDataFrame(rows, "votes array<int>, y int, n double").repartition(3), 5, 4)
+    prior, theta, weight = plain_em(rows, 5, 4)
+    assert abs(model.prior - prior) < 1e-9 and np.allclose(model.rates, theta, atol=1e-9) and np.allclose(model.weight, weight, atol=1e-9)
+
+
+def test_unlabelled_texts_teach_the_label_model(spark):
+    """Few labels, many texts: rates of voters are those of all texts, and the annotator's absence says nothing."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(2000):
+        y = rng.random() < 0.5
+        rows.append(([j for j in range(5) if rng.random() < (0.9 if y else 0.1)], int(y) if i < 60 else None, 1.0))
+    model = toxicity.fit_label_model(spark.createDataFrame(rows, "votes array<int>, y int, n double"), 5)
+    assert np.allclose(model.rates[:5, 1], 0.9, atol=0.03) and np.allclose(model.rates[:5, 0], 0.1, atol=0.03)
+    assert model.rates[5, 1] > 0.9 and abs(model.prior - 0.5) < 0.05
+
+
+def test_training_rows_are_drawn_per_label(spark):
+    docs, labels = toxic_rows(random.Random(10), 900)
+    labels = [(d, q, int(d % 90 == 0)) for d, q, _ in labels if d < 600]  # rare toxic ones, a third without a label
+    frame = spark.createDataFrame(labels, "doc_id BIGINT, quality INT, toxic INT")
+    rows = toxicity.training_rows(docs_of(spark, docs), frame, toxicity.held_out_rows(), 60).collect()
+    permitted = [d for d, _, t in labels if zlib.crc32(str(d).encode()) % 3 != 1]
+    toxic = {d for d, _, t in labels if t and d in permitted}
+    assert {r.doc_id for r in rows if r.y == 1} == toxic
+    clean, free = [r for r in rows if r.y == 0], [r for r in rows if r.y is None]
+    assert 20 <= len(clean) <= 100 and 20 <= len(free) <= 100 and all(r.doc_id >= 600 for r in free)
+    share = sum(r.w for r in rows if r.y == 1) / sum(r.w for r in rows if r.y is not None)
+    assert abs(share - len(toxic) / len(permitted)) < 0.01
+
+
+def test_vectors_and_steps_equal_plain_ones():
+    """TF-IDF by a dictionary of n-grams, FTRL one coordinate at a time."""
+    text, idf = "Où est-ce que l'eau? " * 3, np.linspace(0.5, 2.0, langid.BUCKETS)
+    flat = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    counts = {}
+    for n in langid.GRAMS:
+        for i in range(len(flat) - n + 1):
+            h = 0
+            for c in flat[i:i + n]:
+                h = (h * 0x100000001B3 & (1 << 64) - 1) ^ ord(c)
+            b = ((h + n) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> (64 - (langid.BUCKETS - 1).bit_length())
+            counts[b] = counts.get(b, 0) + 1
+    plain = {b: (1 + np.log(k)) * idf[b] for b, k in counts.items()}
+    norm = sum(x * x for x in plain.values()) ** 0.5
+    at, x = langid.vector(text, idf)
+    assert sorted(plain) == at.tolist() and np.allclose([plain[b] / norm for b in sorted(plain)], x)
+
+    rng = np.random.default_rng(3)
+    rows = [(rng.choice(30, 4, replace=False), rng.random(4), int(rng.integers(0, 3))) for _ in range(40)]
+    z, n = np.zeros((30, 3)), np.zeros((30, 3))
+    langid.ftrl_pass(rows, z, n)
+    pz, pn = [[0.0] * 3 for _ in range(30)], [[0.0] * 3 for _ in range(30)]
+
+    def weight(b, c):
+        if abs(pz[b][c]) <= langid.L1:
+            return 0.0
+        return -(pz[b][c] - np.sign(pz[b][c]) * langid.L1) / ((langid.BETA + pn[b][c] ** 0.5) / langid.ALPHA + langid.L2)
+
+    for at, x, y in rows:
+        w = {(b, c): weight(b, c) for b in at for c in range(3)}
+        e = [np.exp(sum(v * w[b, c] for b, v in zip(at, x))) for c in range(3)]
+        for b, v in zip(at, x):
+            for c in range(3):
+                g = v * (e[c] / sum(e) - (c == y))
+                sigma = ((pn[b][c] + g * g) ** 0.5 - pn[b][c] ** 0.5) / langid.ALPHA
+                pz[b][c] += g - sigma * w[b, c]
+                pn[b][c] += g * g
+    assert np.allclose(z, pz) and np.allclose(n, pn)
+
+
+def test_rare_languages_are_learned(spark):
+    """A language with one text in 200 gets all its texts into a sample of one in 15."""
+    rng = random.Random(11)
+    rows = [(i, text_in(rng, "de" if i % 200 == 3 else ("en", "fr")[i % 2], 25), None, "s", 1) for i in range(4000)]
+    rows = [(d, t, "de" if d % 200 == 3 else ("en", "fr")[d % 2], s, n) for d, t, _, s, n in rows]
+    by = {r.doc_id: r for r in langid.languages(docs_of(spark, rows), max_train=270).collect()}
+    rare = [d for d in by if d % 200 == 3]
+    assert sum(by[d].lang_pred == "de" for d in rare) == len(rare)
+    assert sum(by[d].lang_pred == lang for d, _, lang, _, _ in rows) >= 0.98 * len(rows)
+    assert langid.quota([5, 100, 100], 105) == 50 and langid.quota([3, 4], 100) == 4 and langid.quota([], 5) == 0
