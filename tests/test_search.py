@@ -159,3 +159,13 @@ def test_shared_beginnings_without_queries_or_documents(spark, docs_factory, tmp
     hits, work = search.and_shared(one, index)
     assert {tuple(r) for r in hits.collect()} == {(1, 1), (1, 2)}
     assert [tuple(r) for r in work.collect()] == [(1, 0, 0)]
+
+
+def test_chain_fetches_the_postings_of_its_own_words(spark, tmp_path):
+    from quarry.plans import catalog
+    spark.createDataFrame([(1, "ha th st open"), (2, "ha th"), (3, "open river")], "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "open river")], "item_id BIGINT, text STRING").write.parquet(str(tmp_path / "benchmark.parquet"))
+    terms, postings = catalog._word_postings(spark, str(tmp_path), catalog.CHAIN_QUERY_ID)
+    assert {r.query_id for r in terms.collect()} == {catalog.CHAIN_QUERY_ID}
+    assert {r.term for r in postings.collect()} == {"ha", "th", "st"}
+    assert [r.doc_id for r in catalog.q_and_chain(spark, str(tmp_path)).collect()] == [1]
