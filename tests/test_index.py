@@ -243,3 +243,21 @@ def test_long_pages_are_cut_without_changing_tokens_or_positions(spark):
     cut = positions.page_pieces(df.filter("doc_id = 9"), piece_chars=20).collect()
     assert max(len(r.part) for r in cut if "no_space" not in r.part) <= 20 + len("other")
     assert "".join(r.part for r in sorted((r for r in cut if r.page_no == 4), key=lambda r: r.piece)) == "end"
+
+
+def test_grouped_in_place_equals_the_shuffled_postings(spark, docs_factory):
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 11}" for j in range(i % 40))) for i in range(300)] + [(900, "x y " * 500), (901, None), (902, "the of")]
+    docs = docs_factory(rows)
+    want = sorted((r.term or "", r.doc_id, list(r.positions), r.tf) for r in ix.build_index(docs).combined.collect())
+    got = ix.build_index(docs, unique_ids=True)
+    assert sorted((r.term or "", r.doc_id, list(r.positions), r.tf) for r in got.combined.collect()) == want
+    assert got.combined.schema.simpleString() == "struct<term:string,doc_id:bigint,positions:array<bigint>,tf:bigint>"
+    assert "Exchange" not in got.postings._jdf.queryExecution().executedPlan().toString()
+    terms = ix.normalized_terms(ix.tokenize_docs(docs.coalesce(1)))
+    for n in (1, 64, 1000):     # documents that end within, at and beyond a piece
+        small = sorted((r.term, r.doc_id, list(r.positions), r.tf) for r in ix.grouped_in_place(terms, n).collect())
+        assert small == [x for x in want if x[0]]
+
+
+def test_repeated_ids(docs_factory):
+    assert ix.repeated_ids(docs_factory([(1, "a"), (1, "b")])) and not ix.repeated_ids(docs_factory([(1, "a"), (2, "a")]))
