@@ -185,3 +185,16 @@ def test_shuffle_join_paths_equal_broadcast_paths(spark, weights, request):
     assert set(got) == set(base_w) and all(abs(got[k] - base_w[k]) < 1e-12 for k in got)
     l2, _ = cluster.kmeans_sql(w2, idx.docs, 3, 2)
     assert {r.doc_id: r.cluster for r in l2.collect()} == base_labels
+
+
+def test_ml_labels_beyond_the_bound_of_dense_centres(spark, tmp_path, monkeypatch):
+    from quarry.operators import store
+    rows = [(d, " ".join(f"{home}{(d * 7 + j) % 5}" for j in range(3) for home in ("red", "blue")[d % 2:d % 2 + 1])) for d in range(30)]
+    store.commit(spark, str(tmp_path / "i"), spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), batch_id=0)
+    idx = store.snapshot(spark, str(tmp_path / "i"))
+    tfidf.stored_vectors(idx).write.parquet(str(tmp_path / "v"))
+    vectors = spark.read.parquet(str(tmp_path / "v"))
+    monkeypatch.setattr(cluster, "ML_CENTER_BYTES", 0)
+    lab = {r.doc_id: r.cluster for r in cluster.stored_ml_labels(vectors, idx)(2).collect()}
+    assert set(lab) == set(range(30)) and len({lab[d] for d in range(0, 30, 2)}) == len({lab[d] for d in range(1, 30, 2)}) == 1 and lab[0] != lab[1]
+    assert [tuple(r) for r in cluster.ml_check(spark, vectors, idx, (2, 3)).collect()] == [(2, 30, True, True), (3, 30, True, True)]
