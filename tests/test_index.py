@@ -261,3 +261,14 @@ def test_grouped_in_place_equals_the_shuffled_postings(spark, docs_factory):
 
 def test_repeated_ids(docs_factory):
     assert ix.repeated_ids(docs_factory([(1, "a"), (1, "b")])) and not ix.repeated_ids(docs_factory([(1, "a"), (2, "a")]))
+
+
+def test_a_build_stems_distinct_words_not_tokens(spark, docs_factory):
+    docs = docs_factory([(i, f"Generalizations of relational happiness {i % 3} ponies, sky hopping! word{i} ponies") for i in range(60)])
+    want = as_dict(ix.build_postings(ix.normalized_terms(tokenize_docs(docs))))     # the stemmer as column expressions
+    pages = docs.withColumn("page_no", F.lit(1).cast("bigint"))
+    for idx in (ix.build_index(docs, unique_ids=True), ix.build_index(docs), ix.build_paged_index(pages)):
+        assert as_dict(idx.postings) == want
+        assert "__pw" not in idx.postings._jdf.queryExecution().optimizedPlan().toString()
+    few = ix.stemmed(ix.normalized_terms(tokenize_docs(docs), NO_STEM_TECHNIQUES).repartition(1), limit=1)
+    assert as_dict(ix.build_postings(few)) == want

@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from quarry.functions.porter import porter_sql, porter_stem
+from quarry.functions.porter import MIN_LENGTH, STEP2_RULES, STEP3_RULES, STEP4_SUFFIXES, porter_sql, porter_stem, word_stemmer
 
 # Examples of the 1980 paper, with the stem after all steps.
 PAPER = {
@@ -48,3 +48,12 @@ def test_filter_on_stem_does_not_blow_up(spark):
     df = spark.createDataFrame([("generalizations",), ("relational",)], "word STRING")
     out = porter_stem(df, "word", "stem").filter("stem = 'gener'")
     assert [r.word for r in out.collect()] == ["generalizations"]
+
+
+def test_word_stemmer_agrees_with_the_columns(spark):
+    stem = word_stemmer()
+    assert {w: stem(w) for w in PAPER} == PAPER
+    ends = [s for s, _ in STEP2_RULES + STEP3_RULES] + STEP4_SUFFIXES + ["", "s", "sses", "ies", "ed", "eed", "ing", "y", "e", "ll"]
+    words = [a + b + c for a in ("", "s", "tr", "by", "oat", "hop", "fill", "ñu", "l'o", "a1") for b in ends for c in ends]
+    got = {r.word: r.stem for r in porter_stem(spark.createDataFrame([(w,) for w in words], "word STRING"), "word", "stem").collect()}
+    assert MIN_LENGTH == 3 and {w: stem(w) for w in words} == got

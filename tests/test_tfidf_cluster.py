@@ -44,6 +44,11 @@ def test_doc_term_matrix_keeps_zero_rows(weights):
     assert [(r.doc_id, r.tf) for r in zero] == [(4, 0)]
 
 
+def test_doc_term_matrix_reads_the_text_once(spark, docs_factory):
+    plan = tfidf.doc_term_matrix(ix.build_index(docs_factory(DOCS)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "RLIKE" not in plan
+
+
 def test_kmeans_sql_invariants(spark, weights):
     idx, w = weights
     labels, cents = cluster.kmeans_sql(w, idx.docs, 3, 2)
