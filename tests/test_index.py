@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from quarry.functions.normalize import NO_STEM_TECHNIQUES
 from quarry.operators import index as ix
 from quarry.operators.positions import tokenize_docs, tokenize_pages
-from quarry.operators.render import index_dump
+from quarry.operators.render import index_dump, postings_parts
+from quarry.operators.store import block_rows
 
 DOCS_A = [(1, "Open access. Open Access is open!"), (2, "Access denied; the door is open")]
 DOCS_B = [(3, "Thank you for your interest."), (4, "Open  doors"), (5, "   ")]
@@ -267,8 +268,15 @@ def test_a_build_stems_distinct_words_not_tokens(spark, docs_factory):
     docs = docs_factory([(i, f"Generalizations of relational happiness {i % 3} ponies, sky hopping! word{i} ponies") for i in range(60)])
     want = as_dict(ix.build_postings(ix.normalized_terms(tokenize_docs(docs))))     # the stemmer as column expressions
     pages = docs.withColumn("page_no", F.lit(1).cast("bigint"))
-    for idx in (ix.build_index(docs, unique_ids=True), ix.build_index(docs), ix.build_paged_index(pages)):
+    for idx in (ix.build_index(docs, unique_ids=True), ix.build_paged_index(pages)):
         assert as_dict(idx.postings) == want
         assert "__pw" not in idx.postings._jdf.queryExecution().optimizedPlan().toString()
     few = ix.stemmed(ix.normalized_terms(tokenize_docs(docs), NO_STEM_TECHNIQUES).repartition(1), limit=1)
     assert as_dict(ix.build_postings(few)) == want
+
+
+def test_blocks_and_lines_are_grouped_after_the_shuffle(spark, docs_factory):
+    postings = ix.build_index(docs_factory(DOCS_A + DOCS_B), unique_ids=True).postings
+    for df in (block_rows(postings, 1, "term"), postings_parts(postings)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.rindex("ObjectHashAggregate") < plan.index("Exchange hashpartitioning")
