@@ -167,3 +167,54 @@ def test_a_rare_term_reads_few_blocks_of_a_frequent_one(spark):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "In(block, [1,14])" in plan and "In(term_id" in plan      # pushed into the scan
     assert {r.doc_id for r in snap.lookup("needle").collect()} == {5000, 61_000} and snap.lookup("zebra").count() == 0
+
+
+def test_rows_of_one_block_are_joined_by_one_shuffle(spark):
+    rng = random.Random(8)
+    postings = [(t, d, sorted(rng.sample(range(1, 50), rng.randint(1, 4)))) for t in range(1, 30) for d in rng.sample(range(-9000, 9000), 60)]
+    long = spark.createDataFrame([(t, d, p, len(p)) for t, d, p in postings], "term_id BIGINT, doc_id BIGINT, positions ARRAY<BIGINT>, tf BIGINT")
+    parts = {}          # each block comes in up to five rows, whose documents lie between each other
+    for t, d, p in sorted(postings):
+        parts.setdefault((t, d >> store.BLOCK_BITS, rng.randrange(5)), []).append((d & (store.BLOCK_DOCS - 1), len(p), p))
+    rows = [(t, b, *map(list, zip(*e))) for (t, b, _), e in parts.items()]
+    rng.shuffle(rows)
+    staged = spark.createDataFrame(rows, "term_id BIGINT, block BIGINT, docs ARRAY<INT>, tfs ARRAY<BIGINT>, positions ARRAY<ARRAY<BIGINT>>")
+    with_batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n in ("2", with_batches):       # blocks that run across batches
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+            joined = store.joined_blocks(staged.repartition(3), 7)
+            cols = joined.columns
+            assert sorted(map(str, joined.collect())) == sorted(map(str, store.block_rows(long, 7).select(*cols).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_batches)
+    assert store.joined_blocks(staged, 7)._jdf.queryExecution().executedPlan().toString().count("Exchange rangepartitioning") == 1
+    assert store.joined_blocks(staged.limit(0), 7).count() == 0
+
+
+def test_a_delivery_stages_blocks_and_its_terms_are_named_by_block(spark, monkeypatch):
+    """A frequent term reaches the shuffles of a delivery, and of a reader, as rows of many documents."""
+    seen, joined_blocks = [], store.joined_blocks
+
+    def watched(rows, gen):
+        seen.append((rows.count(), rows.agg(F.sum(F.size("docs"))).first()[0]))
+        return joined_blocks(rows, gen)
+
+    monkeypatch.setattr(store, "joined_blocks", watched)
+    path, rows = scratch(), [(d, "common words here") for d in range(2000)]
+    store.commit(spark, path, frame(spark, rows), batch_id=0, techniques=NO_STEM_TECHNIQUES)
+    (n, postings), = seen
+    assert postings == 2000 * len(ix.normalized_terms(ix.tokenize_docs(frame(spark, rows[:1])), NO_STEM_TECHNIQUES).collect())
+    assert n <= postings / 100
+    plan = store.snapshot(spark, path).postings()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")      # the join lies below
+
+
+def test_blocks_of_any_group_size_hold_the_same_postings(spark):
+    rows = texts(60, 3, first=-20) + [(9000 + d, "open door open") for d in range(5)]
+    terms = ix.marked_terms(frame(spark, rows), NO_STEM_TECHNIQUES)
+    want = sorted((r.term or "", r.doc_id, r.tf, list(r.positions)) for r in ix.grouped_in_place(terms).collect())
+    for n in (1, 7, 1 << 20):
+        blocks = ix.blocked_in_place(terms, store.BLOCK_BITS, n)
+        assert sorted((r.term or "", r.doc_id, r.tf, list(r.positions)) for r in store.entry_rows(blocks, "term").collect()) == want
+        assert all(list(r.docs) == sorted(set(r.docs)) for r in blocks.collect())
