@@ -203,3 +203,40 @@ def test_ml_labels_beyond_the_bound_of_dense_centres(spark, tmp_path, monkeypatc
     lab = {r.doc_id: r.cluster for r in cluster.stored_ml_labels(vectors, idx)(2).collect()}
     assert set(lab) == set(range(30)) and len({lab[d] for d in range(0, 30, 2)}) == len({lab[d] for d in range(1, 30, 2)}) == 1 and lab[0] != lab[1]
     assert [tuple(r) for r in cluster.ml_check(spark, vectors, idx, (2, 3)).collect()] == [(2, 30, True, True), (3, 30, True, True)]
+
+
+def test_ml_fits_of_all_k_share_their_steps(spark, tmp_path, monkeypatch):
+    from quarry.operators import kmeans, seeding, store
+    rows = [(d, " ".join(f"w{(d * 7 + j * (d % 4)) % 11}" for j in range(4))) for d in range(30)] + [(30, "7 8")]
+    store.commit(spark, str(tmp_path / "i"), spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), batch_id=0)
+    idx = store.snapshot(spark, str(tmp_path / "i"))
+    tfidf.stored_vectors(idx).write.parquet(str(tmp_path / "v"))
+    vectors = spark.read.parquet(str(tmp_path / "v"))
+    drawn = {(r.run, r.doc_id, r.cluster) for r in seeding.seeds_by_k(vectors, [2, 3]).collect()}
+    assert drawn == {(k, r.doc_id, r.cluster) for k in (2, 3) for r in seeding.seeds(vectors, k, 1).collect()}
+    fits, fit = [], kmeans.fit
+    monkeypatch.setattr(kmeans, "fit", lambda v, ks, *a, **kw: fits.append(dict(ks)) or fit(v, ks, *a, **kw))
+    monkeypatch.setattr(cluster, "ML_STEP_BYTES", 0, raising=False)
+    report = cluster.stored_ml_report(spark, vectors, idx, (2, 3, 40)).collect()
+    assert fits == [{2: 2, 3: 3}]
+    assert sorted({r.k for r in report}) == [2, 3, 40] and sum(r.section == 1 for r in report) == 5
+
+
+def test_stored_vectors_of_ranges_equal_those_of_postings(spark, tmp_path):
+    from quarry.operators import store
+    # ids of two ranges and below 0, two deliveries, a document without terms
+    first = [(d, f"alpha beta{d % 3} beta{d % 3} gamma{d}") for d in (-5, 1, 2, 4095, 4096, 9000)] + [(7, "12 3.5")]
+    for n, rows in enumerate((first, [(3, "alpha delta"), (4097, "beta1")])):
+        store.commit(spark, str(tmp_path / "i"), spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), batch_id=n)
+    idx = store.snapshot(spark, str(tmp_path / "i"))
+    frame = tfidf.stored_vectors(idx)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan       # no posting is a row
+    got = {r.doc_id: dict(zip(r.terms, r.ws)) for r in frame.collect()}
+    assert got[7] == {} and len(got) == 9
+    weights = tfidf.tfidf(idx.index()).join(idx.dictionary, "term").collect()
+    want = {}
+    for r in weights:
+        want.setdefault(r.doc_id, {})[r.term_id] = r.w
+    assert {d: set(x) for d, x in got.items() if x} == {d: set(x) for d, x in want.items()}
+    assert all(abs(got[d][t] - w) < 1e-12 for d, x in want.items() for t, w in x.items())
