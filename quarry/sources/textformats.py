@@ -24,16 +24,24 @@ def token_log_lines(tokens: DataFrame) -> DataFrame:
                          .alias("line"))
 
 
-def write_token_log(tokens: DataFrame, path: str, per_document: bool = False) -> None:
+def write_token_log(tokens: DataFrame, path: str, per_document: bool = False, in_order: bool = False) -> None:
     """Write the token log; lines of a document are in position order. ``per_document`` writes one
-    folder per document (a file-per-document layout; only for modest collections)."""
+    folder per document (a file-per-document layout; only for modest collections). With ``in_order`` the tokens come
+    in the order of the log already (see ``ordered_texts``) and do not move. The log as a whole is compressed: its lines
+    are many times as long as the words."""
     lines = token_log_lines(tokens)
     if per_document:
         (lines.repartition("doc_id").sortWithinPartitions("doc_id", "pos")
          .select("doc_id", "line").write.mode("overwrite").partitionBy("doc_id").text(path))
     else:
-        lines.repartitionByRange("doc_id", "pos").sortWithinPartitions("doc_id", "pos") \
-            .select("line").write.mode("overwrite").text(path)
+        if not in_order:
+            lines = lines.repartitionByRange("doc_id", "pos").sortWithinPartitions("doc_id", "pos")
+        lines.select("line").write.mode("overwrite").text(path, compression="gzip")
+
+
+def ordered_texts(docs: DataFrame) -> DataFrame:
+    """Documents by ranges of ids, in order: the tokens of what this gives are in the order of the log if no id comes twice."""
+    return docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
 
 def read_token_log(spark: SparkSession, path: str) -> DataFrame:

@@ -100,3 +100,22 @@ def test_file_glob_matches_only_that_file():
     assert g == "/data/sf/[d]ocuments.parquet"
     assert fnmatch.fnmatch("/data/sf/documents.parquet", g)
     assert not fnmatch.fnmatch("/data/sf/pages.parquet", g)
+
+
+def test_token_log_of_ordered_texts_moves_no_lines(spark, tmp_path):
+    from quarry.operators.positions import tokenize_docs
+    from quarry.plans import catalog
+    rows = [(d, f"one two{d} one / three") for d in range(20, 0, -1)] + [(21, None), (None, "x")]
+    (tmp_path / "t").mkdir()
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "t/documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "t/documents.parquet"))
+    path = str(tmp_path / "log")
+    tokens = tokenize_docs(textformats.ordered_texts(docs))
+    textformats.write_token_log(tokens, path, in_order=True)
+    assert all(f.name.endswith(".gz") for f in (tmp_path / "log").glob("part-*"))
+    want = [(r.token, r.doc_id, r.pos) for r in tokenize_docs(docs).filter("doc_id IS NOT NULL").collect()]
+    back = [(r.token, r.doc_id, r.pos) for f in sorted((tmp_path / "log").glob("part-*")) for r in textformats.read_token_log(spark, str(f)).collect()]
+    assert back == sorted(want, key=lambda r: r[1:])       # the log is in order of documents and positions
+    assert sorted(map(tuple, catalog.q_token_log_roundtrip(spark, str(tmp_path / "t")).collect())) == sorted(want)
+    spark.createDataFrame([*rows, (3, "once more")], "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "u/documents.parquet"))
+    assert catalog.q_token_log_roundtrip(spark, str(tmp_path / "u")).count() == len(want) + 2
